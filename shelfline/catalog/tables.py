@@ -24,8 +24,21 @@ FACT_DAYS = 182
 CALENDAR_DAYS = 175
 
 
+# Columns of the given tables, so that no job has to look them up in the files.
+GIVEN_SCHEMAS = {
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+                   l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+                   l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+                 o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+               p_retailprice double""",
+}
+
+
 def _given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(GIVEN_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _day_number(timestamp: str) -> Column:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfline.operators.inventory import StockPolicy
 from shelfline.plans.weekly import weekly_stock
@@ -12,6 +13,21 @@ from shelfline.schemas import FEEDS
 from shelfline.sources.feeds import scan_feed
 from shelfline.sources.manifest import JobPaths
 from shelfline.sources.sinks import WEEK_PARTITION, publish, stamp, write_table
+from shelfline.sources.workspace import work_path
+
+# Input bytes per shuffle partition, and the most partitions worth tracking.
+# AQE joins partitions that turn out small; it cannot cut one that is needed whole.
+SHUFFLE_PARTITION_BYTES = 256 * 1024**2
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+INVENTORY_NEEDED = [
+    "CAL_DT",
+    "STORE_KEY",
+    "PROD_KEY",
+    "INVENTORY_ON_HAND_QTY",
+    "INVENTORY_ON_ORDER_QTY",
+    "OUT_OF_STOCK_FLG",
+]
 
 
 def run_job(
@@ -25,7 +41,8 @@ def run_job(
 ) -> None:
     """Scan the feeds and write the weekly table and the stamped dimensions."""
     feeds = {t: scan_feed(spark, t, paths.inputs[t], infer) for t in FEEDS}
-    weekly = weekly_stock(feeds["sales"], feeds["inventory"], feeds["calendar"], as_of, policy)
+    inventory = _as_parquet(spark, feeds["inventory"].select(INVENTORY_NEEDED))
+    weekly = weekly_stock(feeds["sales"], inventory, feeds["calendar"], as_of, policy)
     write_table(stamp(weekly, load_tmst), paths.weekly, WEEK_PARTITION, single_file)
     for table, path in (
         ("calendar", paths.calendar),
@@ -35,8 +52,26 @@ def run_job(
         write_table(stamp(feeds[table], load_tmst), path, single_file=single_file)
 
 
+def _as_parquet(spark: SparkSession, frame: DataFrame) -> DataFrame:
+    """The frame as a written table: the weekly job reads inventory twice, and the
+    second parse of the CSV costs more than this one write."""
+    path = work_path(spark, "inventory")
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def publish_outputs(spark: SparkSession, paths: JobPaths, database: str) -> None:
     """Make the four outputs known to SQL in ``database``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for path in (paths.weekly, paths.calendar, paths.store, paths.product):
         publish(spark, f"{database}.{path.rsplit('/', 1)[-1]}", path)
+
+
+def size_shuffles(spark: SparkSession, inputs: list[str]) -> int:
+    """Raise the session's shuffle partitions to suit the bytes of the input files."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(inputs)
+    found = listing.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+    wanted = min(found // SHUFFLE_PARTITION_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
+    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions

@@ -70,22 +70,28 @@ DATE_COLUMNS = {
     "product": [],
 }
 
-WEEKLY_COLUMNS = [
-    *WEEK_KEYS,
-    "total_sales_qty",
-    "total_sales_amount",
-    "total_cost",
-    "No_Stock_Instances",
-    "stock_lvl_eow",
-    "stock_on_order_eow",
-    "Low_Stock_flg",
-    "Total_Low_Stock_Impact",
-    "avg_sales_price",
-    "Pot_Low_Stock_Impact",
-    "No_Stock_Impact",
-    "in_stock_pct",
-    "weeks_supply",
-]
+WEEKLY_TYPES = {
+    "YR_WK_NUM": T.IntegerType(),
+    "STORE_KEY": T.LongType(),
+    "PROD_KEY": T.LongType(),
+    "total_sales_qty": T.LongType(),
+    "total_sales_amount": T.DoubleType(),
+    "total_cost": T.DoubleType(),
+    "No_Stock_Instances": T.LongType(),
+    "stock_lvl_eow": T.LongType(),
+    "stock_on_order_eow": T.LongType(),
+    "Low_Stock_flg": T.IntegerType(),
+    "Total_Low_Stock_Impact": T.LongType(),
+    "avg_sales_price": T.DoubleType(),
+    "Pot_Low_Stock_Impact": T.DoubleType(),
+    "No_Stock_Impact": T.DoubleType(),
+    "in_stock_pct": T.DoubleType(),
+    "weeks_supply": T.DoubleType(),
+}
+
+WEEKLY_COLUMNS = list(WEEKLY_TYPES)
+
+WEEKLY_SCHEMA = T.StructType([T.StructField(n, t) for n, t in WEEKLY_TYPES.items()])
 
 
 def raw_schema(feed: str, header: list[str] | None = None) -> T.StructType:

@@ -1,9 +1,10 @@
 """Incremental ingest: newly landed feed files update only the weeks they touch.
 
 One new day changes its whole week (last observed day, stock-out count), so
-the unit of work is the week. Facts are kept as Parquet by week; every
-micro-batch adds its rows there and then rebuilds the weekly table's partitions
-of the weeks it touched. No state is kept in the stream.
+the unit of work is the week. One stream reads both fact feeds; facts are kept
+as Parquet by feed and week. Every micro-batch adds its rows there and then
+rebuilds the weekly table's partitions of the weeks it touched. No state is
+kept in the stream.
 
 Both writes overwrite exactly the partitions of their batch, so a batch that is
 run again after a failure leaves the same tables.
@@ -11,23 +12,20 @@ run again after a failure leaves the same tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
-from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfline.operators.calendar import check_calendar
 from shelfline.operators.inventory import StockPolicy, check_policy, dated_inventory
 from shelfline.operators.sales import dated_sales
 from shelfline.plans.weekly import weekly_table
-from shelfline.schemas import DATE_COLUMNS, WEEKLY_COLUMNS, raw_schema
+from shelfline.schemas import WEEKLY_COLUMNS, WEEKLY_SCHEMA, raw_schema
 from shelfline.sources.feeds import fix_dates
 from shelfline.sources.sinks import WEEK_PARTITION
 
-BATCH_PARTITION = "batch"
+FACT_PARTITIONS = ["feed", WEEK_PARTITION, "batch"]
 
 
 class WeeklyStore:
@@ -45,88 +43,69 @@ class WeeklyStore:
         self.root = root.rstrip("/")
         self.policy = policy
         self.calendar = check_calendar(calendar)
-        self._dated: dict[str, Callable[..., DataFrame]] = {
-            "sales": partial(dated_sales, days=self.calendar.days, how="left"),
-            "inventory": partial(dated_inventory, days=self.calendar.days, how="left"),
-        }
-        for feed in self._dated:
-            # An empty append makes the folder, so that both feeds can be read from the start.
-            empty = spark.createDataFrame([], self._fact_schema(feed))
-            self._facts_writer(empty, "append").parquet(self._facts_path(feed))
 
     def ingest(self, landing: str, max_files_per_batch: int | None = None) -> None:
-        """Take in all files landed since the last call, then stop."""
-        for feed in self._dated:
-            source = self.spark.readStream.schema(raw_schema(feed)).options(
-                header=True, enforceSchema=False
-            )
-            if max_files_per_batch is not None:
-                source = source.option("maxFilesPerTrigger", max_files_per_batch)
-            (
-                source.csv(f"{landing.rstrip('/')}/{feed}_*.csv")
-                .writeStream.foreachBatch(partial(self._take_in, feed))
-                .option("checkpointLocation", f"{self.root}/progress/{feed}")
-                .trigger(availableNow=True)
-                .start()
-                .awaitTermination()
-            )
+        """Take in all files landed since the last call, then stop.
+
+        The landing folder holds ``sales_<date>.csv`` and ``inventory_<date>.csv``,
+        each a file or a folder of part files, with the columns of their schema.
+        """
+        landing = landing.rstrip("/")
+        days = self.calendar.days
+        # Rows outside the calendar are kept too, in the partition without a week.
+        sales = dated_sales(self._landed("sales", landing, max_files_per_batch), days, "left")
+        stock = dated_inventory(
+            self._landed("inventory", landing, max_files_per_batch), days, "left"
+        )
+        both = sales.unionByName(stock, allowMissingColumns=True).drop("Date")
+        (
+            both.writeStream.foreachBatch(self._take_in)
+            .option("checkpointLocation", f"{self.root}/progress")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
 
     def weekly(self, as_of: date) -> DataFrame:
         """The weekly table up to and including the week of ``as_of``."""
         week = check_calendar(self.calendar.frame, as_of).current_week
-        schema = self._built(F.lit(True)).schema
-        table = self.spark.read.schema(schema).parquet(self._weekly_path)
+        table = self.spark.read.schema(WEEKLY_SCHEMA).parquet(self._weekly_path)
         return table.where(F.col(WEEK_PARTITION) <= week).select(WEEKLY_COLUMNS)
 
-    def _take_in(self, feed: str, batch: DataFrame, batch_id: int) -> None:
-        # Rows outside the calendar are kept too, in the partition without a week.
-        rows = self._dated[feed](fix_dates(batch, feed)).drop("Date")
-        rows = rows.withColumn(BATCH_PARTITION, F.lit(batch_id))
-        self._facts_writer(rows, "overwrite").parquet(self._facts_path(feed))
-        taken_in = self.facts(feed).where(F.col(BATCH_PARTITION) == batch_id)
+    def _landed(self, feed: str, landing: str, max_files: int | None) -> DataFrame:
+        files = self.spark.readStream.schema(raw_schema(feed)).option("header", True)
+        # Refuse a file whose header is not the schema, instead of misreading its columns.
+        files = files.option("enforceSchema", False)
+        if max_files is not None:
+            files = files.option("maxFilesPerTrigger", max_files)
+        rows = fix_dates(files.csv(f"{landing}/{feed}_*.csv"), feed)
+        return rows.withColumn("feed", F.lit(feed))
+
+    def _take_in(self, batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("batch", F.lit(batch_id))
+        self._replace_partitions(rows, FACT_PARTITIONS, self._facts_path)
+        facts = self.spark.read.schema(rows.schema).parquet(self._facts_path)
+        taken_in = facts.where(F.col("batch") == batch_id)
         # At most one value per calendar week.
         weeks = taken_in.select(WEEK_PARTITION).dropna().distinct().collect()
-        touched = F.col(WEEK_PARTITION).isin([row[0] for row in weeks])
-        (
-            self._built(touched)
-            .hint("rebalance", WEEK_PARTITION)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(WEEK_PARTITION)
-            .parquet(self._weekly_path)
+        touched = facts.where(F.col(WEEK_PARTITION).isin([row[0] for row in weeks]))
+        rebuilt = weekly_table(
+            touched.where(F.col("feed") == "sales"),
+            touched.where(F.col("feed") == "inventory"),
+            self.policy,
         )
-
-    def _built(self, weeks: Column) -> DataFrame:
-        """The weekly table of some weeks, from the facts taken in."""
-        return weekly_table(
-            self.facts("sales").where(weeks), self.facts("inventory").where(weeks), self.policy
+        self._replace_partitions(
+            rebuilt.hint("rebalance", WEEK_PARTITION), [WEEK_PARTITION], self._weekly_path
         )
 
-    def facts(self, feed: str) -> DataFrame:
-        """All rows taken in so far, with their week."""
-        return self.spark.read.schema(self._fact_schema(feed)).parquet(self._facts_path(feed))
-
-    def _facts_path(self, feed: str) -> str:
-        return f"{self.root}/facts/{feed}"
-
-    def _facts_writer(self, rows: DataFrame, mode: str):
-        return (
-            rows.write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(WEEK_PARTITION, BATCH_PARTITION)
-        )
+    @staticmethod
+    def _replace_partitions(rows: DataFrame, partitions: list[str], path: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions).parquet(path)
 
-    def _fact_schema(self, feed: str) -> T.StructType:
-        dates = DATE_COLUMNS[feed]
-        schema = T.StructType(
-            [
-                T.StructField(f.name, T.DateType()) if f.name in dates else f
-                for f in raw_schema(feed)
-            ]
-        )
-        if feed == "inventory":
-            schema = schema.add("DAY_OF_WK_NUM", T.IntegerType())
-        return schema.add(WEEK_PARTITION, T.IntegerType()).add(BATCH_PARTITION, T.LongType())
+    @property
+    def _facts_path(self) -> str:
+        return f"{self.root}/facts"
 
     @property
     def _weekly_path(self) -> str:
