@@ -1,0 +1,56 @@
+"""Missing feeds, missing snapshots, dropped keys."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from frames import calendar, day, inventory, sales
+
+from shelfline.operators import completeness
+from shelfline.operators.calendar import check_calendar
+from shelfline.schemas import FEEDS
+
+
+def run_dates(spark, *dates):
+    return spark.createDataFrame([(d,) for d in dates], "run_date date")
+
+
+def arrivals(spark, *paths):
+    return spark.createDataFrame([(p,) for p in paths], "path string")
+
+
+def test_a_run_expects_the_files_of_the_day_before(spark):
+    expected = completeness.expected_feeds(run_dates(spark, date(2023, 3, 1)), "in/")
+    assert {r["path"] for r in expected.collect()} == {f"in/{t}_2023-02-28.csv" for t in FEEDS}
+
+
+def test_missing_feeds_by_run(spark):
+    expected = completeness.expected_feeds(
+        run_dates(spark, date(2023, 1, 6), date(2023, 1, 7)), "in/"
+    )
+    there = [f"in/{t}_2023-01-05.csv" for t in FEEDS]
+    log = arrivals(spark, *there, *there, "in/sales_2023-01-06.csv", "in/other.csv")
+    missing = completeness.missing_feeds(expected, log).collect()
+    assert {(r["run_date"], r["table_name"]) for r in missing} == {
+        (date(2023, 1, 7), t) for t in FEEDS if t != "sales"
+    }
+    ready = completeness.ready_runs(expected, log).collect()
+    assert [r["run_date"] for r in ready] == [date(2023, 1, 6)]
+    assert ready[0]["manifest"].startswith('{"calendar":"in/calendar_2023-01-05.csv",')
+
+
+def test_missing_snapshots(spark):
+    rows = inventory(spark, [(n, 1, 1, 1, 1, 0) for n in (0, 0, 2, 3, 40)])
+    days = check_calendar(calendar(spark, days=5)).days
+    got = completeness.missing_snapshots(rows, days).collect()
+    assert sorted(tuple(r) for r in got) == [(day(1), 1, 1), (day(4), 1, 1)]
+
+
+def test_dropped_keys(spark):
+    sold = sales(spark, [(0, 1, 1, 1, 1), (7, 1, 1, 1, 1)])
+    stocked = inventory(spark, [(1, 1, 1, 1, 1, 0), (2, 2, 1, 1, 1, 0), (3, 2, 1, 1, 1, 0)])
+    days = check_calendar(calendar(spark)).days
+    no_sales = completeness.stock_without_sales(sold, stocked, days).collect()
+    no_stock = completeness.sales_without_stock(sold, stocked, days).collect()
+    assert [tuple(r) for r in no_sales] == [(202301, 2, 1)]
+    assert [tuple(r) for r in no_stock] == [(202302, 1, 1)]

@@ -1,0 +1,149 @@
+"""Feeds in, extracts and tables out."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+from frames import calendar, day, inventory, sales
+from pyspark.sql import functions as F
+
+from shelfline.functions.dates import feed_day, stamp_of
+from shelfline.functions.paths import feed_path, feed_table_name
+from shelfline.sources import extract, feeds, sinks
+from shelfline.sources.landing import arrival_log
+from shelfline.sources.manifest import JobPaths
+from shelfline.sources.workspace import work_path
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+def test_round_trip_keeps_rows_and_types(spark, tmp_path):
+    frame = sales(spark, [(0, 1, 2, 3, 4.5, 1, 0.25), (1, 1, 2, None, 5, 2, None)])
+    written = extract.write_csv(frame, f"{tmp_path}/sales.csv")
+    back = feeds.scan_feed(spark, "sales", f"{tmp_path}/sales.csv")
+    assert written == 2
+    assert back.dtypes == frame.dtypes
+    assert sorted(back.collect()) == sorted(frame.collect())
+
+
+def test_columns_are_matched_by_header_and_unknown_ones_kept(spark, tmp_path):
+    file = tmp_path / "sales.csv"
+    file.write_text("PROD_KEY,NOTE,TRANS_DT,STORE_KEY,SALES_AMT\n7,x,2023-01-05,3,1.50\n")
+    row = feeds.scan_feed(spark, "sales", str(file)).first().asDict()
+    assert row["PROD_KEY"] == 7 and row["STORE_KEY"] == 3 and row["NOTE"] == "x"
+    assert row["TRANS_DT"] == date(2023, 1, 5)
+
+
+def test_bad_dates_become_null_and_are_counted(spark, tmp_path):
+    file = tmp_path / "inventory.csv"
+    file.write_text(
+        "CAL_DT,STORE_KEY,PROD_KEY,NEXT_DELIVERY_DT\n"
+        "2023-01-05,1,1,soon\n2023-02-30,1,1,2023-01-09\n2023-01-06 00:00:00,1,1,\n"
+    )
+    raw = feeds.read_feed(spark, "inventory", str(file))
+    days = [r["CAL_DT"] for r in feeds.fix_dates(raw, "inventory").collect()]
+    assert days == [date(2023, 1, 5), None, date(2023, 1, 6)]
+    rejects = {r["column_name"]: r["rejects"] for r in feeds.date_rejects(raw, "inventory").collect()}
+    assert rejects == {"CAL_DT": 1, "NEXT_DELIVERY_DT": 1}
+
+
+def test_inferred_scan(spark, tmp_path):
+    extract.write_csv(sales(spark, [(0, 1, 2, 3, 4.5)]), f"{tmp_path}/sales.csv")
+    types = dict(feeds.scan_feed(spark, "sales", f"{tmp_path}/sales.csv", infer=True).dtypes)
+    assert types["TRANS_DT"] == "date"
+    assert types["SALES_AMT"] == "double"
+    assert types["SALES_QTY"] == "int"
+
+
+def test_extract_cuts_facts_and_not_the_calendar(spark):
+    sold = sales(spark, [(0, 1, 1, 1, 1), (5, 1, 1, 1, 1), (6, 1, 1, 1, 1)])
+    assert extract.extract(sold, "sales", day(5)).count() == 2
+    assert extract.extract(calendar(spark), "calendar", day(5)).count() == 28
+
+
+def test_extract_feeds_writes_all_five_and_counts(spark, tmp_path):
+    store = spark.createDataFrame([(1, "a")], "STORE_KEY bigint, NAME string")
+    frames = {
+        "sales": sales(spark, [(0, 1, 1, 1, 1), (9, 1, 1, 1, 1)]),
+        "inventory": inventory(spark, [(0, 1, 1, 1, 1, 0)]),
+        "calendar": calendar(spark),
+        "store": store,
+        "product": store.limit(0),
+    }
+    counts = extract.extract_feeds(spark, frames, str(tmp_path), day(2)).collect()
+    assert [tuple(r) for r in counts] == [
+        ("inventory", 1), ("sales", 1), ("store", 1), ("product", 0), ("calendar", 28),
+    ]
+    names = {r["path"] for r in arrival_log(spark, str(tmp_path)).collect()}
+    # The day is below ten and still has two digits.
+    assert {f"{t}_2023-01-03.csv" for t in frames} == names
+
+
+def test_single_file_extract_is_plain_csv_with_header(spark, tmp_path):
+    frame = sales(spark, [(n % 7, n, 1, 1, 1) for n in range(50)]).repartition(5)
+    assert extract.write_csv(frame, f"{tmp_path}/s.csv", single_file=True) == 50
+    (part,) = Path(tmp_path, "s.csv").glob("part-*")
+    assert part.suffix == ".csv"
+    assert part.read_text().startswith("TRANS_DT,STORE_KEY,")
+
+
+def test_single_file_has_a_byte_limit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(extract, "SINGLE_FILE_BYTES", 100)
+    frame = sales(spark, [(n % 7, n, 1, 1, 1) for n in range(50)])
+    with pytest.raises(ValueError, match="do not fit a single file of 100"):
+        extract.write_csv(frame, f"{tmp_path}/s.csv", single_file=True)
+
+
+def test_arrival_log_sees_files_and_folders(spark, tmp_path):
+    (tmp_path / "store_2023-01-01.csv").write_text("a\n1\n")
+    extract.write_csv(calendar(spark).repartition(3), f"{tmp_path}/calendar_2023-01-01.csv")
+    log = {r["path"]: r["bytes"] for r in arrival_log(spark, str(tmp_path)).collect()}
+    assert log["store_2023-01-01.csv"] == 4
+    assert set(log) == {"store_2023-01-01.csv", "calendar_2023-01-01.csv"}
+
+
+def test_feed_names(spark):
+    path = feed_path(F.lit("sales"), F.lit(date(2023, 5, 3)), "in/raw/")
+    assert one(spark, path) == "in/raw/sales_2023-05-03.csv"
+    assert one(spark, feed_table_name(path)) == "sales"
+    assert one(spark, stamp_of(feed_day(F.lit(date(2023, 3, 1))))) == "2023-02-28"
+
+
+def test_manifest():
+    entries = {t: f"{t}.csv" for t in ("calendar", "inventory", "product", "sales", "store")}
+    import json
+
+    paths = JobPaths.from_json(json.dumps(entries), "in/", "out/")
+    assert paths.inputs["sales"] == "in/sales.csv"
+    assert (paths.weekly, paths.product) == ("out/weekly_agg_table", "out/prod_table")
+    assert JobPaths.from_json(json.dumps({"conf": entries}), "in/", "out/") == paths
+    del entries["store"]
+    with pytest.raises(ValueError, match="store"):
+        JobPaths.from_json(json.dumps(entries), "in/", "out/")
+
+
+def test_stamp_is_given_or_now(spark):
+    when = datetime(2023, 6, 1, 2, 0)
+    frame = spark.range(1)
+    assert sinks.stamp(frame, when).first()["load_tmst"] == when
+    assert sinks.stamp(frame).dtypes[-1] == ("load_tmst", "timestamp")
+    assert sinks.stamp(frame).first()["load_tmst"] is not None
+
+
+def test_partitioned_and_single_file_tables(spark, tmp_path):
+    frame = spark.range(100).select("id", (F.col("id") % 4).cast("int").alias("YR_WK_NUM"))
+    sinks.write_table(frame, f"{tmp_path}/by_week", "YR_WK_NUM")
+    assert len(list(Path(tmp_path, "by_week").glob("YR_WK_NUM=*"))) == 4
+    assert spark.read.parquet(f"{tmp_path}/by_week").count() == 100
+    sinks.write_table(frame, f"{tmp_path}/one", single_file=True)
+    assert len(list(Path(tmp_path, "one").glob("part-*"))) == 1
+
+
+def test_work_path_lies_in_the_folder_the_session_names(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert work_path(spark, "x").startswith(shared)
+    assert work_path(spark, "x") != work_path(spark, "x")
