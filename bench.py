@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfline.catalog import tables
 from shelfline.catalog.queries import QUERIES
 from shelfline.functions.kpis import with_kpis
+from shelfline.operators import inventory, sales
 from shelfline.operators.calendar import check_calendar, with_calendar
 from shelfline.operators.inventory import attach_levels, dated_inventory, snapshot_levels
-from shelfline.operators import inventory, sales
+from shelfline.plans.job import HASH_JOIN_BYTES, HASH_JOIN_SETTING
 from shelfline.schemas import WEEK_KEYS, WEEKLY_COLUMNS
 
 HEADLINE = [
@@ -77,6 +78,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
+        .config(HASH_JOIN_SETTING, HASH_JOIN_BYTES)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", scratch)
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")

@@ -150,10 +150,13 @@ expected AS (
   SELECT run_date, run_date - 1 AS feed_date, table_name,
          'landing/' || table_name || '_' || strftime(run_date - 1, '%Y-%m-%d') || '.csv' AS path
   FROM (
-    SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE)
-             AS run_date
-    FROM orders
-  ), (SELECT unnest({_TABLE_LIST}) AS table_name)
+    SELECT run_date, unnest({_TABLE_LIST}) AS table_name
+    FROM (
+      SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY))
+               AS DATE) AS run_date
+      FROM orders
+    )
+  )
 )"""
 
 _READY = """

@@ -20,6 +20,10 @@ from shelfline.sources.workspace import work_path
 SHUFFLE_PARTITION_BYTES = 256 * 1024**2
 MAX_SHUFFLE_PARTITIONS = 100_000
 
+# Largest partition of a join's smaller side that may be held as a hash table.
+HASH_JOIN_SETTING = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+HASH_JOIN_BYTES = "128m"
+
 INVENTORY_NEEDED = [
     "CAL_DT",
     "STORE_KEY",
@@ -67,11 +71,16 @@ def publish_outputs(spark: SparkSession, paths: JobPaths, database: str) -> None
         publish(spark, f"{database}.{path.rsplit('/', 1)[-1]}", path)
 
 
-def size_shuffles(spark: SparkSession, inputs: list[str]) -> int:
-    """Raise the session's shuffle partitions to suit the bytes of the input files."""
+def tune_shuffles(spark: SparkSession, inputs: list[str]) -> int:
+    """Suit the session's shuffles to the bytes of the input files; returns the partitions.
+
+    Joins may then be hash joins, but only where AQE has seen every partition of
+    the smaller side to be small enough; else they sort, which can spill.
+    """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(inputs)
     found = listing.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
     wanted = min(found // SHUFFLE_PARTITION_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
     partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set(HASH_JOIN_SETTING, HASH_JOIN_BYTES)
     return partitions

@@ -9,7 +9,7 @@ import pytest
 from frames import calendar, day, inventory, sales
 
 from shelfline import cli
-from shelfline.plans.job import size_shuffles
+from shelfline.plans.job import tune_shuffles
 from shelfline.plans.weekly import weekly_stock
 from shelfline.schemas import FEEDS, WEEKLY_COLUMNS
 from shelfline.sources.extract import extract, extract_feeds
@@ -100,9 +100,9 @@ def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
 
     (tmp_path / "a.csv").write_text("x" * 1000)
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert size_shuffles(spark, [str(tmp_path)]) == before
+    assert tune_shuffles(spark, [str(tmp_path)]) == before
     monkeypatch.setattr(job, "SHUFFLE_PARTITION_BYTES", 10)
-    assert size_shuffles(spark, [str(tmp_path)]) == 101
+    assert tune_shuffles(spark, [str(tmp_path)]) == 101
     monkeypatch.setattr(job, "MAX_SHUFFLE_PARTITIONS", 50)
     spark.conf.set("spark.sql.shuffle.partitions", str(before))
-    assert size_shuffles(spark, [str(tmp_path)]) == 50
+    assert tune_shuffles(spark, [str(tmp_path)]) == 50

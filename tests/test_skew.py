@@ -99,8 +99,9 @@ COLUMNS = ["YR_WK_NUM", "STORE_KEY", "PROD_KEY", "total_sales_qty", "total_sales
            "No_Stock_Instances", "stock_lvl_eow", "stock_on_order_eow"]
 
 
+@pytest.mark.parametrize("join", ["SortMergeJoin", "ShuffledHashJoin"])
 @pytest.mark.parametrize("policy", ["last_snapshot", "every_snapshot"])
-def test_hot_group_is_whole_and_split(spark, facts, policy):
+def test_hot_group_is_whole_and_split(spark, facts, policy, join):
     sold, stocked = facts
     with settings(
         spark,
@@ -109,6 +110,9 @@ def test_hot_group_is_whole_and_split(spark, facts, policy):
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="4KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="4KB",
+        spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold=(
+            "0" if join == "SortMergeJoin" else "1m"
+        ),
     ):
         table = weekly_stock(sold, stocked, calendar(spark), day(15), policy)
         got = Counter(tuple(r) for r in table.select(COLUMNS).collect())
@@ -116,7 +120,7 @@ def test_hot_group_is_whole_and_split(spark, facts, policy):
         table.collect()
         plan = table._jdf.queryExecution().executedPlan().toString()
     assert got == _brute_force(sold, stocked, policy)
-    assert "SortMergeJoin(skew=true)" in plan
+    assert f"{join}(skew=true)" in plan
 
 
 def test_missing_snapshots_of_a_hot_product(spark, facts):
