@@ -205,8 +205,12 @@ _CUT_OFF = {
     "inventory": f" WHERE CAL_DT <= DATE '{AS_OF}'",
 }
 
-# Keys of store and product are read back from CSV with the type Spark infers.
+# Keys of store and product are read back from CSV with the type Spark infers; money is
+# compared as DOUBLE.
 _AS_READ = {
+    "sales": """* REPLACE (CAST(SALES_AMT AS DOUBLE) AS SALES_AMT,
+                         CAST(SALES_COST AS DOUBLE) AS SALES_COST,
+                         CAST(SHIP_COST AS DOUBLE) AS SHIP_COST)""",
     "store": "* REPLACE (CAST(STORE_KEY AS INTEGER) AS STORE_KEY)",
     "product": "* REPLACE (CAST(PROD_KEY AS INTEGER) AS PROD_KEY)",
 }

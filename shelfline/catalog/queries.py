@@ -7,13 +7,15 @@ frame whose columns are named as in :mod:`shelfline.catalog.oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.catalog import tables
 from shelfline.catalog.tables import AS_OF, LANDING
+from shelfline.functions.dates import day_lit
 from shelfline.functions.kpis import with_kpis
 from shelfline.functions.paths import feed_table_name
 from shelfline.operators import completeness, inventory, sales
@@ -25,15 +27,17 @@ from shelfline.operators.calendar import (
 )
 from shelfline.plans import weekly
 from shelfline.plans.job import publish_outputs, run_job
-from shelfline.schemas import FEEDS, WEEKLY_COLUMNS
+from shelfline.schemas import DATE_COLUMNS, FEEDS, WEEKLY_COLUMNS
 from shelfline.sources import extract, feeds, manifest, sinks
 from shelfline.sources.manifest import JobPaths
+from shelfline.sources.together import together
 from shelfline.sources.workspace import work_path
 from shelfline.streaming.ingest import WeeklyStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOAD_TMST = datetime(2023, 6, 1, 2, 0)
+SECOND_LANDING = date(2023, 5, 1)
 INPUT_ROOT = "in/"
 
 
@@ -41,6 +45,12 @@ def _calendar(spark: SparkSession, sf_dir: str) -> CheckedCalendar:
     return check_calendar(tables.calendar(spark, sf_dir))
 
 
+def _plain_money(frame: DataFrame) -> DataFrame:
+    """Decimals as doubles, the type in which the published tables hold money."""
+    decimals = [name for name, kind in frame.dtypes if kind.startswith("decimal")]
+    return frame.withColumns({c: F.col(c).cast("double") for c in decimals})
+
+
 # Sources
 
 
@@ -50,7 +60,7 @@ def _scan(feed: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = work_path(spark, f"{feed}.csv")
         extract.write_csv(tables.as_feed(spark, sf_dir, feed), path)
-        return feeds.scan_feed(spark, feed, path)
+        return _plain_money(feeds.scan_feed(spark, feed, path))
 
     return query
 
@@ -89,7 +99,7 @@ def _extract(table: str) -> Query:
         frame = extract.extract(tables.TABLES[table](spark, sf_dir), table, AS_OF)
         path = extract.extract_path(work_path(spark, "extract"), table, AS_OF)
         extract.write_csv(frame, path)
-        return feeds.scan_feed(spark, table, path)
+        return _plain_money(feeds.scan_feed(spark, table, path))
 
     return query
 
@@ -191,10 +201,16 @@ def _dimension(table: str) -> Query:
 def published_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job from CSV feeds to published tables, then SQL over them."""
     root = work_path(spark, "job/")
-    for feed in FEEDS:
-        extract.write_csv(
-            tables.as_feed(spark, sf_dir, feed), extract.extract_path(root, feed, AS_OF)
-        )
+    together(
+        [
+            partial(
+                extract.write_csv,
+                tables.as_feed(spark, sf_dir, feed),
+                extract.extract_path(root, feed, AS_OF),
+            )
+            for feed in FEEDS
+        ]
+    )
     argument = ", ".join(f'"{t}": "{t}_{AS_OF:%Y-%m-%d}.csv"' for t in FEEDS)
     paths = JobPaths.from_json("{" + argument + "}", root, root + "analysis/")
     run_job(spark, paths, AS_OF, load_tmst=LOAD_TMST)
@@ -241,16 +257,19 @@ def _dropped(report: Callable[..., DataFrame]) -> Query:
 def ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the facts as CSV in two goes, ingest after each; equals the batch job."""
     landing, root = work_path(spark, "landing"), work_path(spark, "store")
-    ingested = WeeklyStore(spark, root, tables.calendar(spark, sf_dir))
-    feeds_by_date = {t: (tables.as_feed(spark, sf_dir, t), feeds.DATE_COLUMNS[t][0])
-                     for t in ("sales", "inventory")}
-    for stamp, is_early in (("2023-05-30", True), ("2023-05-31", False)):
-        for feed, (frame, day) in feeds_by_date.items():
-            early = F.col(day) < F.lit("2023-05-01").cast("date")
-            part = frame.where(early if is_early else ~early)
-            extract.write_csv(part, f"{landing}/{feed}_{stamp}.csv")
-        ingested.ingest(landing)
-    return ingested.weekly(AS_OF)
+    store = WeeklyStore(spark, root, tables.calendar(spark, sf_dir))
+    facts = {f: tables.as_feed(spark, sf_dir, f) for f in ("sales", "inventory")}
+    first_days = {f: F.col(DATE_COLUMNS[f][0]) < day_lit(SECOND_LANDING) for f in facts}
+    for stamp, late in (("2023-05-30", False), ("2023-05-31", True)):
+        parts = {f: rows.where(first_days[f] != F.lit(late)) for f, rows in facts.items()}
+        together(
+            [
+                partial(extract.write_csv, part, f"{landing}/{f}_{stamp}.csv")
+                for f, part in parts.items()
+            ]
+        )
+        store.ingest(landing)
+    return store.weekly(AS_OF)
 
 
 QUERIES: dict[str, Query] = {

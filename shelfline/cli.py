@@ -41,7 +41,7 @@ def weekly(spark: SparkSession, args: argparse.Namespace) -> None:
         infer=args.infer_schema or None,
     )
     if args.publish:
-        publish_outputs(spark, paths, args.publish)
+        publish_outputs(spark, paths, args.publish, args.single_file)
 
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from shelfline.schemas import FEEDS
 from shelfline.sources.feeds import scan_feed
 from shelfline.sources.manifest import JobPaths
 from shelfline.sources.sinks import WEEK_PARTITION, publish, stamp, write_table
+from shelfline.sources.together import together
 from shelfline.sources.workspace import work_path
 
 # Input bytes per shuffle partition, and the most partitions worth tracking.
@@ -47,13 +49,18 @@ def run_job(
     feeds = {t: scan_feed(spark, t, paths.inputs[t], infer) for t in FEEDS}
     inventory = _as_parquet(spark, feeds["inventory"].select(INVENTORY_NEEDED))
     weekly = weekly_stock(feeds["sales"], inventory, feeds["calendar"], as_of, policy)
-    write_table(stamp(weekly, load_tmst), paths.weekly, WEEK_PARTITION, single_file)
-    for table, path in (
-        ("calendar", paths.calendar),
-        ("store", paths.store),
-        ("product", paths.product),
-    ):
-        write_table(stamp(feeds[table], load_tmst), path, single_file=single_file)
+    outputs = [
+        (weekly, paths.weekly, WEEK_PARTITION),
+        (feeds["calendar"], paths.calendar, None),
+        (feeds["store"], paths.store, None),
+        (feeds["product"], paths.product, None),
+    ]
+    together(
+        [
+            partial(write_table, stamp(frame, load_tmst), path, partition, single_file)
+            for frame, path, partition in outputs
+        ]
+    )
 
 
 def _as_parquet(spark: SparkSession, frame: DataFrame) -> DataFrame:
@@ -64,11 +71,14 @@ def _as_parquet(spark: SparkSession, frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def publish_outputs(spark: SparkSession, paths: JobPaths, database: str) -> None:
-    """Make the four outputs known to SQL in ``database``."""
+def publish_outputs(
+    spark: SparkSession, paths: JobPaths, database: str, single_file: bool = False
+) -> None:
+    """Make the four outputs of a run known to SQL in ``database``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for path in (paths.weekly, paths.calendar, paths.store, paths.product):
-        publish(spark, f"{database}.{path.rsplit('/', 1)[-1]}", path)
+        name = f"{database}.{path.rsplit('/', 1)[-1]}"
+        publish(spark, name, path, partitioned=path == paths.weekly and not single_file)
 
 
 def tune_shuffles(spark: SparkSession, inputs: list[str]) -> int:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import day_lit
+from shelfline.sources.together import together
 
 # Fixed value: most bytes a single-file extract may have.
 SINGLE_FILE_BYTES = 107_772_160
@@ -70,8 +72,12 @@ def extract_feeds(
     single_file: bool = False,
 ) -> DataFrame:
     """Write all five extracts of a day; returns ``(table_name, rows_unloaded)``."""
-    counts = [
-        (t, write_csv(extract(tables[t], t, as_of), extract_path(root, t, as_of), single_file))
-        for t in EXTRACT_ORDER
-    ]
-    return spark.createDataFrame(counts, "table_name string, rows_unloaded bigint")
+
+    def unload(table: str) -> int:
+        rows = extract(tables[table], table, as_of)
+        return write_csv(rows, extract_path(root, table, as_of), single_file)
+
+    counts = together([partial(unload, t) for t in EXTRACT_ORDER])
+    return spark.createDataFrame(
+        list(zip(EXTRACT_ORDER, counts, strict=True)), "table_name string, rows_unloaded bigint"
+    )

@@ -36,9 +36,9 @@ def write_table(
         balanced.write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
-def publish(spark: SparkSession, name: str, path: str) -> None:
+def publish(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
     """Make a written table known to SQL as ``name``, in place of an older one."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path, source="parquet")
-    if WEEK_PARTITION in [c.name for c in spark.catalog.listColumns(name) if c.isPartition]:
+    if partitioned:
         spark.catalog.recoverPartitions(name)
