@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.dates import day_lit
 from shelfline.operators.completeness import expected_feeds, missing_feeds, ready_runs
 from shelfline.operators.inventory import StockPolicy
-from shelfline.plans.job import publish_outputs, run_job, tune_shuffles
+from shelfline.plans.job import publish_outputs, run_job, tune_session
 from shelfline.schemas import FEEDS
 from shelfline.sources.extract import extract_feeds
 from shelfline.sources.feeds import scan_feed
@@ -31,7 +31,7 @@ from shelfline.streaming.ingest import WeeklyStore
 
 def weekly(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = JobPaths.from_json(args.manifest, args.input_root, args.output_root)
-    tune_shuffles(spark, list(paths.inputs.values()))
+    tune_session(spark, list(paths.inputs.values()))
     run_job(
         spark,
         paths,

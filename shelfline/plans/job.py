@@ -17,10 +17,14 @@ from shelfline.sources.sinks import WEEK_PARTITION, publish, stamp, write_table
 from shelfline.sources.together import together
 from shelfline.sources.workspace import work_path
 
-# Input bytes per shuffle partition, and the most partitions worth tracking.
-# AQE joins partitions that turn out small; it cannot cut one that is needed whole.
-SHUFFLE_PARTITION_BYTES = 256 * 1024**2
-MAX_SHUFFLE_PARTITIONS = 100_000
+# Input bytes per shuffle partition, and the most shuffle partitions and scan tasks.
+# Every scan task writes a block for every shuffle partition: at 100 TB these bounds
+# mean 2 GB scans and blocks of some ten kilobytes, instead of ten times as many
+# blocks of a tenth. AQE puts partitions together that turn out small.
+SHUFFLE_PARTITION_BYTES = 1024**3
+MAX_SHUFFLE_PARTITIONS = 40_000
+SCAN_TASK_BYTES = 128 * 1024**2
+MAX_SCAN_TASKS = 50_000
 
 # Largest partition of a join's smaller side that may be held as a hash table.
 HASH_JOIN_SETTING = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
@@ -81,16 +85,17 @@ def publish_outputs(
         publish(spark, name, path, partitioned=path == paths.weekly and not single_file)
 
 
-def tune_shuffles(spark: SparkSession, inputs: list[str]) -> int:
-    """Suit the session's shuffles to the bytes of the input files; returns the partitions.
+def tune_session(spark: SparkSession, inputs: list[str]) -> None:
+    """Suit the session's scans and shuffles to the bytes of the input files.
 
     Joins may then be hash joins, but only where AQE has seen every partition of
     the smaller side to be small enough; else they sort, which can spill.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(inputs)
     found = listing.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
-    wanted = min(found // SHUFFLE_PARTITION_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
-    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = min(found // SHUFFLE_PARTITION_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
+    partitions = max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    scan_bytes = max(found // MAX_SCAN_TASKS, SCAN_TASK_BYTES)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", f"{scan_bytes}b")
     spark.conf.set(HASH_JOIN_SETTING, HASH_JOIN_BYTES)
-    return partitions

@@ -23,7 +23,8 @@ def read_feed(spark: SparkSession, feed: str, path: str, infer: bool | None = No
     if infer:
         return csv.option("inferSchema", True).csv(path)
     header = csv.csv(path).columns
-    return csv.schema(raw_schema(feed, header)).csv(path)
+    # A part file with another header is an error, not a silent mix-up of columns.
+    return csv.option("enforceSchema", False).schema(raw_schema(feed, header)).csv(path)
 
 
 def fix_dates(frame: DataFrame, feed: str) -> DataFrame:

@@ -83,7 +83,9 @@ def test_rows_outside_the_calendar_are_kept_and_publish_nothing(spark, tmp_path)
 def test_a_file_with_other_columns_is_refused(spark, tmp_path):
     store = WeeklyStore(spark, f"{tmp_path}/store", calendar(spark))
     land(spark, f"{tmp_path}/landing", "a", [], STOCKED)
-    swapped = sales(spark, SOLD).withColumnsRenamed({"STORE_KEY": "PROD_KEY", "PROD_KEY": "STORE_KEY"})
+    swapped = sales(spark, SOLD).toDF(
+        "TRANS_DT", "PROD_KEY", "STORE_KEY", *sales(spark, []).columns[3:]
+    )
     write_csv(swapped, f"{tmp_path}/landing/sales_a.csv")
     with pytest.raises(Exception, match="(?i)header"):
         store.ingest(f"{tmp_path}/landing")

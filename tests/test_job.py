@@ -9,7 +9,7 @@ import pytest
 from frames import calendar, day, inventory, sales
 
 from shelfline import cli
-from shelfline.plans.job import tune_shuffles
+from shelfline.plans import job
 from shelfline.plans.weekly import weekly_stock
 from shelfline.schemas import FEEDS, WEEKLY_COLUMNS
 from shelfline.sources.extract import extract, extract_feeds
@@ -30,11 +30,19 @@ def landed(spark, tmp_path):
     return tmp_path, tables
 
 
+TUNED = (
+    "spark.sql.shuffle.partitions",
+    "spark.sql.files.maxPartitionBytes",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold",
+)
+
+
 @pytest.fixture(autouse=True)
-def shuffle_setting(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+def untuned(spark):
+    before = {key: spark.conf.get(key) for key in TUNED}
     yield
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+    for key, value in before.items():
+        spark.conf.set(key, value)
 
 
 def manifest(landed_on=AS_OF):
@@ -55,7 +63,9 @@ def test_weekly_job(spark, landed, options):
         tuple(r) for r in want.select(WEEKLY_COLUMNS).collect()
     )
     assert got.count() > 0 and got.where("load_tmst IS NULL").count() == 0
-    stores = spark.sql("SELECT STORE_KEY, NAME FROM job_test.store_table WHERE load_tmst > '2023-01-01'")
+    stores = spark.sql(
+        "SELECT STORE_KEY, NAME FROM job_test.store_table WHERE load_tmst > '2023-01-01'"
+    )
     assert sorted(tuple(r) for r in stores.collect()) == [(0, "a"), (1, "b")]
     assert spark.table("job_test.calendar_table").count() == 28
     assert spark.table("job_test.prod_table").count() == 1
@@ -95,14 +105,18 @@ def test_as_of_defaults_to_today():
     assert args.as_of == date.today()
 
 
-def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
-    from shelfline.plans import job
+def test_tasks_and_shuffles_grow_with_the_input_up_to_a_bound(spark, tmp_path, monkeypatch):
+    def tuned():
+        job.tune_session(spark, [str(tmp_path)])
+        return int(spark.conf.get(TUNED[0])), spark.conf.get(TUNED[1])
 
     (tmp_path / "a.csv").write_text("x" * 1000)
-    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert tune_shuffles(spark, [str(tmp_path)]) == before
+    before = int(spark.conf.get(TUNED[0]))
+    assert tuned() == (before, "134217728b")
+    monkeypatch.setattr(job, "SCAN_TASK_BYTES", 20)
+    monkeypatch.setattr(job, "MAX_SCAN_TASKS", 10)
     monkeypatch.setattr(job, "SHUFFLE_PARTITION_BYTES", 10)
-    assert tune_shuffles(spark, [str(tmp_path)]) == 101
+    assert tuned() == (101, "100b")
     monkeypatch.setattr(job, "MAX_SHUFFLE_PARTITIONS", 50)
-    spark.conf.set("spark.sql.shuffle.partitions", str(before))
-    assert tune_shuffles(spark, [str(tmp_path)]) == 50
+    spark.conf.set(TUNED[0], str(before))
+    assert tuned() == (50, "100b")

@@ -38,6 +38,13 @@ def test_columns_are_matched_by_header_and_unknown_ones_kept(spark, tmp_path):
     assert row["TRANS_DT"] == date(2023, 1, 5)
 
 
+def test_part_files_with_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("TRANS_DT,STORE_KEY,PROD_KEY\n2023-01-05,1,2\n")
+    (tmp_path / "b.csv").write_text("TRANS_DT,PROD_KEY,STORE_KEY\n2023-01-05,2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        feeds.scan_feed(spark, "sales", str(tmp_path)).collect()
+
+
 def test_bad_dates_become_null_and_are_counted(spark, tmp_path):
     file = tmp_path / "inventory.csv"
     file.write_text(
@@ -47,8 +54,8 @@ def test_bad_dates_become_null_and_are_counted(spark, tmp_path):
     raw = feeds.read_feed(spark, "inventory", str(file))
     days = [r["CAL_DT"] for r in feeds.fix_dates(raw, "inventory").collect()]
     assert days == [date(2023, 1, 5), None, date(2023, 1, 6)]
-    rejects = {r["column_name"]: r["rejects"] for r in feeds.date_rejects(raw, "inventory").collect()}
-    assert rejects == {"CAL_DT": 1, "NEXT_DELIVERY_DT": 1}
+    rejects = feeds.date_rejects(raw, "inventory").collect()
+    assert {r["column_name"]: r["rejects"] for r in rejects} == {"CAL_DT": 1, "NEXT_DELIVERY_DT": 1}
 
 
 def test_inferred_scan(spark, tmp_path):

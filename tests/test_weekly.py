@@ -157,8 +157,8 @@ def test_left_weekly_sales_keep_sales_without_a_week(spark):
     rows = sales(spark, [(0, 1, 1, 1, 1), (40, 1, 1, 2, 2)])
     days = check_calendar(calendar(spark)).days
     assert weekly_sales(rows, days).count() == 1
-    left = {r["YR_WK_NUM"]: r["total_sales_qty"] for r in weekly_sales(rows, days, "left").collect()}
-    assert left == {202301: 1, None: 2}
+    left = weekly_sales(rows, days, "left").collect()
+    assert {r["YR_WK_NUM"]: r["total_sales_qty"] for r in left} == {202301: 1, None: 2}
 
 
 def test_both_policies_have_the_same_keys(spark):
