@@ -49,6 +49,8 @@ class WeeklyStore:
 
         The landing folder holds ``sales_<date>.csv`` and ``inventory_<date>.csv``,
         each a file or a folder of part files, with the columns of their schema.
+        A file adds rows; extracts that repeat the whole history are for the
+        weekly job.
         """
         landing = landing.rstrip("/")
         days = self.calendar.days

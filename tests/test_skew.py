@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from frames import calendar, day
 from pyspark.sql import functions as F
 
+from shelfline.operators import calendar as calendar_operators
 from shelfline.operators import completeness
 from shelfline.operators.calendar import check_calendar
 from shelfline.plans.weekly import weekly_stock
+from shelfline.sources.sinks import write_table
 
 ROWS = 6000
 
@@ -123,6 +126,21 @@ def test_hot_group_is_whole_and_split(spark, facts, policy, join):
     assert f"{join}(skew=true)" in plan
 
 
+def test_hot_week_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(30000).select(
+        F.xxhash64("id").alias("value"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("YR_WK_NUM"),
+    )
+    with settings(
+        spark,
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
+        spark__sql__files__maxPartitionBytes="64KB",
+    ):
+        write_table(rows, f"{tmp_path}/t", "YR_WK_NUM")
+    assert len(list(Path(tmp_path, "t", "YR_WK_NUM=0").glob("*.parquet"))) > 1
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 30000
+
+
 def test_missing_snapshots_of_a_hot_product(spark, facts):
     _, stocked = facts
     days = check_calendar(calendar(spark)).days
@@ -135,12 +153,10 @@ def test_missing_snapshots_of_a_hot_product(spark, facts):
 
 
 def test_calendar_beyond_the_broadcast_bound_gives_the_same_rows(spark, facts, monkeypatch):
-    from shelfline.operators import calendar as module
-
     sold, stocked = facts
     args = (sold, stocked, calendar(spark), day(15))
     small = Counter(tuple(r) for r in weekly_stock(*args).collect())
-    monkeypatch.setattr(module, "MAX_BROADCAST_DAYS", 3)
+    monkeypatch.setattr(calendar_operators, "MAX_BROADCAST_DAYS", 3)
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         large = weekly_stock(*args)
         plan = large._jdf.queryExecution().executedPlan().toString()
