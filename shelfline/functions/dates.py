@@ -26,5 +26,5 @@ def feed_day(run_date: Column) -> Column:
     return F.date_sub(run_date, 1)
 
 
-def day_lit(day: date) -> Column:
+def day_lit(day: date | None) -> Column:
     return F.lit(day).cast("date")

@@ -23,6 +23,8 @@ class CheckedCalendar:
 
     frame: DataFrame
     day_count: int
+    first_day: date | None
+    last_day: date | None
     current_week: int | None
 
     @property
@@ -35,6 +37,15 @@ class CheckedCalendar:
         """The three columns the weekly job needs, ready to join."""
         return self._hinted(self.frame.select(DAY_COLUMNS))
 
+    def within(self, facts: DataFrame, date_column: str) -> DataFrame:
+        """The facts between the calendar's first and last day.
+
+        The join to the calendar keeps no others; as plain bounds on the date
+        they reach the scan, which can then skip partitions and row groups.
+        """
+        first, last = day_lit(self.first_day), day_lit(self.last_day)
+        return facts.where(F.col(date_column).between(first, last))
+
     def _hinted(self, frame: DataFrame) -> DataFrame:
         # Beyond the bound Spark chooses the join, and AQE splits a hot date.
         return F.broadcast(frame) if self.day_count <= MAX_BROADCAST_DAYS else frame
@@ -53,6 +64,8 @@ def check_calendar(calendar: DataFrame, as_of: date | None = None) -> CheckedCal
         .agg(F.count(F.lit(1)).alias("n"), F.max("YR_WK_NUM").alias("week"))
         .agg(
             F.count(F.lit(1)).alias("days"),
+            F.min("CAL_DT").alias("first"),
+            F.max("CAL_DT").alias("last"),
             F.max("n").alias("most"),
             F.max(F.when(is_today, F.col("week"))).alias("current_week"),
             F.min(F.when(F.col("n") > 1, F.col("CAL_DT"))).alias("first_double"),
@@ -66,7 +79,9 @@ def check_calendar(calendar: DataFrame, as_of: date | None = None) -> CheckedCal
         )
     if as_of is not None and found["current_week"] is None:
         raise ValueError(f"as_of date {as_of} has no week in the calendar")
-    return CheckedCalendar(known, found["days"], found["current_week"])
+    return CheckedCalendar(
+        known, found["days"], found["first"], found["last"], found["current_week"]
+    )
 
 
 def current_week(calendar: DataFrame, as_of: date) -> DataFrame:

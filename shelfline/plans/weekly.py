@@ -52,4 +52,8 @@ def weekly_stock(
     """
     checked = check_calendar(calendar, as_of)
     days = checked.days.where(F.col("YR_WK_NUM") <= checked.current_week)
-    return weekly_table(dated_sales(sales, days), dated_inventory(inventory, days), policy)
+    return weekly_table(
+        dated_sales(checked.within(sales, "TRANS_DT"), days),
+        dated_inventory(checked.within(inventory, "CAL_DT"), days),
+        policy,
+    )

@@ -102,7 +102,27 @@ def test_sums_are_formed_before_the_shuffle(unhinted):
     assert "partial_sum" in plan
 
 
-def test_dimension_week_filter_prunes_partitions(spark, tmp_path):
+def test_calendar_bounds_reach_the_scans(unhinted, tmp_path):
+    from frames import calendar, day, inventory, sales
+    from shelfline.plans.weekly import weekly_stock
+
+    spark = unhinted
+    inventory(spark, [(0, 1, 1, 1, 1, 0)]).write.parquet(f"{tmp_path}/inventory")
+    sales(spark, [(0, 1, 1, 1, 1)]).write.parquet(f"{tmp_path}/sales")
+    table = weekly_stock(
+        spark.read.parquet(f"{tmp_path}/sales"),
+        spark.read.parquet(f"{tmp_path}/inventory"),
+        calendar(spark),
+        day(3),
+    )
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    for column, scans in (("TRANS_DT", 1), ("CAL_DT", 2)):
+        assert plan.count(f"GreaterThanOrEqual({column},2023-01-01)") == scans
+        assert plan.count(f"LessThanOrEqual({column},2023-01-28)") == scans
+    assert table.count() == 1
+
+
+def test_week_filter_prunes_partitions(spark, tmp_path):
     from shelfline.sources.sinks import write_table
 
     frame = spark.range(50).selectExpr("id", "cast(id % 5 AS int) AS YR_WK_NUM")
