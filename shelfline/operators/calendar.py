@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import day_lit
+from shelfline.functions.size import csv_bytes
 
-# A calendar has one row per day, so this is more than 500 years; the widest
-# calendar row takes well under 200 bytes, which bounds the broadcast at 40 MB.
+# Largest calendar to broadcast: one row per day, so this is more than 500 years. Its
+# date and two numbers take a few megabytes; with all columns, texts may be of any
+# length and the bytes are measured.
 MAX_BROADCAST_DAYS = 200_000
+MAX_BROADCAST_BYTES = 32 * 1024**2
 
 DAY_COLUMNS = ["CAL_DT", "DAY_OF_WK_NUM", "YR_WK_NUM"]
 
@@ -30,12 +33,12 @@ class CheckedCalendar:
     @property
     def full(self) -> DataFrame:
         """All calendar columns, ready to join."""
-        return self._hinted(self.frame)
+        return self._hinted(self.frame, csv_bytes(self.frame) <= MAX_BROADCAST_BYTES)
 
     @property
     def days(self) -> DataFrame:
         """The three columns the weekly job needs, ready to join."""
-        return self._hinted(self.frame.select(DAY_COLUMNS))
+        return self._hinted(self.frame.select(DAY_COLUMNS), True)
 
     def within(self, facts: DataFrame, date_column: str) -> DataFrame:
         """The facts between the calendar's first and last day.
@@ -46,9 +49,10 @@ class CheckedCalendar:
         first, last = day_lit(self.first_day), day_lit(self.last_day)
         return facts.where(F.col(date_column).between(first, last))
 
-    def _hinted(self, frame: DataFrame) -> DataFrame:
-        # Beyond the bound Spark chooses the join, and AQE splits a hot date.
-        return F.broadcast(frame) if self.day_count <= MAX_BROADCAST_DAYS else frame
+    def _hinted(self, frame: DataFrame, narrow: bool) -> DataFrame:
+        # Beyond the bounds Spark chooses the join, and AQE splits a hot date.
+        small = narrow and self.day_count <= MAX_BROADCAST_DAYS
+        return F.broadcast(frame) if small else frame
 
 
 def check_calendar(calendar: DataFrame, as_of: date | None = None) -> CheckedCalendar:

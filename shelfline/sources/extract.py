@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import day_lit
+from shelfline.functions.size import csv_bytes
 from shelfline.sources.together import together
 
 # Fixed value: most bytes a single-file extract may have.
@@ -35,8 +36,7 @@ def one_file(frame: DataFrame) -> DataFrame:
     Its size as CSV text is summed over all tasks first; ``ValueError`` if it is
     over the single-file limit.
     """
-    line = F.to_csv(F.struct(*[F.col(c) for c in frame.columns]))
-    size = frame.agg(F.sum(F.octet_length(line) + 1).alias("bytes")).first()["bytes"] or 0
+    size = csv_bytes(frame)
     if size > SINGLE_FILE_BYTES:
         raise ValueError(f"{size} bytes do not fit a single file of {SINGLE_FILE_BYTES}")
     return frame.repartition(1)

@@ -162,3 +162,13 @@ def test_calendar_beyond_the_broadcast_bound_gives_the_same_rows(spark, facts, m
         plan = large._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan
         assert Counter(tuple(r) for r in large.collect()) == small
+
+
+def test_wide_calendar_is_not_broadcast(spark, monkeypatch):
+    def hinted(frame):
+        return "ResolvedHint" in frame._jdf.queryExecution().analyzed().toString()
+
+    checked = check_calendar(calendar(spark))
+    assert hinted(checked.full) and hinted(checked.days)
+    monkeypatch.setattr(calendar_operators, "MAX_BROADCAST_BYTES", 100)
+    assert not hinted(checked.full) and hinted(checked.days)
