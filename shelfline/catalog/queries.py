@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from shelfline.catalog import tables
 from shelfline.catalog.tables import AS_OF, LANDING
 from shelfline.functions.dates import day_lit
-from shelfline.functions.kpis import with_kpis
 from shelfline.functions.paths import feed_table_name
 from shelfline.operators import completeness, inventory, sales
 from shelfline.operators.calendar import (
@@ -27,7 +26,7 @@ from shelfline.operators.calendar import (
 )
 from shelfline.plans import weekly
 from shelfline.plans.job import publish_outputs, run_job
-from shelfline.schemas import DATE_COLUMNS, FEEDS, WEEKLY_COLUMNS
+from shelfline.schemas import DATE_COLUMNS, FEEDS
 from shelfline.sources import extract, feeds, manifest, sinks
 from shelfline.sources.manifest import JobPaths
 from shelfline.sources.together import together
@@ -71,19 +70,16 @@ def date_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.date_rejects(feeds.read_feed(spark, "inventory", path), "inventory")
 
 
-def manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ready = completeness.ready_runs(
-        expected_feeds(spark, sf_dir), tables.arrivals(spark, sf_dir)
-    )
-    return manifest.manifest_paths(ready, INPUT_ROOT)
-
-
 def ready_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return completeness.ready_runs(
         expected_feeds(spark, sf_dir), tables.arrivals(spark, sf_dir)
     )
 
 
+def manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest_paths(ready_runs(spark, sf_dir), INPUT_ROOT)
+
+
 def feed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = tables.arrivals(spark, sf_dir)
     return arrivals.select("path", feed_table_name(F.col("path")).alias("table_name"))
@@ -157,14 +153,12 @@ def weekly_sales_no_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KPIs of all weeks, computed on already joined weekly rows."""
+    """The weekly table of all weeks."""
     days = _calendar(spark, sf_dir).days
-    dated = inventory.dated_inventory(tables.inventory(spark, sf_dir), days)
-    joined = weekly.sales_and_stock_outs(
-        sales.dated_sales(tables.sales(spark, sf_dir), days), dated
+    return weekly.weekly_table(
+        sales.dated_sales(tables.sales(spark, sf_dir), days),
+        inventory.dated_inventory(tables.inventory(spark, sf_dir), days),
     )
-    stocked = inventory.attach_levels(joined, inventory.snapshot_levels(dated), "last_snapshot")
-    return with_kpis(stocked).select(WEEKLY_COLUMNS)
 
 
 def _weekly_stock(policy: inventory.StockPolicy) -> Query:

@@ -42,10 +42,13 @@ def one_file(frame: DataFrame) -> DataFrame:
     return frame.repartition(1)
 
 
-def write_csv(frame: DataFrame, path: str, single_file: bool = False) -> int:
+def write_csv(
+    frame: DataFrame, path: str, single_file: bool = False, max_rows_per_file: int = 0
+) -> int:
     """Write uncompressed CSV with a header over ``path``; returns the rows written.
 
     The rows are counted by the writing tasks themselves, not by a second scan.
+    ``max_rows_per_file`` cuts large part files; 0 sets no limit.
     """
     if single_file:
         frame = one_file(frame)
@@ -55,6 +58,7 @@ def write_csv(frame: DataFrame, path: str, single_file: bool = False) -> int:
         .write.mode("overwrite")
         .option("header", True)
         .option("compression", "none")
+        .option("maxRecordsPerFile", max_rows_per_file)
         .csv(path)
     )
     return written.get["rows"]

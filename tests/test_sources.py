@@ -98,6 +98,13 @@ def test_single_file_extract_is_plain_csv_with_header(spark, tmp_path):
     assert part.read_text().startswith("TRANS_DT,STORE_KEY,")
 
 
+def test_part_files_can_be_cut_by_rows(spark, tmp_path):
+    frame = sales(spark, [(n % 7, n, 1, 1, 1) for n in range(50)]).coalesce(1)
+    assert extract.write_csv(frame, f"{tmp_path}/s.csv", max_rows_per_file=20) == 50
+    assert len(list(Path(tmp_path, "s.csv").glob("part-*"))) == 3
+    assert feeds.scan_feed(spark, "sales", f"{tmp_path}/s.csv").count() == 50
+
+
 def test_single_file_has_a_byte_limit(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(extract, "SINGLE_FILE_BYTES", 100)
     frame = sales(spark, [(n % 7, n, 1, 1, 1) for n in range(50)])
