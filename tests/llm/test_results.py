@@ -200,10 +200,17 @@ def test_large_postings_in_chunks(spark):
     import numpy as np
 
     rng = np.random.default_rng(2)
-    near = [int(2**40 * 77 + x) for x in rng.integers(0, 2**16, 400)]
+    near = [int(2**40 * 77 + x) for x in rng.integers(0, 2**16, 400)] + [int(x) - 2**63 for x in rng.integers(0, 2**14, 100)]
     fps = spark.createDataFrame([(x,) for x in set(near)], "fp long")
     whole, cut = (simhash.components(simhash.links(fps, chunk=c)).collect() for c in (20_000, 60))
     assert sorted(map(tuple, whole)) == sorted(map(tuple, cut))
+    up = {x: x for x in near}
+    for a in near:
+        for b in near:
+            if ((a ^ b) & (2**64 - 1)).bit_count() <= 4:
+                old, new = sorted((up[a], up[b]), reverse=True)
+                up.update({x: new for x, y in up.items() if y == old})
+    assert {r["node"]: r["root"] for r in whole} == {x: y for x, y in up.items() if sum(z == y for z in up.values()) > 1}
 
 
 def test_spans_are_added_not_lost(docs, given):
