@@ -40,6 +40,8 @@ from shelfline.llm.texts import covered, plain, rolling, slices, sliding, split_
 
 #: Words of a window, of an anchor, and of a phrase of the automaton.
 WINDOW, ANCHOR, PHRASE = 20, 6, 10
+#: Characters that stand for a word in the automaton.
+SYMBOLS = 4
 #: Staged blocks of text in a shard; bytes of text for each task that gathers anchors or windows.
 SHARD_BLOCKS, ANCHOR_BYTES, WINDOW_BYTES = 4, 48 << 20, 16 << 20
 #: A null doc_id.
@@ -273,10 +275,9 @@ class Passages:
         self.window, self.at, self.place, self.of = window[order], own[order], place[order], self.doc[owner][order]
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         line = symbols(self.hash)
-        step = WINDOW - PHRASE + 1
         for a, b in zip(self.ends.tolist(), self.ends[1:].tolist()):
-            for i in range(a, b - PHRASE + 1, step):
-                self.automaton.add_word(line[i : i + PHRASE])
+            for i in range(a, b - PHRASE + 1, WINDOW - PHRASE + 1):
+                self.automaton.add_word(line[SYMBOLS * i : SYMBOLS * (i + PHRASE)])
         if len(self.automaton):
             self.automaton.make_automaton()
 
@@ -287,32 +288,51 @@ class Passages:
             return none
         (hashes,) = word_hashes(words.words)
         ends = np.fromiter((end for end, _ in self.automaton.iter(symbols(hashes))), np.int64)
+        ends = ends[ends % SYMBOLS == SYMBOLS - 1] // SYMBOLS
         if not len(ends):
             return none
-        first = np.maximum(ends - WINDOW + 1, 0)
         n = len(hashes)
-        near = covered(n, first, WINDOW - PHRASE + 1)[: n - WINDOW + 1] & words.starts()
+        near = covered(n, np.maximum(ends - WINDOW + 1, 0), WINDOW - PHRASE + 1)[: n - WINDOW + 1] & words.starts()
         at = np.flatnonzero(near)
         window = rolling(hashes, WINDOW)[at]
         found = np.minimum(np.searchsorted(self.window, window), len(self.window) - 1)
         same = self.window[found] == window
         at, found = at[same], found[same]
-        coded = pa.chunked_array([self.words, words.words.cast(self.words.type)]).combine_chunks().dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        theirs, ours = codes[: len(self.words)], codes[len(self.words) :]
-        equal = np.ones(len(at), bool)
-        for i in range(WINDOW):
-            equal &= theirs[self.at[found] + i] == ours[at + i]
+        at, found = self.verified(words, at, found)
         owner = np.searchsorted(words.ends, at, side="right") - 1
         doc, place = words.ids[owner], at - words.ends[owner]
         earlier = (self.of[found] < doc) | ((self.of[found] == doc) & (self.place[found] < place))
-        return at[equal & earlier]
+        return at[earlier]
+
+    def verified(self, words: Words, at: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows that equal their passage's word for word.
+
+        Of windows in a row that follow one passage, each needs its first word compared, and the
+        last one all its words.
+        """
+        if not len(at):
+            return at, found
+        theirs = self.at[found]
+        last = np.r_[(at[1:] != at[:-1] + 1) | (theirs[1:] != theirs[:-1] + 1), True]
+        more = np.arange(1, WINDOW)
+        a = np.concatenate([at, (at[last][:, None] + more).ravel()])
+        b = np.concatenate([theirs, (theirs[last][:, None] + more).ravel()])
+        equal = pc.equal(words.words.take(pa.array(a)), self.words.take(pa.array(b))).to_numpy(zero_copy_only=False)
+        run = np.cumsum(np.r_[False, last[:-1]])
+        bad = np.bincount(run, ~equal[: len(at)]) + np.bincount(np.arange(last.sum()).repeat(WINDOW - 1), ~equal[len(at) :])
+        good = bad[run] == 0
+        return at[good], found[good]
 
 
 def symbols(hashes: np.ndarray) -> str:
-    """A character for each word; words may share one, as what is located is compared afterwards."""
-    code = (hashes % np.uint64(0x10F000)).astype(np.uint32) + np.uint32(1)
-    return np.where(code >= 0xD800, code + 0x800, code).astype("<u4").tobytes().decode("utf-32-le")
+    """A few characters of a small alphabet for each word, so that nodes have few branches.
+
+    Words may share theirs, as what is located is compared afterwards.
+    """
+    code = np.empty((len(hashes), SYMBOLS), np.uint8)
+    for i in range(SYMBOLS):
+        code[:, i] = (hashes >> np.uint64(5 * i)) & np.uint64(31)
+    return (code + 65).tobytes().decode("latin-1")
 
 
 def remove(rows: pa.Table, sent: pa.Table) -> pa.Table:
