@@ -66,8 +66,8 @@ def cut_documents(docs: DataFrame, content: str, room: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = units_of(content)
         for batch in (x for whole in batches for x in slices(whole)):
-            rows, texts = [], [x or "" for x in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), units.encode(texts)):
+            rows = []
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), units.encode(batch.column("text"))):
                 ids += b"\0\0\0\0"
                 n, view = len(ids) // 4, memoryview(ids)
                 rows += [(doc_id, a, min(room, n - a), zlib.crc32(view[4 * a : 4 * min(n, a + room)]), n) for a in range(0, n, room)]

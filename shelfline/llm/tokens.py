@@ -12,24 +12,25 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.store import shared_folder
-from shelfline.llm.texts import slices
+from shelfline.llm.texts import plain, slices
 
 #: Units whose tokens a worker remembers before it starts over.
-MEMORY = 900_000
+MEMORY = 1_200_000
 CACHE = "version string, digest binary, n_tokens long"
-#: Unicode's White_Space, as the tokenizers' \s has it.
-SPACE = "\t-\r \x85\xa0  -     　"
-UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+#: Marks that are learned apart from the word they follow.
+MARKS = frozenset(".,")
+#: Latin letters; after these a mark is never part of the same token.
+LETTERS = frozenset(chr(c) for c in range(0x41, 0x100) if chr(c).isalpha() and c not in (0xAA, 0xBA))
 
 
 class Units:
@@ -45,22 +46,58 @@ class Units:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.ids: dict[str, bytes] = {}
+        self.again: set[str] = set()
 
     def learn(self, units: list[str]) -> None:
-        got = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        self.ids.update(zip(units, (array("I", x.ids).tobytes() for x in got)))
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [UNIT.findall(text) for text in texts]
-        every = set().union(*cut)
+        """Encodes the units; a full stop or comma after a letter is always a token of its own."""
+        stems = [u[:-1] if u[-1:] in MARKS and u[-2:-1] in LETTERS else u for u in units]
+        new = list({*stems, *MARKS}.difference(self.ids))
+        got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.ids.update(zip(new, (array("I", x.ids).tobytes() for x in got)))
+        for unit, stem in zip(units, stems):
+            if unit not in self.ids:
+                self.ids[unit] = self.ids[stem] + self.ids[unit[-1]]
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; null is empty."""
+        texts = plain(texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[: len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = texts.buffers()[2] if len(texts) and offsets[-1] else pa.py_buffer(b"")
+        starts = unit_starts(np.frombuffer(data, np.uint8)[: offsets[-1]], offsets)
+        cut = pa.py_buffer(np.r_[starts, offsets[-1]])
+        coded = pa.Array.from_buffers(pa.large_string(), len(starts), [None, cut, data]).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        self.remember(set(names))
+        ids = pa.array([self.ids[x] for x in names], pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        every = ids.buffers()[2].to_pybytes() if ends[-1] else b""
+        at = ends[np.searchsorted(starts, offsets)].tolist()
+        for a, b in zip(at, at[1:]):
+            yield every[a:b]
+
+    def remember(self, every: set[str]) -> None:
+        """Learns what is new; when there is too much, only units that were met again stay."""
         new = every.difference(self.ids)
-        if len(self.ids) + len(new) > MEMORY:
-            self.ids.clear()
-            new = every
+        self.again |= every - new
+        if len(self.ids) + 2 * len(new) > MEMORY:
+            keep = (self.again if len(self.again) < MEMORY // 2 else set()) | (every - new)
+            self.ids, self.again = {u: self.ids[u] for u in keep if u in self.ids}, set()
+            new = every.difference(self.ids)
         self.learn(list(new))
-        for units in cut:
-            yield b"".join(map(self.ids.__getitem__, units))
+
+
+def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where units start: at every text, and at ASCII white space that follows anything else.
+
+    After a byte of a character that isn't ASCII this is certain only for those that start with
+    0xC3 (Latin letters): others may be white space, and then the unit goes on.
+    """
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    first = np.zeros(len(data), bool)
+    first[1:] = space[1:] & ~space[:-1] & (data[:-1] < 128)
+    first[2:] |= space[2:] & (data[1:-1] >= 128) & (data[:-2] == 0xC3)
+    first[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(first).astype(np.int64)
 
 
 _UNITS: dict[str, Units] = {}
@@ -85,7 +122,7 @@ def encode_misses(misses: DataFrame, content: str, version: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = units_of(content)
         for batch in (x for whole in batches for x in slices(whole)):
-            counts = [len(x) // 4 for x in units.encode(batch.column("text").to_pylist())]
+            counts = [len(x) // 4 for x in units.encode(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([version] * len(counts)), batch.column("digest"), pa.array(counts, pa.int64())],
                 names=["version", "digest", "n_tokens"],
