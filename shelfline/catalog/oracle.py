@@ -19,7 +19,7 @@ sales AS (
          CASE WHEN l_returnflag = 'R' THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS SALES_QTY,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS SALES_AMT,
          floor(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) / 7.0) AS SALES_PRICE,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS SALES_COST,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) - CAST(l_quantity AS DECIMAL(9,0)) AS DECIMAL(18,2)) AS SALES_COST,
          CASE WHEN l_discount <> 0 THEN CAST(l_tax * 100 AS DECIMAL(18,2)) END AS SHIP_COST
   FROM lineitem
 )"""
@@ -83,7 +83,7 @@ product AS (
 _WEEKLY_SALES = """
 weekly_sales AS (
   SELECT YR_WK_NUM, STORE_KEY, PROD_KEY,
-         CAST(sum(SALES_QTY) AS BIGINT) AS total_sales_qty,
+         CAST(sum(SALES_QTY) AS DOUBLE) AS total_sales_qty,
          CAST(sum(SALES_AMT) AS DOUBLE) AS total_sales_amount,
          CAST(sum(SALES_COST + SHIP_COST) AS DOUBLE) AS total_cost
   FROM sales JOIN calendar ON TRANS_DT = calendar.CAL_DT
@@ -175,7 +175,9 @@ def _query(body: str, *ctes: str) -> str:
 
 _FACTS = (_SALES, _INVENTORY, _CALENDAR)
 _STOCKED = (*_FACTS, _WEEKLY_SALES, _DATED, _NO_STOCK)
-_WEEKLY_LIST = ", ".join(WEEKLY_COLUMNS)
+_WEEKLY_LIST = ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" if c.endswith("_eow") else c for c in WEEKLY_COLUMNS
+)
 _UP_TO_NOW = (
     f"SELECT {_WEEKLY_LIST} FROM weekly WHERE YR_WK_NUM <= "
     f"(SELECT YR_WK_NUM FROM calendar WHERE CAL_DT = DATE '{AS_OF}')"
@@ -185,7 +187,7 @@ _WEEKLY_STOCK = _query(_UP_TO_NOW, *_STOCKED, _LAST_SNAPSHOT, _WEEKLY)
 _DAILY = """
 daily AS (
   SELECT TRANS_DT, STORE_KEY, PROD_KEY,
-         CAST(sum(SALES_QTY) AS BIGINT) AS total_sales_qty,
+         CAST(sum(SALES_QTY) AS DOUBLE) AS total_sales_qty,
          CAST(sum(SALES_AMT) AS DOUBLE) AS total_sales_amount,
          avg(SALES_PRICE) AS avg_sales_price,
          CAST(sum(SALES_COST + SHIP_COST) AS DOUBLE) AS total_cost
@@ -205,19 +207,27 @@ _CUT_OFF = {
     "inventory": f" WHERE CAL_DT <= DATE '{AS_OF}'",
 }
 
-# Keys of store and product are read back from CSV with the type Spark infers; money is
-# compared as DOUBLE.
+# Money and quantities read from CSV are compared as DOUBLE.
 _AS_READ = {
-    "sales": """* REPLACE (CAST(SALES_AMT AS DOUBLE) AS SALES_AMT,
+    "sales": """* REPLACE (CAST(SALES_QTY AS DOUBLE) AS SALES_QTY,
+                         CAST(SALES_AMT AS DOUBLE) AS SALES_AMT,
                          CAST(SALES_COST AS DOUBLE) AS SALES_COST,
                          CAST(SHIP_COST AS DOUBLE) AS SHIP_COST)""",
-    "store": "* REPLACE (CAST(STORE_KEY AS INTEGER) AS STORE_KEY)",
-    "product": "* REPLACE (CAST(PROD_KEY AS INTEGER) AS PROD_KEY)",
+    "inventory": """* REPLACE (CAST(INVENTORY_ON_HAND_QTY AS DOUBLE) AS INVENTORY_ON_HAND_QTY,
+                         CAST(INVENTORY_ON_ORDER_QTY AS DOUBLE) AS INVENTORY_ON_ORDER_QTY,
+                         CAST(WASTE_QTY AS DOUBLE) AS WASTE_QTY)""",
+}
+
+# The feed has fractions and words for some waste.
+_FEED_WASTE = "CASE WASTE_QTY WHEN 4 THEN NULL WHEN 3 THEN 2.5 ELSE WASTE_QTY END"
+_AS_SCANNED = {
+    **_AS_READ,
+    "inventory": _AS_READ["inventory"].replace("CAST(WASTE_QTY", f"CAST({_FEED_WASTE}"),
 }
 
 ORACLE: dict[str, str] = {
     **{
-        f"scan_{t}": _query(f"SELECT {_AS_READ.get(t, '*')} FROM {t}", cte)
+        f"scan_{t}": _query(f"SELECT {_AS_SCANNED.get(t, '*')} FROM {t}", cte)
         for t, cte in _TABLE_CTES.items()
     },
     **{
@@ -243,6 +253,15 @@ ORACLE: dict[str, str] = {
            FROM inventory""",
         _INVENTORY,
     ),
+    "feed_rejects": _query(
+        """SELECT 'inventory' AS table_name, unnest(['CAL_DT', 'STORE_KEY', 'PROD_KEY',
+                  'INVENTORY_ON_HAND_QTY', 'INVENTORY_ON_ORDER_QTY', 'OUT_OF_STOCK_FLG',
+                  'WASTE_QTY', 'PROMOTION_FLG', 'NEXT_DELIVERY_DT']) AS column_name,
+                  unnest([0, 0, 0, 0, 0, 0, count_if(WASTE_QTY = 4), 0,
+                          count(*) - count(NEXT_DELIVERY_DT)]::BIGINT[]) AS rejects
+           FROM inventory""",
+        _INVENTORY,
+    ),
     "feed_table_name": _query(
         "SELECT path, split_part(split_part(path, '/', -1), '_', 1) AS table_name FROM arrivals",
         _ARRIVALS,
@@ -327,21 +346,35 @@ ORACLE: dict[str, str] = {
                    CAST(sum(total_sales_qty) AS BIGINT) AS sales_qty,
                    CAST(sum(Low_Stock_flg) AS BIGINT) AS low_stock_rows,
                    CAST(sum(No_Stock_Instances) AS BIGINT) AS stock_outs,
-                   count(DISTINCT YR_WK_NUM) AS weeks
-            FROM ({_UP_TO_NOW}) JOIN store USING (STORE_KEY)
+                   count(DISTINCT YR_WK_NUM) AS weeks,
+                   count(DISTINCT BRAND_DESC) AS brands,
+                   max(days) AS most_days
+            FROM ({_UP_TO_NOW}) JOIN store USING (STORE_KEY) JOIN product USING (PROD_KEY)
+            JOIN (SELECT YR_WK_NUM, count(*) AS days FROM calendar GROUP BY ALL)
+              USING (YR_WK_NUM)
             GROUP BY ALL""",
         *_STOCKED,
         _LAST_SNAPSHOT,
         _WEEKLY,
         _STORE,
+        _PRODUCT,
     ),
     "missing_snapshots": _query(
-        """SELECT calendar.CAL_DT, STORE_KEY, PROD_KEY
-           FROM calendar, (SELECT DISTINCT STORE_KEY, PROD_KEY FROM inventory) pairs
-           WHERE (calendar.CAL_DT, STORE_KEY, PROD_KEY) NOT IN
-                 (SELECT (CAL_DT, STORE_KEY, PROD_KEY) FROM inventory)""",
+        f"""SELECT min(CAL_DT) AS first_day, max(CAL_DT) AS last_day,
+                   CAST(count(*) AS BIGINT) AS days, STORE_KEY, PROD_KEY
+            FROM (
+              SELECT *, place - row_number() OVER (PARTITION BY STORE_KEY, PROD_KEY
+                                                   ORDER BY place) AS stretch
+              FROM until, (SELECT DISTINCT STORE_KEY, PROD_KEY
+                           FROM inventory JOIN until USING (CAL_DT)) pairs
+              WHERE (until.CAL_DT, STORE_KEY, PROD_KEY) NOT IN
+                    (SELECT (CAL_DT, STORE_KEY, PROD_KEY) FROM inventory)
+            )
+            GROUP BY STORE_KEY, PROD_KEY, stretch""",
         _INVENTORY,
         _CALENDAR,
+        f"""until AS (SELECT CAL_DT, row_number() OVER (ORDER BY CAL_DT) AS place
+                      FROM calendar WHERE CAL_DT <= DATE '{AS_OF}')""",
     ),
     "stock_without_sales": _query(
         """SELECT YR_WK_NUM, STORE_KEY, PROD_KEY FROM no_stock
@@ -354,4 +387,12 @@ ORACLE: dict[str, str] = {
         *_STOCKED,
     ),
     "ingest_available_now": _WEEKLY_STOCK,
+    "ingest_daily_extracts": _query(
+        _UP_TO_NOW,
+        *(c.replace(f"FROM {t}", f"FROM (SELECT * FROM {t}{_CUT_OFF[t]}) {t}") if t else c
+          for t, c in ((None, _SALES), (None, _INVENTORY), (None, _CALENDAR),
+                       ("sales", _WEEKLY_SALES), ("inventory", _DATED), (None, _NO_STOCK),
+                       (None, _LAST_SNAPSHOT), (None, _WEEKLY))),
+    ),
+    "ingest_calendar_extended": _WEEKLY_STOCK,
 }

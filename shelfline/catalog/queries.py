@@ -6,12 +6,14 @@ frame whose columns are named as in :mod:`shelfline.catalog.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.catalog import tables
 from shelfline.catalog.tables import AS_OF, LANDING
@@ -38,6 +40,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOAD_TMST = datetime(2023, 6, 1, 2, 0)
 SECOND_LANDING = date(2023, 5, 1)
 INPUT_ROOT = "in/"
+DIMENSION_TYPES = {
+    "store": {"NATION_KEY": T.IntegerType(), "STORE_BALANCE": T.DoubleType()},
+    "product": {"SIZE_NUM": T.IntegerType(), "LIST_PRICE": T.DoubleType()},
+}
 
 
 def _calendar(spark: SparkSession, sf_dir: str) -> CheckedCalendar:
@@ -59,11 +65,17 @@ def _scan(feed: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = work_path(spark, f"{feed}.csv")
         extract.write_csv(tables.as_feed(spark, sf_dir, feed), path)
-        return _plain_money(feeds.scan_feed(spark, feed, path))
+        return _plain_money(feeds.scan_feed(spark, feed, path, types=DIMENSION_TYPES.get(feed)))
 
     return query
 
 
+def feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "inventory.csv")
+    extract.write_csv(tables.as_feed(spark, sf_dir, "inventory"), path)
+    return feeds.feed_rejects(feeds.read_feed(spark, "inventory", path), "inventory")
+
+
 def date_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "inventory.csv")
     extract.write_csv(tables.as_feed(spark, sf_dir, "inventory"), path)
@@ -95,7 +107,7 @@ def _extract(table: str) -> Query:
         frame = extract.extract(tables.TABLES[table](spark, sf_dir), table, AS_OF)
         path = extract.extract_path(work_path(spark, "extract"), table, AS_OF)
         extract.write_csv(frame, path)
-        return _plain_money(feeds.scan_feed(spark, table, path))
+        return _plain_money(feeds.scan_feed(spark, table, path, types=DIMENSION_TYPES.get(table)))
 
     return query
 
@@ -128,7 +140,7 @@ def weekly_sales_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Inventory
 
 
-def _on_inventory(operator: Callable[..., DataFrame], **options: str) -> Query:
+def _on_inventory(operator: Callable[..., DataFrame], **options: str | date) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         days = _calendar(spark, sf_dir).days
         return operator(tables.inventory(spark, sf_dir), days, **options)
@@ -208,17 +220,23 @@ def published_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     argument = ", ".join(f'"{t}": "{t}_{AS_OF:%Y-%m-%d}.csv"' for t in FEEDS)
     paths = JobPaths.from_json("{" + argument + "}", root, root + "analysis/")
     run_job(spark, paths, AS_OF, load_tmst=LOAD_TMST)
-    publish_outputs(spark, paths, "shelfline")
+    database = f"shelfline_{uuid.uuid4().hex}"
+    publish_outputs(spark, paths, database)
     return spark.sql(
-        """
+        f"""
         SELECT w.STORE_KEY, s.STORE_DESC,
                count(*) AS weekly_rows,
-               sum(w.total_sales_qty) AS sales_qty,
+               CAST(sum(w.total_sales_qty) AS BIGINT) AS sales_qty,
                sum(w.Low_Stock_flg) AS low_stock_rows,
                sum(w.No_Stock_Instances) AS stock_outs,
-               count(DISTINCT w.YR_WK_NUM) AS weeks
-        FROM shelfline.weekly_agg_table w
-        JOIN shelfline.store_table s ON s.STORE_KEY = w.STORE_KEY
+               count(DISTINCT w.YR_WK_NUM) AS weeks,
+               count(DISTINCT p.BRAND_DESC) AS brands,
+               max(c.days) AS most_days
+        FROM {database}.weekly_agg_table w
+        JOIN {database}.store_table s ON s.STORE_KEY = w.STORE_KEY
+        JOIN {database}.prod_table p ON p.PROD_KEY = w.PROD_KEY
+        JOIN (SELECT YR_WK_NUM, count(*) AS days FROM {database}.calendar_table
+              GROUP BY YR_WK_NUM) c ON c.YR_WK_NUM = w.YR_WK_NUM
         GROUP BY w.STORE_KEY, s.STORE_DESC
         """
     )
@@ -266,9 +284,34 @@ def ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.weekly(AS_OF)
 
 
+def ingest_daily_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days' extracts, each with the whole history so far, ingested after each."""
+    landing, root = work_path(spark, "landing"), work_path(spark, "store")
+    frames = {t: read(spark, sf_dir) for t, read in tables.TABLES.items()}
+    store = WeeklyStore(spark, root, frames["calendar"], cumulative=True)
+    for day in (SECOND_LANDING, AS_OF):
+        extract.extract_feeds(spark, frames, landing, day)
+        store.ingest(landing)
+    return store.weekly(AS_OF)
+
+
+def ingest_calendar_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All facts landed while the calendar still ends early; then it grows."""
+    landing, root = work_path(spark, "landing"), work_path(spark, "store")
+    calendar = tables.calendar(spark, sf_dir)
+    for feed in ("sales", "inventory"):
+        extract.write_csv(tables.as_feed(spark, sf_dir, feed), f"{landing}/{feed}_2023-05-31.csv")
+    early = calendar.where(F.col("CAL_DT") < day_lit(SECOND_LANDING))
+    WeeklyStore(spark, root, early).ingest(landing)
+    store = WeeklyStore(spark, root, calendar)
+    store.ingest(landing)
+    return store.weekly(AS_OF)
+
+
 QUERIES: dict[str, Query] = {
     **{f"scan_{feed}": _scan(feed) for feed in FEEDS},
     "date_rejects": date_rejects,
+    "feed_rejects": feed_rejects,
     "manifest_paths": manifest_paths,
     "ready_runs": ready_runs,
     "feed_table_name": feed_tables,
@@ -292,8 +335,10 @@ QUERIES: dict[str, Query] = {
     "published_sql": published_sql,
     "expected_feeds": expected_feeds,
     "missing_feeds": missing_feeds,
-    "missing_snapshots": _on_inventory(completeness.missing_snapshots),
+    "missing_snapshots": _on_inventory(completeness.missing_snapshots, as_of=AS_OF),
     "stock_without_sales": _dropped(completeness.stock_without_sales),
     "sales_without_stock": _dropped(completeness.sales_without_stock),
     "ingest_available_now": ingest_available_now,
+    "ingest_daily_extracts": ingest_daily_extracts,
+    "ingest_calendar_extended": ingest_calendar_extended,
 }

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.dates import day_lit
 from shelfline.functions.paths import feed_path
-from shelfline.schemas import FEEDS, MONEY
+from shelfline.schemas import FEEDS
 
 AS_OF = date(2023, 5, 31)
+MONEY = "decimal(18,2)"
 
 FIRST_GIVEN_DAY = date(1995, 1, 1)
 FIRST_DAY = date(2023, 1, 1)
@@ -64,7 +65,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         amount.alias("SALES_AMT"),
         # Whole numbers, so that an average is the same in any order.
         F.floor(amount.cast("double") / F.lit(7.0)).cast("double").alias("SALES_PRICE"),
-        amount.alias("SALES_COST"),
+        (amount - F.col("l_quantity").cast("decimal(9,0)")).cast(MONEY).alias("SALES_COST"),
         F.when(F.col("l_discount") != 0, (F.col("l_tax") * 100).cast(MONEY)).alias("SHIP_COST"),
     )
 
@@ -146,11 +147,26 @@ TABLES = {
 
 
 def as_feed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table as it lies in its feed file; open deliveries have a word for a date."""
+    """A table as it lies in its feed file.
+
+    Open deliveries have a word for a date. Sold and stocked quantities are
+    written with decimals; waste is a fraction at times, or a word.
+    """
     frame = TABLES[table](spark, sf_dir)
+    if table == "sales":
+        frame = frame.withColumn("SALES_QTY", F.concat(F.col("SALES_QTY").cast("string"), F.lit(".00")))
     if table == "inventory":
         delivery = F.col("NEXT_DELIVERY_DT").cast("string")
-        frame = frame.withColumn("NEXT_DELIVERY_DT", F.coalesce(delivery, F.lit("pending")))
+        stock, waste = F.col("INVENTORY_ON_HAND_QTY").cast("string"), F.col("WASTE_QTY")
+        frame = frame.withColumns(
+            {
+                "NEXT_DELIVERY_DT": F.coalesce(delivery, F.lit("pending")),
+                "INVENTORY_ON_HAND_QTY": F.concat(stock, F.lit(".0")),
+                "WASTE_QTY": F.when(waste == 4, "some")
+                .when(waste == 3, "2.5")
+                .otherwise(waste.cast("string")),
+            }
+        )
     return frame
 
 

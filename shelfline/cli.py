@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import argparse
+import sys
 from datetime import date
 from typing import get_args
 
@@ -23,7 +24,7 @@ from shelfline.operators.inventory import StockPolicy
 from shelfline.plans.job import publish_outputs, run_job, tune_session
 from shelfline.schemas import FEEDS
 from shelfline.sources.extract import extract_feeds
-from shelfline.sources.feeds import scan_feed
+from shelfline.sources.feeds import feed_rejects, read_feed, scan_feed
 from shelfline.sources.landing import arrival_log
 from shelfline.sources.manifest import JobPaths
 from shelfline.streaming.ingest import WeeklyStore
@@ -37,16 +38,20 @@ def weekly(spark: SparkSession, args: argparse.Namespace) -> None:
         paths,
         args.as_of,
         args.stock_policy,
-        single_file=args.single_file,
-        infer=args.infer_schema or None,
+        infer=args.infer_schema,
+        calendar_type=args.calendar_type,
     )
+    for feed in () if args.infer_schema else FEEDS:
+        rejects = feed_rejects(read_feed(spark, feed, paths.inputs[feed]), feed).where("rejects > 0")
+        for row in rejects.collect():  # a row per column
+            print(f"{row['table_name']}.{row['column_name']}: {row['rejects']} values do not fit")
     if args.publish:
-        publish_outputs(spark, paths, args.publish, args.single_file)
+        publish_outputs(spark, paths, args.publish)
 
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = {t: spark.table(f"{args.database}.{t}") for t in FEEDS}
-    extract_feeds(spark, tables, args.output_root, args.as_of, args.single_file).show()
+    extract_feeds(spark, tables, args.output_root, args.as_of, args.single_file, args.max_bytes).show()
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -57,11 +62,13 @@ def check(spark: SparkSession, args: argparse.Namespace) -> None:
         print(ready["manifest"])
     else:
         missing_feeds(expected, arrived).orderBy("path").show(truncate=False)
+        sys.exit(1)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    tune_session(spark, [args.landing])
     calendar = scan_feed(spark, "calendar", args.calendar)
-    store = WeeklyStore(spark, args.store, calendar, args.stock_policy)
+    store = WeeklyStore(spark, args.store, calendar, args.stock_policy, not args.added_rows)
     store.ingest(args.landing, args.max_files_per_batch)
     newest = store.weekly(args.as_of).agg(F.max("YR_WK_NUM").alias("week")).first()["week"]
     print(f"weekly table is complete up to week {newest}")
@@ -83,7 +90,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("manifest", help="JSON object from table name to path")
     sub.add_argument("--input-root", required=True)
     sub.add_argument("--output-root", required=True)
-    sub.add_argument("--single-file", action="store_true")
+    sub.add_argument("--calendar-type", help="the CAL_TYPE_DESC to use, if there are several")
     sub.add_argument("--infer-schema", action="store_true")
     sub.add_argument("--publish", metavar="DATABASE")
     sub.set_defaults(run=weekly)
@@ -92,6 +99,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--database", required=True)
     sub.add_argument("--output-root", required=True)
     sub.add_argument("--single-file", action="store_true")
+    sub.add_argument("--max-bytes", type=int, help="refuse a larger single file")
     sub.set_defaults(run=extract)
 
     sub = commands.add_parser("check", parents=[common])
@@ -103,6 +111,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--store", required=True)
     sub.add_argument("--calendar", required=True)
     sub.add_argument("--max-files-per-batch", type=int)
+    sub.add_argument(
+        "--added-rows", action="store_true", help="files add rows; else each holds all history"
+    )
     sub.set_defaults(run=ingest)
     return top
 

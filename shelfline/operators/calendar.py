@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import day_lit
-from shelfline.functions.size import csv_bytes
 
 # Largest calendar to broadcast: one row per day, so this is more than 500 years. Its
 # date and two numbers take a few megabytes; with all columns, texts may be of any
@@ -20,6 +19,26 @@ MAX_BROADCAST_BYTES = 32 * 1024**2
 DAY_COLUMNS = ["CAL_DT", "DAY_OF_WK_NUM", "YR_WK_NUM"]
 
 
+@dataclass(frozen=True)
+class Days:
+    """Calendar days to join facts to, and their first and last one."""
+
+    frame: DataFrame
+    first: date | None
+    last: date | None
+
+    def select(self, *columns: str) -> Days:
+        return replace(self, frame=self.frame.select(*columns))
+
+    def within(self, facts: DataFrame, date_column: str) -> DataFrame:
+        """The facts between the first and last day.
+
+        An inner join to the days keeps no others; as plain bounds on the date
+        they reach the scan, which can then skip partitions and row groups.
+        """
+        return facts.where(F.col(date_column).between(day_lit(self.first), day_lit(self.last)))
+
+
 @dataclass(frozen=True)
 class CheckedCalendar:
     """A calendar that is unique on its date, with its measured size."""
@@ -29,25 +48,26 @@ class CheckedCalendar:
     first_day: date | None
     last_day: date | None
     current_week: int | None
+    last_current_day: date | None = None
+    small: bool = True
 
     @property
     def full(self) -> DataFrame:
         """All calendar columns, ready to join."""
-        return self._hinted(self.frame, csv_bytes(self.frame) <= MAX_BROADCAST_BYTES)
+        return self._hinted(self.frame, self.small)
 
     @property
-    def days(self) -> DataFrame:
+    def days(self) -> Days:
         """The three columns the weekly job needs, ready to join."""
-        return self._hinted(self.frame.select(DAY_COLUMNS), True)
-
-    def within(self, facts: DataFrame, date_column: str) -> DataFrame:
-        """The facts between the calendar's first and last day.
+        hinted = self._hinted(self.frame.select(DAY_COLUMNS), True)
+        return Days(hinted, self.first_day, self.last_day)
 
-        The join to the calendar keeps no others; as plain bounds on the date
-        they reach the scan, which can then skip partitions and row groups.
-        """
-        first, last = day_lit(self.first_day), day_lit(self.last_day)
-        return facts.where(F.col(date_column).between(first, last))
+    @property
+    def days_to_now(self) -> Days:
+        """The days of the weeks up to the one of ``as_of``."""
+        days = self.days
+        now = days.frame.where(F.col("YR_WK_NUM") <= self.current_week)
+        return Days(now, self.first_day, self.last_current_day)
 
     def _hinted(self, frame: DataFrame, narrow: bool) -> DataFrame:
         # Beyond the bounds Spark chooses the join, and AQE splits a hot date.
@@ -55,18 +75,29 @@ class CheckedCalendar:
         return F.broadcast(frame) if small else frame
 
 
-def check_calendar(calendar: DataFrame, as_of: date | None = None) -> CheckedCalendar:
+def check_calendar(
+    calendar: DataFrame, as_of: date | None = None, calendar_type: str | None = None
+) -> CheckedCalendar:
     """Measure the calendar in one small job and refuse one that would multiply rows.
 
     Raises ``ValueError`` if a date occurs twice, or if ``as_of`` is given and
-    is not in the calendar.
+    is not in the calendar. ``calendar_type`` picks the rows with that
+    ``CAL_TYPE_DESC`` from a feed that holds several calendars.
     """
     known = calendar.where(F.col("CAL_DT").isNotNull())
+    if calendar_type is not None:
+        known = known.where(F.col("CAL_TYPE_DESC") == calendar_type)
+    line = F.octet_length(F.to_csv(F.struct(*[F.col(c) for c in known.columns])))
     is_today = F.lit(False) if as_of is None else F.col("CAL_DT") == day_lit(as_of)
     found = (
         known.groupBy("CAL_DT")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("YR_WK_NUM").alias("week"))
         .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max("YR_WK_NUM").alias("week"),
+            F.sum(line + 1).alias("bytes"),
+        )
+        .agg(
+            F.sum("bytes").alias("bytes"),
             F.count(F.lit(1)).alias("days"),
             F.min("CAL_DT").alias("first"),
             F.max("CAL_DT").alias("last"),
@@ -83,8 +114,12 @@ def check_calendar(calendar: DataFrame, as_of: date | None = None) -> CheckedCal
         )
     if as_of is not None and found["current_week"] is None:
         raise ValueError(f"as_of date {as_of} has no week in the calendar")
+    week, last_current_day = found["current_week"], None
+    if week is not None:
+        last_current_day = known.where(F.col("YR_WK_NUM") <= week).agg(F.max("CAL_DT")).first()[0]
+    small = (found["bytes"] or 0) <= MAX_BROADCAST_BYTES
     return CheckedCalendar(
-        known, found["days"], found["first"], found["last"], found["current_week"]
+        known, found["days"], found["first"], found["last"], week, last_current_day, small
     )
 
 
@@ -93,7 +128,15 @@ def current_week(calendar: DataFrame, as_of: date) -> DataFrame:
     return calendar.where(F.col("CAL_DT") == day_lit(as_of)).select("CAL_DT", "YR_WK_NUM")
 
 
-def with_calendar(facts: DataFrame, date_column: str, days: DataFrame, how: str) -> DataFrame:
-    """Join facts to the calendar on their date; the calendar's date is ``Date``."""
+def with_calendar(
+    facts: DataFrame, date_column: str, days: Days | DataFrame, how: str
+) -> DataFrame:
+    """Join facts to the calendar on their date; the calendar's date is ``Date``.
+
+    An inner join scans only the facts between the first and last of the days.
+    """
+    if isinstance(days, Days):
+        facts = days.within(facts, date_column) if how == "inner" else facts
+        days = days.frame
     days = days.withColumnRenamed("CAL_DT", "Date")
     return facts.join(days, facts[date_column] == days["Date"], how)

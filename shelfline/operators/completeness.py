@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.dates import feed_day
+from shelfline.functions.dates import day_lit, feed_day
 from shelfline.functions.paths import feed_path
+from shelfline.operators.calendar import Days
 from shelfline.operators.inventory import dated_inventory
 from shelfline.operators.sales import dated_sales
 from shelfline.schemas import FEEDS, WEEK_KEYS
@@ -62,28 +64,44 @@ def ready_runs(expected: DataFrame, arrivals: DataFrame) -> DataFrame:
     )
 
 
-def missing_snapshots(inventory: DataFrame, days: DataFrame) -> DataFrame:
-    """Calendar dates without a snapshot, for every store and product with any snapshot.
+def missing_snapshots(inventory: DataFrame, days: Days, as_of: date) -> DataFrame:
+    """Calendar days up to ``as_of`` without a snapshot, as stretches of days in a row.
 
-    Each store and product is reduced to its set of dates, which has at most one
-    entry per calendar day, so repeated snapshots never reach the shuffle and
-    the full date grid is never shuffled at all.
+    One row for each stretch (first and last day, number of days) of every store
+    and product with a snapshot on one of these days. Repeated snapshots are
+    reduced to one row before the shuffle, and the date grid is never formed.
     """
-    dates = days.agg(F.array_sort(F.collect_set("CAL_DT"))).scalar()
-    seen = inventory.groupBy("STORE_KEY", "PROD_KEY").agg(F.collect_set("CAL_DT").alias("seen"))
-    return seen.select(
-        F.explode(F.array_except(dates, F.col("seen"))).alias("CAL_DT"), "STORE_KEY", "PROD_KEY"
+    until = days.frame.where(F.col("CAL_DT") <= day_lit(as_of))
+    dates = until.agg(F.array_sort(F.collect_set("CAL_DT")).alias("dates"))
+    numbered = dates.select(F.posexplode("dates").alias("at", "CAL_DT"))
+    taken = days.within(inventory, "CAL_DT").select("CAL_DT", "STORE_KEY", "PROD_KEY").distinct()
+    seen = taken.join(F.broadcast(numbered), "CAL_DT")  # at most one row per calendar day
+    # At most one entry per calendar day.
+    taken_at = seen.groupBy("STORE_KEY", "PROD_KEY").agg(F.array_sort(F.collect_list("at")).alias("at"))
+    all_days = dates.scalar()
+    after = F.concat("at", F.array(F.size(all_days)))
+    bounds = taken_at.withColumns({"before": F.concat(F.array(F.lit(-1)), "at"), "after": after})
+    between = F.zip_with(
+        "before", "after", lambda a, b: F.struct((a + 1).alias("first"), (b - 1).alias("last"))
+    )
+    gaps = bounds.select("STORE_KEY", "PROD_KEY", F.explode(between).alias("gap"))
+    return gaps.where("gap.first <= gap.last").select(
+        F.get(all_days, F.col("gap.first")).alias("first_day"),
+        F.get(all_days, F.col("gap.last")).alias("last_day"),
+        (F.col("gap.last") - F.col("gap.first") + 1).cast("bigint").alias("days"),
+        "STORE_KEY",
+        "PROD_KEY",
     )
 
 
-def stock_without_sales(sales: DataFrame, inventory: DataFrame, days: DataFrame) -> DataFrame:
+def stock_without_sales(sales: DataFrame, inventory: DataFrame, days: Days) -> DataFrame:
     """Weeks, stores and products with stock but no sales: the weekly table has no row for them."""
     return _keys(dated_inventory(inventory, days)).join(
         _keys(dated_sales(sales, days)), WEEK_KEYS, "left_anti"
     )
 
 
-def sales_without_stock(sales: DataFrame, inventory: DataFrame, days: DataFrame) -> DataFrame:
+def sales_without_stock(sales: DataFrame, inventory: DataFrame, days: Days) -> DataFrame:
     """Weeks, stores and products with sales but no stock: the weekly table has no row for them."""
     return _keys(dated_sales(sales, days)).join(
         _keys(dated_inventory(inventory, days)), WEEK_KEYS, "left_anti"

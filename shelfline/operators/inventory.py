@@ -7,7 +7,7 @@ from typing import Literal, get_args
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.calendar import with_calendar
+from shelfline.operators.calendar import Days, with_calendar
 from shelfline.schemas import WEEK_KEYS
 
 StockPolicy = Literal["last_snapshot", "every_snapshot"]
@@ -18,7 +18,7 @@ def check_policy(policy: str) -> None:
         raise ValueError(f"stock_policy must be one of {get_args(StockPolicy)}, not {policy!r}")
 
 
-def dated_inventory(inventory: DataFrame, days: DataFrame, how: str = "inner") -> DataFrame:
+def dated_inventory(inventory: DataFrame, days: Days, how: str = "inner") -> DataFrame:
     """Inventory rows with their week and day of week."""
     return with_calendar(inventory, "CAL_DT", days, how)
 
@@ -31,12 +31,12 @@ def weekly_summary(dated: DataFrame) -> DataFrame:
     )
 
 
-def no_stock_weekly(inventory: DataFrame, days: DataFrame) -> DataFrame:
+def no_stock_weekly(inventory: DataFrame, days: Days) -> DataFrame:
     """Number of stock-outs per week, store and product."""
     return weekly_summary(dated_inventory(inventory, days)).drop("max_day_of_week")
 
 
-def inventory_max_day(inventory: DataFrame, days: DataFrame) -> DataFrame:
+def inventory_max_day(inventory: DataFrame, days: Days) -> DataFrame:
     """Last day of the week with a snapshot, per week, store and product.
 
     Not every week has a snapshot on its last day.
@@ -79,7 +79,7 @@ def attach_levels(weekly: DataFrame, levels: DataFrame, policy: StockPolicy) ->
 
 
 def week_end_stock(
-    inventory: DataFrame, days: DataFrame, policy: StockPolicy = "last_snapshot"
+    inventory: DataFrame, days: Days, policy: StockPolicy = "last_snapshot"
 ) -> DataFrame:
     """Stock levels per week, store and product under the given policy."""
     check_policy(policy)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.calendar import with_calendar
+from shelfline.operators.calendar import Days, with_calendar
 from shelfline.schemas import WEEK_KEYS
 
 
@@ -16,7 +16,7 @@ def _exact_sum(value: Column) -> Column:
 def _totals() -> list[Column]:
     # A row whose cost or shipping cost is unknown adds nothing to the cost.
     return [
-        F.sum("SALES_QTY").alias("total_sales_qty"),
+        _exact_sum(F.col("SALES_QTY")).alias("total_sales_qty"),
         _exact_sum(F.col("SALES_AMT")).alias("total_sales_amount"),
         _exact_sum(F.col("SALES_COST") + F.col("SHIP_COST")).alias("total_cost"),
     ]
@@ -30,7 +30,7 @@ def daily_sales(sales: DataFrame) -> DataFrame:
     )
 
 
-def dated_sales(sales: DataFrame, days: DataFrame, how: str = "inner") -> DataFrame:
+def dated_sales(sales: DataFrame, days: Days, how: str = "inner") -> DataFrame:
     """Sales rows with their week."""
     return with_calendar(sales, "TRANS_DT", days.select("CAL_DT", "YR_WK_NUM"), how)
 
@@ -44,7 +44,7 @@ def weekly_totals(dated: DataFrame) -> DataFrame:
     return dated.groupBy(WEEK_KEYS).agg(*_totals())
 
 
-def weekly_sales(sales: DataFrame, days: DataFrame, how: str = "inner") -> DataFrame:
+def weekly_sales(sales: DataFrame, days: Days, how: str = "inner") -> DataFrame:
     """Totals per week, store and product.
 
     ``how="left"`` keeps sales outside the calendar, under a NULL week.

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.operators.calendar import check_calendar
 from shelfline.operators.inventory import StockPolicy
 from shelfline.plans.weekly import weekly_stock
 from shelfline.schemas import FEEDS
@@ -15,7 +17,6 @@ from shelfline.sources.feeds import scan_feed
 from shelfline.sources.manifest import JobPaths
 from shelfline.sources.sinks import WEEK_PARTITION, publish, stamp, write_table
 from shelfline.sources.together import together
-from shelfline.sources.workspace import work_path
 
 # Input bytes per shuffle partition, and the most shuffle partitions and scan tasks.
 # Every scan task writes a block for every shuffle partition: at 100 TB these bounds
@@ -46,13 +47,32 @@ def run_job(
     as_of: date,
     policy: StockPolicy = "last_snapshot",
     load_tmst: datetime | None = None,
-    single_file: bool = False,
-    infer: bool | None = None,
+    infer: bool = False,
+    calendar_type: str | None = None,
 ) -> None:
-    """Scan the feeds and write the weekly table and the stamped dimensions."""
+    """Scan the feeds and write the weekly table and the stamped dimensions.
+
+    The calendar and ``as_of`` are checked before anything is written.
+    """
     feeds = {t: scan_feed(spark, t, paths.inputs[t], infer) for t in FEEDS}
-    inventory = _as_parquet(spark, feeds["inventory"].select(INVENTORY_NEEDED))
-    weekly = weekly_stock(feeds["sales"], inventory, feeds["calendar"], as_of, policy)
+    checked = check_calendar(feeds["calendar"], as_of, calendar_type)
+    needed = checked.days_to_now.within(feeds["inventory"].select(INVENTORY_NEEDED), "CAL_DT")
+    name = f"shelfline_{uuid.uuid4().hex}"
+    try:
+        # The weekly job reads inventory twice, and the second parse of the CSV costs more
+        # than this one write.
+        needed.write.saveAsTable(name)
+        weekly = weekly_stock(
+            feeds["sales"], spark.table(name), feeds["calendar"], as_of, policy, checked
+        )
+        _write_outputs(paths, weekly, feeds, load_tmst)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _write_outputs(
+    paths: JobPaths, weekly: DataFrame, feeds: dict[str, DataFrame], load_tmst: datetime | None
+) -> None:
     outputs = [
         (weekly, paths.weekly, WEEK_PARTITION),
         (feeds["calendar"], paths.calendar, None),
@@ -61,28 +81,18 @@ def run_job(
     ]
     together(
         [
-            partial(write_table, stamp(frame, load_tmst), path, partition, single_file)
+            partial(write_table, stamp(frame, load_tmst), path, partition)
             for frame, path, partition in outputs
         ]
     )
 
 
-def _as_parquet(spark: SparkSession, frame: DataFrame) -> DataFrame:
-    """The frame as a written table: the weekly job reads inventory twice, and the
-    second parse of the CSV costs more than this one write."""
-    path = work_path(spark, "inventory")
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
-
-
-def publish_outputs(
-    spark: SparkSession, paths: JobPaths, database: str, single_file: bool = False
-) -> None:
+def publish_outputs(spark: SparkSession, paths: JobPaths, database: str) -> None:
     """Make the four outputs of a run known to SQL in ``database``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for path in (paths.weekly, paths.calendar, paths.store, paths.product):
         name = f"{database}.{path.rsplit('/', 1)[-1]}"
-        publish(spark, name, path, partitioned=path == paths.weekly and not single_file)
+        publish(spark, name, path, partitioned=path == paths.weekly)
 
 
 def tune_session(spark: SparkSession, inputs: list[str]) -> None:

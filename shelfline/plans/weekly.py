@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.kpis import with_kpis
-from shelfline.operators.calendar import check_calendar
+from shelfline.operators.calendar import CheckedCalendar, check_calendar
 from shelfline.operators.inventory import (
     StockPolicy,
     attach_levels,
@@ -17,7 +17,7 @@ from shelfline.operators.inventory import (
     weekly_summary,
 )
 from shelfline.operators.sales import dated_sales, weekly_totals
-from shelfline.schemas import WEEK_KEYS, WEEKLY_COLUMNS
+from shelfline.schemas import WEEK_KEYS, WEEKLY_TYPES
 
 
 def sales_and_stock_outs(sales: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def weekly_table(
     """The weekly table of all weeks, from sales and inventory rows that carry their week."""
     weekly = sales_and_stock_outs(sales, inventory)
     stocked = attach_levels(weekly, snapshot_levels(inventory), policy)
-    return with_kpis(stocked).select(WEEKLY_COLUMNS)
+    return with_kpis(stocked).select([F.col(c).cast(t) for c, t in WEEKLY_TYPES.items()])
 
 
 def weekly_stock(
@@ -44,16 +44,12 @@ def weekly_stock(
     calendar: DataFrame,
     as_of: date,
     policy: StockPolicy = "last_snapshot",
+    checked: CheckedCalendar | None = None,
 ) -> DataFrame:
     """The weekly table up to and including the week of ``as_of``.
 
     The calendar is cut to those weeks before the facts are joined to it, so
     later facts leave at the first join and never reach a shuffle.
     """
-    checked = check_calendar(calendar, as_of)
-    days = checked.days.where(F.col("YR_WK_NUM") <= checked.current_week)
-    return weekly_table(
-        dated_sales(checked.within(sales, "TRANS_DT"), days),
-        dated_inventory(checked.within(inventory, "CAL_DT"), days),
-        policy,
-    )
+    days = (checked or check_calendar(calendar, as_of)).days_to_now
+    return weekly_table(dated_sales(sales, days), dated_inventory(inventory, days), policy)

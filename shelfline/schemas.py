@@ -1,9 +1,9 @@
 """Column names and types of the five input feeds and of the published tables.
 
-Money arrives as DECIMAL(18,2) so that sums are exact whatever order Spark adds
-them in; published money and ratios are DOUBLE. Feed dates arrive as text and
-are turned into dates by :func:`shelfline.sources.feeds.fix_dates`, which keeps
-a bad date from failing the whole scan.
+Money and quantities are DECIMAL with room for fractions, so that sums are exact
+whatever order Spark adds them in; published, they are DOUBLE. Feeds are read as
+text and converted by :func:`shelfline.sources.feeds.typed`, which keeps a bad
+value from failing the whole scan.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ FEEDS = ("calendar", "inventory", "product", "sales", "store")
 
 WEEK_KEYS = ["YR_WK_NUM", "STORE_KEY", "PROD_KEY"]
 
-MONEY = T.DecimalType(18, 2)
+MONEY = QUANTITY = T.DecimalType(24, 6)
 
 SALES_TYPES = {
     "TRANS_DT": T.StringType(),
     "STORE_KEY": T.LongType(),
     "PROD_KEY": T.LongType(),
-    "SALES_QTY": T.LongType(),
+    "SALES_QTY": QUANTITY,
     "SALES_AMT": MONEY,
     "SALES_PRICE": T.DoubleType(),
     "SALES_COST": MONEY,
@@ -31,10 +31,10 @@ INVENTORY_TYPES = {
     "CAL_DT": T.StringType(),
     "STORE_KEY": T.LongType(),
     "PROD_KEY": T.LongType(),
-    "INVENTORY_ON_HAND_QTY": T.LongType(),
-    "INVENTORY_ON_ORDER_QTY": T.LongType(),
+    "INVENTORY_ON_HAND_QTY": QUANTITY,
+    "INVENTORY_ON_ORDER_QTY": QUANTITY,
     "OUT_OF_STOCK_FLG": T.IntegerType(),
-    "WASTE_QTY": T.LongType(),
+    "WASTE_QTY": QUANTITY,
     "PROMOTION_FLG": T.IntegerType(),
     "NEXT_DELIVERY_DT": T.StringType(),
 }
@@ -53,13 +53,13 @@ CALENDAR_TYPES = {
     "WK_NUM": T.IntegerType(),
 }
 
-# Store and product have no fixed columns: they are copied as they come.
+# Of store and product only the key is fixed; the rest is copied as text.
 FEED_TYPES = {
     "sales": SALES_TYPES,
     "inventory": INVENTORY_TYPES,
     "calendar": CALENDAR_TYPES,
-    "store": {},
-    "product": {},
+    "store": {"STORE_KEY": T.LongType()},
+    "product": {"PROD_KEY": T.LongType()},
 }
 
 DATE_COLUMNS = {
@@ -74,12 +74,12 @@ WEEKLY_TYPES = {
     "YR_WK_NUM": T.IntegerType(),
     "STORE_KEY": T.LongType(),
     "PROD_KEY": T.LongType(),
-    "total_sales_qty": T.LongType(),
+    "total_sales_qty": T.DoubleType(),
     "total_sales_amount": T.DoubleType(),
     "total_cost": T.DoubleType(),
     "No_Stock_Instances": T.LongType(),
-    "stock_lvl_eow": T.LongType(),
-    "stock_on_order_eow": T.LongType(),
+    "stock_lvl_eow": T.DoubleType(),
+    "stock_on_order_eow": T.DoubleType(),
     "Low_Stock_flg": T.IntegerType(),
     "Total_Low_Stock_Impact": T.LongType(),
     "avg_sales_price": T.DoubleType(),
@@ -92,14 +92,3 @@ WEEKLY_TYPES = {
 WEEKLY_COLUMNS = list(WEEKLY_TYPES)
 
 WEEKLY_SCHEMA = T.StructType([T.StructField(n, t) for n, t in WEEKLY_TYPES.items()])
-
-
-def raw_schema(feed: str, header: list[str] | None = None) -> T.StructType:
-    """Schema of a feed as it lies in its CSV file.
-
-    ``header`` gives the file's own column order; columns this package does not
-    know are kept as text.
-    """
-    known = FEED_TYPES[feed]
-    names = list(known) if header is None else header
-    return T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])

@@ -13,7 +13,8 @@ from shelfline.functions.dates import day_lit
 from shelfline.functions.size import csv_bytes
 from shelfline.sources.together import together
 
-# Fixed value: most bytes a single-file extract may have.
+# Fixed value: most bytes the five single-file extracts of the feeds' readers may have
+# each; a caller who wants the limit passes it on.
 SINGLE_FILE_BYTES = 107_772_160
 
 # The date column of the tables that are cut off at the extract day. The
@@ -30,28 +31,32 @@ def extract(frame: DataFrame, table: str, as_of: date) -> DataFrame:
     return frame if cutoff is None else frame.where(F.col(cutoff) <= day_lit(as_of))
 
 
-def one_file(frame: DataFrame) -> DataFrame:
-    """The frame in a single partition, if it is small enough for a single file.
+def one_file(frame: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """The frame in a single partition.
 
-    Its size as CSV text is summed over all tasks first; ``ValueError`` if it is
-    over the single-file limit.
+    With ``max_bytes`` its size as CSV text is summed over all tasks first;
+    ``ValueError`` if it is over.
     """
-    size = csv_bytes(frame)
-    if size > SINGLE_FILE_BYTES:
-        raise ValueError(f"{size} bytes do not fit a single file of {SINGLE_FILE_BYTES}")
+    if max_bytes is not None and (size := csv_bytes(frame)) > max_bytes:
+        raise ValueError(f"{size} bytes do not fit a single file of {max_bytes}")
     return frame.repartition(1)
 
 
 def write_csv(
-    frame: DataFrame, path: str, single_file: bool = False, max_rows_per_file: int = 0
+    frame: DataFrame,
+    path: str,
+    single_file: bool = False,
+    max_rows_per_file: int = 0,
+    max_bytes: int | None = None,
 ) -> int:
     """Write uncompressed CSV with a header over ``path``; returns the rows written.
 
     The rows are counted by the writing tasks themselves, not by a second scan.
-    ``max_rows_per_file`` cuts large part files; 0 sets no limit.
+    ``max_rows_per_file`` cuts large part files; 0 sets no limit. ``max_bytes``
+    refuses a single file that would be larger, which computes the frame twice.
     """
     if single_file:
-        frame = one_file(frame)
+        frame = one_file(frame, max_bytes)
     written = Observation()
     (
         frame.observe(written, F.count(F.lit(1)).alias("rows"))
@@ -74,12 +79,13 @@ def extract_feeds(
     root: str,
     as_of: date,
     single_file: bool = False,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Write all five extracts of a day; returns ``(table_name, rows_unloaded)``."""
 
     def unload(table: str) -> int:
         rows = extract(tables[table], table, as_of)
-        return write_csv(rows, extract_path(root, table, as_of), single_file)
+        return write_csv(rows, extract_path(root, table, as_of), single_file, max_bytes=max_bytes)
 
     counts = together([partial(unload, t) for t in EXTRACT_ORDER])
     return spark.createDataFrame(

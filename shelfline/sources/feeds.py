@@ -2,29 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions.dates import as_day
-from shelfline.schemas import DATE_COLUMNS, FEED_TYPES, raw_schema
+from shelfline.schemas import DATE_COLUMNS, FEED_TYPES
 
 
-def read_feed(spark: SparkSession, feed: str, path: str, infer: bool | None = None) -> DataFrame:
-    """Scan one CSV feed, dates still as they lie in the file.
+def read_feed(
+    spark: SparkSession, feed: str, path: str | list[str], infer: bool = False
+) -> DataFrame:
+    """Scan one CSV feed as text, columns named by the file's header.
 
-    Facts and calendar get their known types, matched to the file's header by
-    name; other columns come through as text. ``infer=True`` lets Spark read
-    the data once more to find all types, which is the default only for store
-    and product, whose columns are not known here.
+    ``infer=True`` lets Spark read the data once more to find all types.
     """
     csv = spark.read.option("header", True)
-    if infer is None:
-        infer = not FEED_TYPES[feed]
     if infer:
         return csv.option("inferSchema", True).csv(path)
     header = csv.csv(path).columns
     # A part file with another header is an error, not a silent mix-up of columns.
-    return csv.option("enforceSchema", False).schema(raw_schema(feed, header)).csv(path)
+    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    return csv.option("enforceSchema", False).schema(text).csv(path)
+
+
+def converted(column: str, kind: T.DataType) -> Column:
+    """Text as a value of the type; NULL where it is none, or would lose digits.
+
+    A whole number may be written with decimals (``3.00``).
+    """
+    value = F.col(column)
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        number = value.try_cast("decimal(38,6)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    if isinstance(kind, T.DecimalType):
+        wide = value.try_cast(f"decimal(38,{kind.scale + 6})")
+        return F.when(wide == wide.try_cast(kind), wide.try_cast(kind))
+    return value.try_cast(kind)
+
+
+def _conversions(
+    frame: DataFrame, feed: str, types: Mapping[str, T.DataType] | None
+) -> dict[str, Column]:
+    known = {**FEED_TYPES[feed], **(types or {})}
+    dates = {c: as_day(c) for c in DATE_COLUMNS[feed] if c in frame.columns}
+    numbers = {
+        c: converted(c, t)
+        for c, t in known.items()
+        if c in frame.columns and c not in dates and not isinstance(t, T.StringType)
+    }
+    return {**dates, **numbers}
+
+
+def typed(
+    frame: DataFrame, feed: str, types: Mapping[str, T.DataType] | None = None
+) -> DataFrame:
+    """The feed with its known columns converted; a value that does not fit is NULL.
+
+    ``types`` names further columns to convert.
+    """
+    return frame.withColumns(_conversions(frame, feed, types))
 
 
 def fix_dates(frame: DataFrame, feed: str) -> DataFrame:
@@ -32,18 +71,33 @@ def fix_dates(frame: DataFrame, feed: str) -> DataFrame:
     return frame.withColumns({c: as_day(c) for c in DATE_COLUMNS[feed]})
 
 
-def scan_feed(spark: SparkSession, feed: str, path: str, infer: bool | None = None) -> DataFrame:
-    """Scan one CSV feed with its dates fixed."""
-    return fix_dates(read_feed(spark, feed, path, infer), feed)
+def scan_feed(
+    spark: SparkSession,
+    feed: str,
+    path: str | list[str],
+    infer: bool = False,
+    types: Mapping[str, T.DataType] | None = None,
+) -> DataFrame:
+    """Scan one CSV feed with its known columns converted."""
+    raw = read_feed(spark, feed, path, infer)
+    return fix_dates(raw, feed) if infer else typed(raw, feed, types)
+
+
+def feed_rejects(raw: DataFrame, feed: str) -> DataFrame:
+    """How many values of each typed column are there but do not fit its type."""
+    return _rejects(raw, feed, _conversions(raw, feed, None))
 
 
 def date_rejects(raw: DataFrame, feed: str) -> DataFrame:
     """How many values of each date column are there but are no date."""
-    columns = DATE_COLUMNS[feed]
+    return _rejects(raw, feed, {c: as_day(c) for c in DATE_COLUMNS[feed]})
+
+
+def _rejects(raw: DataFrame, feed: str, values: Mapping[str, Column]) -> DataFrame:
     counts = raw.agg(
-        *[F.count_if(F.col(c).isNotNull() & as_day(c).isNull()).alias(c) for c in columns]
+        *[F.count_if(F.col(c).isNotNull() & v.isNull()).alias(c) for c, v in values.items()]
     )
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("rejects")) for c in columns]
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("rejects")) for c in values]
     )
     return counts.select(F.lit(feed).alias("table_name"), F.inline(pairs))

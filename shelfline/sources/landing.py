@@ -10,10 +10,13 @@ def arrival_log(spark: SparkSession, root: str) -> DataFrame:
     """Feeds lying below ``root``: path below the root, bytes, newest change.
 
     Reads the file listing, not the files. A feed may be one file or a folder
-    of part files.
+    of part files. A file without a byte has no header, so it has not arrived.
     """
     root = root.rstrip("/")
-    below = F.regexp_extract("path", r"([^/]+\.csv)(/[^/]*)?$", 1)
+    # The listing's paths have a scheme; the root may go without.
+    bare = "/" + root.split("://", 1)[-1].split(":", 1)[-1].strip("/") + "/"
+    rest = F.expr(f"substring(path, instr(path, '{bare}') + {len(bare)})")
+    below = F.regexp_extract(rest, r"^(.*?\.csv)(/[^/]*)?$", 1)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

@@ -7,8 +7,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.sources.extract import one_file
-
 WEEK_PARTITION = "YR_WK_NUM"
 
 
@@ -18,18 +16,14 @@ def stamp(frame: DataFrame, load_tmst: datetime | None = None) -> DataFrame:
     return frame.withColumn("load_tmst", now)
 
 
-def write_table(
-    frame: DataFrame, path: str, partition_by: str | None = None, single_file: bool = False
-) -> None:
+def write_table(frame: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Overwrite a Parquet table.
 
     With ``partition_by`` the rows are first brought together by that column so
     that each value gets few files; the rebalance hint lets AQE spread a large
     value over several tasks and put small ones together.
     """
-    if single_file:
-        one_file(frame).write.mode("overwrite").parquet(path)
-    elif partition_by is None:
+    if partition_by is None:
         frame.write.mode("overwrite").parquet(path)
     else:
         balanced = frame.hint("rebalance", partition_by)

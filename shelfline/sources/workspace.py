@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,12 +10,10 @@ from pyspark.sql import SparkSession
 def work_path(spark: SparkSession, label: str) -> str:
     """A new path for this run, in the shared folder the session names.
 
-    The folder is ``spark.checkpoint.dir``. Only a local session may go without
-    it; on a cluster a folder of one machine is of no use to the others.
+    The folder is ``spark.checkpoint.dir``, or the warehouse where that is unset:
+    both are shared by all executors.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        return f"{tempfile.mkdtemp(prefix='shelfline-')}/{label}"
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/shelfline-{uuid.uuid4().hex}/{label}"

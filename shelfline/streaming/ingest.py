@@ -1,35 +1,57 @@
 """Incremental ingest: newly landed feed files update only the weeks they touch.
 
 One new day changes its whole week (last observed day, stock-out count), so
-the unit of work is the week. One stream reads both fact feeds; facts are kept
-as Parquet by feed and week. Every micro-batch adds its rows there and then
-rebuilds the weekly table's partitions of the weeks it touched. No state is
-kept in the stream.
-
-Both writes overwrite exactly the partitions of their batch, so a batch that is
-run again after a failure leaves the same tables.
+the unit of work is the week. One stream follows the names of landed files;
+every micro-batch reads its files by their own headers, adds their rows to the
+facts, which are kept by feed and day, and rebuilds the weekly table's
+partitions of the weeks it touched. Facts carry no week: the calendar is joined
+when a week is built, so a calendar that grows or changes dates old facts too.
+
+All writes overwrite exactly what their batch makes, so a batch that is run
+again after a failure leaves the same tables.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from datetime import date
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfline.operators.calendar import check_calendar
+from shelfline.operators.calendar import DAY_COLUMNS, Days, check_calendar
 from shelfline.operators.inventory import StockPolicy, check_policy, dated_inventory
 from shelfline.operators.sales import dated_sales
 from shelfline.plans.weekly import weekly_table
-from shelfline.schemas import WEEKLY_COLUMNS, WEEKLY_SCHEMA, raw_schema
-from shelfline.sources.feeds import fix_dates
+from shelfline.schemas import DATE_COLUMNS, FEED_TYPES, WEEKLY_COLUMNS, WEEKLY_SCHEMA
+from shelfline.sources.feeds import scan_feed
 from shelfline.sources.sinks import WEEK_PARTITION
 
-FACT_PARTITIONS = ["feed", WEEK_PARTITION, "batch"]
+FACT_FEEDS = ("sales", "inventory")
+FACT_PARTITIONS = ["feed", "day", "batch"]
+FACT_SCHEMA = T.StructType(
+    [
+        T.StructField(c, T.DateType() if c in DATE_COLUMNS[feed] else t)
+        for feed in FACT_FEEDS
+        for c, t in FEED_TYPES[feed].items()
+        if feed == "sales" or c not in FEED_TYPES["sales"]
+    ]
+    + [T.StructField(c, T.StringType()) for c in ("stamp", "feed")]
+    + [T.StructField("day", T.DateType()), T.StructField("batch", T.LongType())]
+)
+FILE_NAME = r"/(sales|inventory)_([^/]*)\.csv(?:/[^/]*)?$"
 
 
 class WeeklyStore:
-    """Facts by week and the weekly table built from them, below one root folder."""
+    """Facts by day and the weekly table built from them, below one root folder.
+
+    With ``cumulative`` each file holds its feed's whole history, as the daily
+    extracts do: the file with the newest stamp stands for its feed alone.
+    Otherwise every file adds rows.
+    """
 
     def __init__(
         self,
@@ -37,31 +59,32 @@ class WeeklyStore:
         root: str,
         calendar: DataFrame,
         policy: StockPolicy = "last_snapshot",
+        cumulative: bool = False,
     ):
         check_policy(policy)
         self.spark = spark
         self.root = root.rstrip("/")
         self.policy = policy
+        self.cumulative = cumulative
         self.calendar = check_calendar(calendar)
 
     def ingest(self, landing: str, max_files_per_batch: int | None = None) -> None:
         """Take in all files landed since the last call, then stop.
 
         The landing folder holds ``sales_<date>.csv`` and ``inventory_<date>.csv``,
-        each a file or a folder of part files, with the columns of their schema.
-        A file adds rows; extracts that repeat the whole history are for the
-        weekly job.
+        each a file or a folder of part files. Columns are found by the header;
+        those this package does not know are left out. If the calendar is not the
+        one of the last call, all weeks are built anew.
         """
-        landing = landing.rstrip("/")
-        days = self.calendar.days
-        # Rows outside the calendar are kept too, in the partition without a week.
-        sales = dated_sales(self._landed("sales", landing, max_files_per_batch), days, "left")
-        stock = dated_inventory(
-            self._landed("inventory", landing, max_files_per_batch), days, "left"
+        self._follow_calendar()
+        names = self.spark.readStream.format("binaryFile").schema(
+            "path string, modificationTime timestamp, length bigint, content binary"
         )
-        both = sales.unionByName(stock, allowMissingColumns=True).drop("Date")
+        if max_files_per_batch is not None:
+            names = names.option("maxFilesPerTrigger", max_files_per_batch)
+        landed = names.load(f"{landing.rstrip('/')}/{{sales,inventory}}_*.csv").select("path")
         (
-            both.writeStream.foreachBatch(self._take_in)
+            landed.writeStream.foreachBatch(self._take_in)
             .option("checkpointLocation", f"{self.root}/progress")
             .trigger(availableNow=True)
             .start()
@@ -74,31 +97,99 @@ class WeeklyStore:
         table = self.spark.read.schema(WEEKLY_SCHEMA).parquet(self._weekly_path)
         return table.where(F.col(WEEK_PARTITION) <= week).select(WEEKLY_COLUMNS)
 
-    def _landed(self, feed: str, landing: str, max_files: int | None) -> DataFrame:
-        files = self.spark.readStream.schema(raw_schema(feed)).option("header", True)
-        # Refuse a file whose header is not the schema, instead of misreading its columns.
-        files = files.option("enforceSchema", False)
-        if max_files is not None:
-            files = files.option("maxFilesPerTrigger", max_files)
-        rows = fix_dates(files.csv(f"{landing}/{feed}_*.csv"), feed)
-        return rows.withColumn("feed", F.lit(feed))
-
     def _take_in(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch", F.lit(batch_id))
-        self._replace_partitions(rows, FACT_PARTITIONS, self._facts_path)
-        facts = self.spark.read.schema(rows.schema).parquet(self._facts_path)
-        taken_in = facts.where(F.col("batch") == batch_id)
+        # File names only; a backfill bounds them by max_files_per_batch.
+        paths = [row["path"] for row in batch.collect()]
+        if not paths:
+            return
+        rows = self._read(paths).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        balanced = rows.hint("rebalance", "feed", "day")
+        self._replace_partitions(balanced, FACT_PARTITIONS, self._facts_path)
+        if self.cumulative:
+            self._rebuild_all()
+            return
+        taken_in = self._facts().where(F.col("batch") == batch_id).select("day").distinct()
+        days = self.calendar.days.frame
+        weeks = taken_in.join(days, taken_in["day"] == days["CAL_DT"]).select(WEEK_PARTITION)
         # At most one value per calendar week.
-        weeks = taken_in.select(WEEK_PARTITION).dropna().distinct().collect()
-        touched = facts.where(F.col(WEEK_PARTITION).isin([row[0] for row in weeks]))
-        rebuilt = weekly_table(
-            touched.where(F.col("feed") == "sales"),
-            touched.where(F.col("feed") == "inventory"),
-            self.policy,
+        self._rebuild([row[0] for row in weeks.distinct().collect()])
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        """The rows of the files, each feed's files by their own headers."""
+        named = self.spark.createDataFrame([(p,) for p in paths], "path string").select(
+            "path",
+            F.regexp_extract("path", FILE_NAME, 1).alias("feed"),
+            F.regexp_extract("path", FILE_NAME, 2).alias("stamp"),
         )
-        self._replace_partitions(
-            rebuilt.hint("rebalance", WEEK_PARTITION), [WEEK_PARTITION], self._weekly_path
+        files = defaultdict(list)
+        for row in named.collect():
+            files[row["feed"], row["stamp"]].append(row["path"])
+        frames = [self._columns(feed, stamp, own) for (feed, stamp), own in sorted(files.items())]
+        return reduce(DataFrame.unionAll, frames)
+
+    def _columns(self, feed: str, stamp: str, paths: list[str]) -> DataFrame:
+        frame = scan_feed(self.spark, feed, paths)
+        given = {
+            "stamp": F.lit(stamp),
+            "feed": F.lit(feed),
+            "day": F.col(DATE_COLUMNS[feed][0]),
+        }
+        known = {c: F.col(c) for c in FEED_TYPES[feed] if c in frame.columns}
+        fields = [f for f in FACT_SCHEMA.fields if f.name != "batch"]
+        return frame.select(
+            [
+                {**known, **given}.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in fields
+            ]
+        )
+
+    def _facts(self) -> DataFrame:
+        return self.spark.read.schema(FACT_SCHEMA).parquet(self._facts_path)
+
+    def _rebuild(self, weeks: list[int]) -> None:
+        if weeks:
+            days = self.calendar.days
+            own = days.frame.where(F.col(WEEK_PARTITION).isin(weeks))
+            span = own.agg(F.min("CAL_DT"), F.max("CAL_DT")).first()
+            rebuilt = self._table(Days(own, *span))
+            self._replace_partitions(rebuilt, [WEEK_PARTITION], self._weekly_path)
+
+    def _rebuild_all(self) -> None:
+        # Weeks that have no rows any more go too.
+        table = self._table(self.calendar.days).write.mode("overwrite")
+        table.partitionBy(WEEK_PARTITION).parquet(self._weekly_path)
+
+    def _table(self, days: Days) -> DataFrame:
+        facts = days.within(self._facts(), "day")
+        parts = {}
+        for feed in FACT_FEEDS:
+            own = facts.where(F.col("feed") == feed)
+            if self.cumulative:
+                newest = self._facts().where(F.col("feed") == feed).agg(F.max("stamp")).first()[0]
+                own = own.where(F.col("stamp") == F.lit(newest))
+            parts[feed] = own.select(list(FEED_TYPES[feed]))
+        table = weekly_table(
+            dated_sales(parts["sales"], days), dated_inventory(parts["inventory"], days), self.policy
         )
+        return table.hint("rebalance", WEEK_PARTITION)
+
+    def _follow_calendar(self) -> None:
+        """Builds all weeks anew if the calendar's days or weeks have changed."""
+        now, path = self.calendar.frame.select(DAY_COLUMNS), f"{self.root}/calendar"
+        try:
+            before = self.spark.read.parquet(path)
+        except AnalysisException:  # the first call
+            now.write.parquet(path)
+            return
+        if before.exceptAll(now).isEmpty() and now.exceptAll(before).isEmpty():
+            return
+        try:
+            self._facts().limit(1).collect()
+        except AnalysisException:  # no facts yet
+            pass
+        else:
+            self._rebuild_all()
+        now.write.mode("overwrite").parquet(path)
 
     @staticmethod
     def _replace_partitions(rows: DataFrame, partitions: list[str], path: str) -> None:

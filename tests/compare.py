@@ -65,7 +65,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     con = connect(sf_dir)
     queries, oracle = entry.queries(), entry.oracle_sql()
     failed = 0
-    for name in names or queries:
+    for name in names or oracle:
         start = time.time()
         found = difference(spark, con, queries[name], oracle[name], sf_dir)
         failed += found is not None

@@ -44,7 +44,7 @@ def sales(spark, rows):
                 "TRANS_DT": day(n),
                 "STORE_KEY": store,
                 "PROD_KEY": prod,
-                "SALES_QTY": qty,
+                "SALES_QTY": _money(qty),
                 "SALES_AMT": _money(amount),
                 "SALES_PRICE": 1.0,
                 "SALES_COST": _money(cost),
@@ -61,8 +61,8 @@ def inventory(spark, rows):
             "CAL_DT": day(n),
             "STORE_KEY": store,
             "PROD_KEY": prod,
-            "INVENTORY_ON_HAND_QTY": hand,
-            "INVENTORY_ON_ORDER_QTY": order,
+            "INVENTORY_ON_HAND_QTY": _money(hand),
+            "INVENTORY_ON_ORDER_QTY": _money(order),
             "OUT_OF_STOCK_FLG": out,
         }
         for n, store, prod, hand, order, out in rows

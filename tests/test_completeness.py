@@ -42,8 +42,15 @@ def test_missing_feeds_by_run(spark):
 def test_missing_snapshots(spark):
     rows = inventory(spark, [(n, 1, 1, 1, 1, 0) for n in (0, 0, 2, 3, 40)])
     days = check_calendar(calendar(spark, days=5)).days
-    got = completeness.missing_snapshots(rows, days).collect()
-    assert sorted(tuple(r) for r in got) == [(day(1), 1, 1), (day(4), 1, 1)]
+    got = completeness.missing_snapshots(rows, days, day(60)).collect()
+    assert sorted(tuple(r) for r in got) == [(day(1), day(1), 1, 1, 1), (day(4), day(4), 1, 1, 1)]
+
+
+def test_days_to_come_are_not_missing(spark):
+    rows = inventory(spark, [(n, 1, 1, 1, 1, 0) for n in (2, 3, 8, 9)])
+    days = check_calendar(calendar(spark)).days
+    got = completeness.missing_snapshots(rows, days, day(9)).collect()
+    assert sorted(tuple(r) for r in got) == [(day(0), day(1), 2, 1, 1), (day(4), day(7), 4, 1, 1)]
 
 
 def test_dropped_keys(spark):

@@ -6,13 +6,16 @@ import json
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from frames import calendar, day, inventory, sales
 
 from shelfline import cli
 from shelfline.plans import job
 from shelfline.plans.weekly import weekly_stock
+from shelfline.operators.calendar import check_calendar
 from shelfline.schemas import FEEDS, WEEKLY_COLUMNS
 from shelfline.sources.extract import extract, extract_feeds
+from shelfline.sources.manifest import JobPaths
 
 AS_OF = day(10)
 
@@ -49,7 +52,7 @@ def manifest(landed_on=AS_OF):
     return json.dumps({t: f"landing/{t}_{landed_on}.csv" for t in FEEDS})
 
 
-@pytest.mark.parametrize("options", [[], ["--single-file"], ["--infer-schema"]])
+@pytest.mark.parametrize("options", [[], ["--infer-schema"]])
 def test_weekly_job(spark, landed, options):
     root, tables = landed
     cli.main(
@@ -71,11 +74,36 @@ def test_weekly_job(spark, landed, options):
     assert spark.table("job_test.prod_table").count() == 1
 
 
+@pytest.mark.parametrize("as_of", [AS_OF, date(2030, 1, 1)])
+def test_job_leaves_no_table_of_its_own(spark, landed, as_of):
+    root, _ = landed
+    paths = JobPaths.from_json(manifest(), f"{root}/", f"{root}/done/")
+    before = {t.name for t in spark.catalog.listTables()}
+    if as_of == AS_OF:
+        job.run_job(spark, paths, as_of)
+    else:
+        with pytest.raises(ValueError, match="no week"):
+            job.run_job(spark, paths, as_of)
+        assert not (root / "done").exists()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_one_of_several_calendars(spark, landed):
+    _, tables = landed
+    both = tables["calendar"].unionAll(
+        tables["calendar"].withColumn("CAL_TYPE_DESC", F.lit("Fiscal"))
+    )
+    with pytest.raises(ValueError, match="2 rows for one date"):
+        check_calendar(both, AS_OF)
+    assert check_calendar(both, AS_OF, "Fiscal").day_count == 28
+
+
 def test_check_prints_the_manifest_or_what_is_missing(spark, landed, capsys):
     root, _ = landed
     cli.main(["check", "--landing", f"{root}/landing", "--as-of", str(day(11))])
     assert json.loads(capsys.readouterr().out) == {t: f"{t}_{AS_OF}.csv" for t in FEEDS}
-    cli.main(["check", "--landing", f"{root}/landing", "--as-of", str(day(12))])
+    with pytest.raises(SystemExit, match="1"):
+        cli.main(["check", "--landing", f"{root}/landing", "--as-of", str(day(12))])
     assert f"sales_{day(11)}.csv" in capsys.readouterr().out
 
 

@@ -15,6 +15,7 @@ from shelfline.sources import extract, feeds, sinks
 from shelfline.sources.landing import arrival_log
 from shelfline.sources.manifest import JobPaths
 from shelfline.sources.workspace import work_path
+from shelfline.plans.weekly import weekly_stock
 
 
 def one(spark, column):
@@ -59,7 +60,7 @@ def test_bad_dates_become_null_and_are_counted(spark, tmp_path):
 
 
 def test_inferred_scan(spark, tmp_path):
-    extract.write_csv(sales(spark, [(0, 1, 2, 3, 4.5)]), f"{tmp_path}/sales.csv")
+    (tmp_path / "sales.csv").write_text("TRANS_DT,SALES_QTY,SALES_AMT\n2023-01-01,3,4.5\n")
     types = dict(feeds.scan_feed(spark, "sales", f"{tmp_path}/sales.csv", infer=True).dtypes)
     assert types["TRANS_DT"] == "date"
     assert types["SALES_AMT"] == "double"
@@ -105,11 +106,51 @@ def test_part_files_can_be_cut_by_rows(spark, tmp_path):
     assert feeds.scan_feed(spark, "sales", f"{tmp_path}/s.csv").count() == 50
 
 
-def test_single_file_has_a_byte_limit(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(extract, "SINGLE_FILE_BYTES", 100)
+def test_single_file_has_a_byte_limit_on_request(spark, tmp_path):
     frame = sales(spark, [(n % 7, n, 1, 1, 1) for n in range(50)])
     with pytest.raises(ValueError, match="do not fit a single file of 100"):
-        extract.write_csv(frame, f"{tmp_path}/s.csv", single_file=True)
+        extract.write_csv(frame, f"{tmp_path}/s.csv", single_file=True, max_bytes=100)
+    assert extract.write_csv(frame, f"{tmp_path}/s.csv", single_file=True) == 50
+
+
+def test_numbers_are_kept_as_they_are_written(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text(
+        "TRANS_DT,STORE_KEY,PROD_KEY,SALES_QTY,SALES_AMT,SALES_PRICE\n"
+        "2023-01-05,1,1,3.00,9.995,x\n2023-01-05,1.0,1,2.5,0.125,2\n2023-01-05,1.5,1,two,,1e1\n"
+    )
+    rows = feeds.scan_feed(spark, "sales", f"{tmp_path}/sales.csv").collect()
+    found = [tuple(map(str, r[1:])) for r in rows]
+    assert found == [
+        ("1", "1", "3.000000", "9.995000", "None"),
+        ("1", "1", "2.500000", "0.125000", "2.0"),
+        ("None", "1", "None", "None", "10.0"),
+    ]
+    rejects = feeds.feed_rejects(feeds.read_feed(spark, "sales", f"{tmp_path}/sales.csv"), "sales")
+    assert {r["column_name"]: r["rejects"] for r in rejects.collect() if r["rejects"]} == {
+        "STORE_KEY": 1, "SALES_QTY": 1, "SALES_PRICE": 1,
+    }
+
+
+def test_keys_have_one_type_whatever_the_data(spark, tmp_path):
+    for n, keys in enumerate((["1"], ["3000000000"], ["X1", "2"])):
+        (tmp_path / f"{n}.csv").write_text("STORE_KEY,NAME\n" + "".join(f"{k},a\n" for k in keys))
+        frame = feeds.scan_feed(spark, "store", f"{tmp_path}/{n}.csv")
+        assert dict(frame.dtypes) == {"STORE_KEY": "bigint", "NAME": "string"}
+
+
+def test_written_decimals_count_in_the_weekly_table(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text(
+        "TRANS_DT,STORE_KEY,PROD_KEY,SALES_QTY,SALES_AMT,SALES_PRICE,SALES_COST,SHIP_COST\n"
+        "2023-01-02,1,1,3.00,6.5,1,1,1\n2023-01-03,1,1,2,6.5,1,1,1\n"
+    )
+    (tmp_path / "inventory.csv").write_text(
+        "CAL_DT,STORE_KEY,PROD_KEY,INVENTORY_ON_HAND_QTY,INVENTORY_ON_ORDER_QTY,OUT_OF_STOCK_FLG\n"
+        "2023-01-07,1,1,4.00,0,0\n"
+    )
+    scan = {t: feeds.scan_feed(spark, t, f"{tmp_path}/{t}.csv") for t in ("sales", "inventory")}
+    row = weekly_stock(scan["sales"], scan["inventory"], calendar(spark), day(3)).first()
+    assert (row["total_sales_qty"], row["stock_lvl_eow"], row["Low_Stock_flg"]) == (5, 4, 1)
+    assert (row["avg_sales_price"], row["weeks_supply"]) == (2.6, 0.8)
 
 
 def test_arrival_log_sees_files_and_folders(spark, tmp_path):
@@ -118,6 +159,11 @@ def test_arrival_log_sees_files_and_folders(spark, tmp_path):
     log = {r["path"]: r["bytes"] for r in arrival_log(spark, str(tmp_path)).collect()}
     assert log["store_2023-01-01.csv"] == 4
     assert set(log) == {"store_2023-01-01.csv", "calendar_2023-01-01.csv"}
+    (tmp_path / "archive").mkdir()
+    (tmp_path / "archive" / "sales_2023-01-01.csv").write_text("a\n1\n")
+    (tmp_path / "product_2023-01-01.csv").write_text("")
+    paths = {r["path"] for r in arrival_log(spark, str(tmp_path)).collect()}
+    assert paths == {*log, "archive/sales_2023-01-01.csv"}
 
 
 def test_feed_names(spark):
@@ -148,13 +194,11 @@ def test_stamp_is_given_or_now(spark):
     assert sinks.stamp(frame).first()["load_tmst"] is not None
 
 
-def test_partitioned_and_single_file_tables(spark, tmp_path):
+def test_partitioned_tables(spark, tmp_path):
     frame = spark.range(100).select("id", (F.col("id") % 4).cast("int").alias("YR_WK_NUM"))
     sinks.write_table(frame, f"{tmp_path}/by_week", "YR_WK_NUM")
     assert len(list(Path(tmp_path, "by_week").glob("YR_WK_NUM=*"))) == 4
     assert spark.read.parquet(f"{tmp_path}/by_week").count() == 100
-    sinks.write_table(frame, f"{tmp_path}/one", single_file=True)
-    assert len(list(Path(tmp_path, "one").glob("part-*"))) == 1
 
 
 def test_work_path_lies_in_the_folder_the_session_names(spark):
