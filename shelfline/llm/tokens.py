@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.store import shared_folder
+from shelfline.llm.store import shared_folder, stored
 from shelfline.llm.texts import plain, slices
 
 #: Units whose tokens a worker remembers before it starts over.
@@ -148,5 +148,6 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, collapse:
 
     distinct = keyed.groupBy("digest").agg(F.first("text").alias("text"))
     encode_misses(distinct.join(known(), "digest", "left_anti"), content, version).write.mode("append").parquet(cache)
-    counted = keyed.select("doc_id", "n_bytes", "digest").join(known().dropDuplicates(["digest"]), "digest")
+    once = stored(known().dropDuplicates(["digest"]))  # a plain table, so that a hot digest can be split
+    counted = keyed.select("doc_id", "n_bytes", "digest").join(once, "digest")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
