@@ -26,6 +26,8 @@ from shelfline.llm.texts import plain, slices
 
 #: Units whose tokens a worker remembers before it starts over.
 MEMORY = 1_200_000
+#: The same where Spark sorts whole texts beside.
+COUNT_MEMORY = 500_000
 CACHE = "version string, digest binary, n_tokens long"
 #: Marks that are learned apart from the word they follow.
 MARKS = frozenset(".,")
@@ -40,11 +42,12 @@ class Units:
     every text where white space begins, so a text's ids are its units' ids in a row.
     """
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, memory: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
+        self.memory = memory
         self.ids: dict[str, bytes] = {}
         self.again: set[str] = set()
 
@@ -79,8 +82,8 @@ class Units:
         """Learns what is new; when there is too much, only units that were met again stay."""
         new = every.difference(self.ids)
         self.again |= every - new
-        if len(self.ids) + 2 * len(new) > MEMORY:
-            keep = (self.again if len(self.again) < MEMORY // 2 else set()) | (every - new)
+        if len(self.ids) + 2 * len(new) > self.memory:
+            keep = (self.again if len(self.again) < self.memory // 2 else set()) | (every - new)
             self.ids, self.again = {u: self.ids[u] for u in keep if u in self.ids}, set()
             new = every.difference(self.ids)
         self.learn(list(new))
@@ -103,12 +106,12 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 _UNITS: dict[str, Units] = {}
 
 
-def units_of(content: str) -> Units:
+def units_of(content: str, memory: int = MEMORY) -> Units:
     """The worker's memory of this tokenizer, kept between tasks."""
     key = hashlib.sha256(content.encode()).hexdigest()
     if key not in _UNITS:
         _UNITS.clear()
-        _UNITS[key] = Units(content)
+        _UNITS[key] = Units(content, memory)
     return _UNITS[key]
 
 
@@ -120,7 +123,7 @@ def normalised(collapse: bool) -> Column:
 
 def encode_misses(misses: DataFrame, content: str, version: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = units_of(content)
+        units = units_of(content, COUNT_MEMORY)
         for batch in (x for whole in batches for x in slices(whole)):
             counts = [len(x) // 4 for x in units.encode(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
