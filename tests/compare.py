@@ -14,6 +14,7 @@ TYPE_NAMES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "date": "DATE",
     "string": "VARCHAR",
     "decimal(18,2)": "DECIMAL(18,2)",
