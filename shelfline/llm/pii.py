@@ -84,7 +84,7 @@ def valid(kind: str, x: Column) -> Column:
     if kind == "email":
         return F.lit(True)
     if kind == "ip":
-        part = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+        part = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])?"  # of zeros alone nothing is left
         return x.rlike(rf"^{part}(?:\.{part}){{3}}$")
     if kind == "card":
         return F.length(digits).between(13, 19) & luhn(digits)

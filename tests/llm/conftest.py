@@ -19,6 +19,7 @@ def awkward():
         (13, base), (13, base), (14, "x" * 20000), (15, "1" * 6000), (16, "a." * 3000 + "@b.c"), (17, "word"), (18, "word"),
         (19, "\x1cword  <|endoftext|>  x"), (20, say(30000)), (21, " ".join(say(40).split()[::-1])), (-5, passage),
         (22, "mail a@b.co_c@d.ef a.b@c-d.e..f, ip 1.2.3.4.5.6.7.8 300.1.1.1 007.1.2.3 card 4111 1111-1111 1111 4111111111111112 tel +1 (212) 555-0100 +12 +1(((("),
+        (23, "10.0.0.1 0.0.0.0 000.255.0.010 256.0.0.1 1.2.3.1000 255.255.255.0."),
     ]
     return rows
 
