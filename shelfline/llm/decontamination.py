@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from shelfline.llm.store import stored
+from shelfline.llm.store import keeps_columns, neutral, stored
 from shelfline.llm.texts import LOWER_ALNUM, rolling, slices, split_words, windows, word_hashes
 
 #: Words of a window, and of a shingle.
@@ -162,15 +163,17 @@ def contained_items(
     A null item id is the string "null". Columns of the documents called like a new one are replaced.
     """
     new = {"n_words": F.lit(0).cast("long"), "spans": F.expr("cast(array() as array<struct<start: long, length: long>>)"), "items": F.expr("cast(array() as array<string>)")}
-    out = docs.drop(*new).withColumns(new)
+    own = docs.drop(*new)
+    rest = neutral(own)
+    schema = StructType(rest.schema.fields + StructType.fromDDL(FOUND).fields)
+    out = rest.withColumns(new)
     done = False
     for rows in blocks(items.withColumn("item_id", F.coalesce(F.col("item_id").cast("string"), F.lit("null"))), block_bytes):
         block = Block(rows, window, shingle)
         out = stored(out) if done else out  # one block in the tasks at a time
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.drop(*new).schema.fields)
-        out = out.select(*docs.drop(*new).columns, *new).mapInArrow(locate(block, rarity(docs, block)), f"{schema}, {FOUND}")
+        out = out.select(*rest.columns, *new).mapInArrow(locate(block, rarity(docs, block)), schema)
         done = True
-    return out
+    return out.toDF(*own.columns, *new)
 
 
 def n_hit(found: DataFrame) -> DataFrame:
@@ -196,6 +199,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+@keeps_columns
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without any item window, with all their columns."""
-    return contained_items(docs.withColumnsRenamed({"n_words": "_n_words", "spans": "_spans", "items": "_items"}), items).where(F.size("spans") == 0).drop("n_words", "spans", "items").withColumnsRenamed({"_n_words": "n_words", "_spans": "spans", "_items": "items"})
+    return contained_items(docs, items).where(F.size("spans") == 0).select(*docs.columns)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.llm.store import pieces, stored
+from shelfline.llm.store import keeps_columns, pieces, stored
 from shelfline.llm.texts import mixed
 
 #: Digests in one bucket, about.
@@ -42,9 +42,9 @@ def with_digest(docs: DataFrame) -> DataFrame:
 
 def grouped(rows: DataFrame) -> DataFrame:
     """One row for each digest: its winner and how many rows it has; combined before the shuffle."""
-    best = F.max(F.struct("chars", (-F.col("doc_id")).alias("less")))
+    best = F.max(F.struct("chars", F.bitwise_not(F.col("doc_id").cast("long")).alias("less")))  # smaller ids are greater
     return rows.groupBy("digest").agg(best.alias("best"), F.sum("copies").alias("n")).select(
-        "digest", (-F.col("best.less")).alias("keep_id"), F.col("best.chars").alias("keep_chars"), "n"
+        "digest", F.bitwise_not("best.less").alias("keep_id"), F.col("best.chars").alias("keep_chars"), "n"
     )
 
 
@@ -179,6 +179,7 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None, bucket_rows:
     )
 
 
+@keeps_columns
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
     chars = F.length(F.coalesce("text", F.lit("")))

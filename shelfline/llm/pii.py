@@ -21,6 +21,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm.store import keeps_columns, neutral, stored
+
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed patterns. A match of an e-mail address starts where its run of characters starts, or
 #: where the last match ended; so no run is searched from each of its characters.
@@ -176,7 +178,8 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, precision: float = PRECISION
     base = with_base(docs.select("text")).withColumn("_base", F.concat(*[F.col(f"_{k}") for k in KINDS])).select("text", "_base")
     each = with_candidates(base).select(F.explode(F.transform("_candidates", lambda c: F.struct(c.alias("c"), meets(c, F.col("_base")).cast("double").alias("label")))).alias("x"))
     drawn = each.select("x.c.*", "x.label").withColumn("_order", F.xxhash64(F.lit(seed), *FEATURES, "start", "label"))
-    drawn = drawn.orderBy("_order", *FEATURES, "start", "end", "label").limit(rows).checkpoint()
+    drawn = drawn.orderBy("_order", *FEATURES, "start", "end", "label").limit(rows)
+    drawn = stored(drawn)
     learn, judge = drawn.where("pmod(_order, 5) > 0"), drawn.where("pmod(_order, 5) = 0")
     if learn.select("label").distinct().count() < 2:
         return Trees()
@@ -203,15 +206,20 @@ def named(spans: Column) -> Column:
 
 
 def personal_data(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
-    """The documents with base (spans that the patterns find) and spans (with those selected)."""
+    """The documents with base (spans that the patterns find) and spans (with those selected).
+
+    Columns of the documents called like these two are replaced.
+    """
     trees = trees or train(docs)
-    based = with_base(docs).withColumn("_base", F.concat(*[F.col(f"_{k}") for k in KINDS]))
+    own = docs.drop("base", "spans")
+    based = with_base(neutral(own)).withColumn("_base", F.concat(*[F.col(f"_{k}") for k in KINDS]))
     plain = lambda spans: F.transform(spans, lambda s: F.struct(s["kind"].cast("int").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     more = F.filter("_candidates", lambda c: trees.selects(c) & ~F.exists("_base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
     out = with_candidates(based).withColumn("base", plain(F.col("_base"))).withColumn("spans", F.array_sort(F.array_union("base", plain(more))))
-    return out.drop("_base", "_spans", "_candidates", *[f"_{k}" for k in KINDS])
+    return out.drop("_base", "_spans", "_candidates", *[f"_{k}" for k in KINDS]).toDF(*own.columns, "base", "spans")
 
 
+@keeps_columns
 def redacted(docs: DataFrame, trees: Trees | None = None, mark: str = "▇") -> DataFrame:
     """The documents with every code point of a span replaced in their text; length stays."""
     out = personal_data(docs, trees)

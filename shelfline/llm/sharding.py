@@ -62,7 +62,12 @@ def random_order(columns: list[str], seed: int) -> list[Column]:
 
 
 def uniform_shards(rows: DataFrame, shards: int, seed: int = 42, part_rows: int = PART_ROWS) -> DataFrame:
-    """The rows with their shard and slot: counts differ by one at most, slots have no gaps."""
+    """The rows with their shard and slot: counts differ by one at most, slots have no gaps.
+
+    Columns of the rows called like these two are replaced.
+    """
+    own = rows.drop("shard", "slot")
+    rows = own.toDF(*[f"_column{i}" for i in range(len(own.columns))])
     spark, columns = rows.sparkSession, rows.columns
     placed = stored(rows.withColumn("_source", F.pmod(F.spark_partition_id(), F.lit(SOURCES))))
     counts = sorted((r["_source"], r["count"]) for r in placed.groupBy("_source").count().collect())
@@ -88,4 +93,4 @@ def uniform_shards(rows: DataFrame, shards: int, seed: int = 42, part_rows: int
     )
     again = W.partitionBy("shard", "_part").orderBy(*random_order(columns, seed + 1))
     slot = F.get(F.get(starts, F.col("shard")), F.col("_part")) + F.row_number().over(again) - 1
-    return cut.withColumn("slot", slot).drop("_part")
+    return cut.withColumn("slot", slot).select(*columns, "shard", "slot").toDF(*own.columns, "shard", "slot")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def neutral(docs: DataFrame) -> DataFrame:
+    """The documents with names for all columns but doc_id and text that no operator uses."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"_column{i}" for i, c in enumerate(docs.columns)])
+
+
+def keeps_columns(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The operator, which returns the columns of its documents, whatever the others are called."""
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        return operator(neutral(docs), *args, **options).toDF(*docs.columns)
+
+    return run
+
+
 def pieces(rows: int, each: int) -> int:
     """How many parts of about `each` rows there are; 1 at least."""
     return max(1, -(-rows // each))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.linear import BITS, SAMPLE_ROWS, Linear, filtered, fitted, scored
+from shelfline.llm.store import keeps_columns
 from shelfline.llm.texts import LOWER, owners, translate
 
 #: Bytes of an n-gram.
@@ -90,6 +91,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Dat
     return scored(docs, train(docs, labels, rows), byte_grams).withColumn("predicted", (F.col("score") >= LEAST_SCORE).cast("int"))
 
 
+@keeps_columns
 def clean(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that are not predicted to be toxic, with all their columns."""
     return filtered(docs, train(docs, labels, rows), byte_grams, lambda score: score < LEAST_SCORE)

@@ -27,8 +27,9 @@ def awkward():
 @pytest.fixture(scope="session")
 def docs(spark, awkward):
     """The same rows with columns whose names clash with the operators' own."""
-    extra = "lang string, source string, n_chars long, shard int, _row string, spans string, n long"
-    rows = [(d, t, "en" if i % 2 else None, None, i, i, "x", None, 7) for i, (d, t) in enumerate(awkward)]
+    extra = "lang string, source string, n_chars long, shard int, _row string, spans string, n long, "
+    extra += "_key string, _copy int, _n_words int, n_words int, _email int, base int, slot int, _source int, `a.b` int"
+    rows = [(d, t, "en" if i % 2 else None, None, i, i, "x", None, 7, "k", *[i] * 8) for i, (d, t) in enumerate(awkward)]
     return spark.createDataFrame(rows, f"doc_id long, text string, {extra}").repartition(5)
 
 
@@ -37,8 +38,8 @@ def empty(docs):
     return docs.limit(0)
 
 
-def rows_of(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
 
 
 @pytest.fixture(scope="session")

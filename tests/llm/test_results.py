@@ -1,9 +1,11 @@
 """Every operator against plain loops, over awkward rows, given rows and an empty table."""
 
+from collections import Counter
+
 import brute
 import public_tokenizers
 import pytest
-from conftest import DATA
+from conftest import DATA, rows_of
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -120,10 +122,11 @@ def test_first_fit_is_first_fit():
 
 
 def test_shards(docs, given):
-    for rows in (docs.select("doc_id", "text"), given[1].select("doc_id", "text").repartition(7)):
+    for rows in (docs, given[1].select("doc_id", "text").repartition(7)):
         n = rows.count()
         out = sharding.uniform_shards(rows, 6, part_rows=11).collect()
-        assert sorted((r["doc_id"], r["text"]) for r in out if r["doc_id"] and r["text"]) == sorted((r["doc_id"], r["text"]) for r in rows.collect() if r["doc_id"] and r["text"])
+        assert sorted((r["doc_id"], r["text"]) for r in out if r["doc_id"] and r["text"]) == sorted((r["doc_id"], r["text"]) for r in rows.select("doc_id", "text").collect() if r["doc_id"] and r["text"])
+        assert set(sharding.uniform_shards(rows, 6).columns) == {*rows.columns, "shard", "slot"}
         by = [sorted(r["slot"] for r in out if r["shard"] == s) for s in range(6)]
         assert [len(x) for x in by] == sharding.split_evenly(n, 6)
         assert all(x == list(range(len(x))) for x in by)
@@ -221,6 +224,7 @@ def test_spans_are_added_not_lost(docs, given):
             assert {tuple(x) for x in r["base"]} <= {tuple(x) for x in r["spans"]}
     lengths = given[1].select("doc_id", F.length("text").alias("a")).join(pii.redacted(given[1], trees).select("doc_id", F.length("text").alias("b")), "doc_id")
     assert lengths.where("a <> b").isEmpty()
+    assert rows_of(pii.redacted(docs, trees).drop("text")) == rows_of(docs.drop("text"))
 
 
 def test_whole_texts_stay_with_their_spans(docs):
@@ -265,5 +269,6 @@ def test_pipeline(spark, docs):
     for stage in list(stages.values())[:4]:
         kept = stage(spark, docs, sf)
         assert kept.columns == docs.columns and 0 < kept.count() <= docs.count()
+        assert not Counter(rows_of(kept)) - Counter(rows_of(docs))
         assert stage(spark, docs.limit(0), sf).isEmpty()
     assert corpus_pipeline.run(spark, sf).count() == out.count()
