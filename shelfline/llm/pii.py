@@ -2,9 +2,11 @@
 
 Wide patterns propose candidate spans of each kind, which may overlap each other and the base
 spans. Gradient boosted trees score each candidate by its format and its context. They are fitted
-on a bounded sample of candidates, labelled by whether a base span of the kind covers or meets
-them, and for each kind the threshold is the lowest score at which the candidates of a held-out
-part of the sample have the wanted precision. Spans count code points, ends are exclusive.
+on a bounded sample of distinct candidates, as many of each kind and label, labelled by whether a
+base span of the kind covers or meets them, and for each kind the threshold is the lowest score at
+which all candidates of all documents have the wanted precision. Candidates with the same features
+are one to the trees, so they are counted by features first, and these counts are all that is drawn
+from and calibrated on. Spans count code points, ends are exclusive.
 
 DataFrame functions only. Null counts as empty; a text without candidates has only its base spans.
 Equal rows keep a row each. With no candidates of both labels nothing is added. An empty table has
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -50,7 +53,7 @@ CONTEXT = {
 FEATURES = ["kind", "length", "digits", "letters", "separators", "groups", "longest", "word", "opens", "closes"]
 #: Code points before a span that count as its context.
 BEFORE = 24
-#: Candidates that the trees are fitted and calibrated on at most, and the precision they keep.
+#: Distinct candidates that the trees are fitted on at most, and the precision they keep.
 SAMPLE_ROWS, PRECISION = 20_000, 0.95
 SPAN = "array<struct<kind: int, start: int, end: int, found: string>>"
 
@@ -141,20 +144,24 @@ def meets(c: Column, base: Column) -> Column:
 
 @dataclass
 class Trees:
-    """Boosted trees as text, their weights, and the least score by kind."""
+    """Boosted trees as text, their weights, and the least score by kind, in hundredths."""
 
     trees: list[str] = field(default_factory=list)
     weights: list[float] = field(default_factory=list)
-    least: dict[int, float] = field(default_factory=dict)
+    least: dict[int, int] = field(default_factory=dict)
 
     def score(self, c: Column) -> Column:
         margin = sum((F.lit(float(w)) * tree_column(t, c) for t, w in zip(self.trees, self.weights)), F.lit(0.0))
         return 1 / (1 + F.exp(-2 * margin))
 
+    def bin(self, c: Column) -> Column:
+        """The score in whole hundredths."""
+        return F.floor(self.score(c) * 100)
+
     def selects(self, c: Column) -> Column:
         out = F.lit(False)
         for kind, least in self.least.items():
-            out = out | ((c["kind"] == kind) & (self.score(c) >= least))
+            out = out | ((c["kind"] == kind) & (self.bin(c) >= least))
         return out
 
 
@@ -173,29 +180,45 @@ def tree_column(text: str, c: Column) -> Column:
     return node(0)[0]
 
 
-def train(docs: DataFrame, rows: int = SAMPLE_ROWS, precision: float = PRECISION, seed: int = 42) -> Trees:
-    """Fitted on at most `rows` candidates, those that come first by hash; a fifth calibrates."""
+def counted(docs: DataFrame) -> DataFrame:
+    """The distinct features of all candidates, how many have them (n), and how many of these are positive (good)."""
     base = with_base(docs.select("text")).withColumn("_base", F.concat(*[F.col(f"_{k}") for k in KINDS])).select("text", "_base")
-    each = with_candidates(base).select(F.explode(F.transform("_candidates", lambda c: F.struct(c.alias("c"), meets(c, F.col("_base")).cast("double").alias("label")))).alias("x"))
-    drawn = each.select("x.c.*", "x.label").withColumn("_order", F.xxhash64(F.lit(seed), *FEATURES, "start", "label"))
-    drawn = drawn.orderBy("_order", *FEATURES, "start", "end", "label").limit(rows)
-    drawn = stored(drawn)
-    learn, judge = drawn.where("pmod(_order, 5) > 0"), drawn.where("pmod(_order, 5) = 0")
+    each = with_candidates(base).select(F.explode(F.transform("_candidates", lambda c: F.struct(c.alias("c"), meets(c, F.col("_base")).cast("long").alias("label")))).alias("x"))
+    return each.select("x.c.*", "x.label").groupBy(*FEATURES).agg(F.sum("label").alias("good"), F.count("*").alias("n"))
+
+
+def drawn(seen: DataFrame, rows: int, seed: int) -> DataFrame:
+    """At most `rows` of the distinct candidates: of each kind and label as many, those that come first by hash.
+
+    Features that have both labels are drawn for each, weighted by its share.
+    """
+    share = {0: 1 - F.col("good") / F.col("n"), 1: F.col("good") / F.col("n")}
+    order = [F.xxhash64(F.lit(seed), *FEATURES), *FEATURES]
+    strata = [
+        seen.where((F.col("kind") == kind) & (weight > 0)).orderBy(*order).limit(rows // (2 * len(KINDS))).select(*FEATURES, F.lit(float(y)).alias("label"), weight.alias("weight"))
+        for kind in range(len(KINDS))
+        for y, weight in share.items()
+    ]
+    return reduce(DataFrame.unionAll, strata)
+
+
+def train(docs: DataFrame, rows: int = SAMPLE_ROWS, precision: float = PRECISION, seed: int = 42) -> Trees:
+    """Fitted on at most `rows` distinct candidates, and calibrated on all candidates of all documents."""
+    seen = stored(counted(docs))
+    learn = stored(drawn(seen, rows, seed))
     if learn.select("label").distinct().count() < 2:
         return Trees()
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(learn)
-    model = GBTClassifier(maxIter=20, maxDepth=4, seed=seed).fit(assembled)
+    model = GBTClassifier(maxIter=20, maxDepth=4, seed=seed, weightCol="weight").fit(assembled)
     out = Trees([t.toDebugString for t in model.trees], list(model.treeWeights))
-    c = F.struct(*FEATURES)
-    binned = judge.select("kind", "label", F.floor(out.score(c) * 100).alias("bin"))
-    counts = binned.groupBy("kind", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
+    binned = seen.select("kind", "good", "n", out.bin(F.struct(*FEATURES)).alias("bin"))
+    counts = binned.groupBy("kind", "bin").agg(F.sum("good").alias("good"), F.sum("n").alias("n")).collect()  # at most 404 rows
     for kind in range(len(KINDS)):
         good = n = 0
         for r in sorted((r for r in counts if r["kind"] == kind), key=lambda r: -r["bin"]):
             good, n = good + r["good"], n + r["n"]
-            if good < precision * n:
-                break
-            out.least[kind] = r["bin"] / 100
+            if good >= precision * n:
+                out.least[kind] = r["bin"]
     return out
 
 

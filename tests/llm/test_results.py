@@ -227,6 +227,22 @@ def test_spans_are_added_not_lost(docs, given):
     assert rows_of(pii.redacted(docs, trees).drop("text")) == rows_of(docs.drop("text"))
 
 
+def test_rare_kinds_have_thresholds_beside_a_hot_source(spark):
+    """Number lists give nearly all candidates; the few addresses are learned and calibrated all the same."""
+    lists = [(i, "x" * (i % 97) + " 1234 5678 90" + " 11 22 33 44 " * (i % 3)) for i in range(3000)]
+    mails = [(5000 + i, f"write to person{i}@site.example.com now") for i in range(9)]
+    assert 0 in pii.train(spark.createDataFrame(lists + mails, "doc_id long, text string"), rows=80).least
+
+
+def test_thresholds_hold_for_all_candidates(spark):
+    frame = spark.read.parquet(f"{DATA}/documents.parquet")
+    trees, seen = pii.train(frame, rows=80), pii.counted(frame)
+    assert trees.least
+    for kind, least in trees.least.items():
+        above = seen.where((F.col("kind") == kind) & (trees.bin(F.struct(*pii.FEATURES)) >= least)).agg(F.sum("good"), F.sum("n")).first()
+        assert above[0] >= pii.PRECISION * above[1]
+
+
 def test_whole_texts_stay_with_their_spans(docs):
     work = SubstringDedup(docs)
     for r in work.result.collect():
