@@ -3,10 +3,12 @@
 Wide patterns propose candidate spans of each kind, which may overlap each other and the base
 spans. Gradient boosted trees score each candidate by its format and its context. They are fitted
 on a bounded sample of distinct candidates, as many of each kind and label, labelled by whether a
-base span of the kind covers or meets them, and for each kind the threshold is the lowest score at
-which all candidates of all documents have the wanted precision. Candidates with the same features
-are one to the trees, so they are counted by features first, and these counts are all that is drawn
-from and calibrated on. Spans count code points, ends are exclusive.
+base span of the kind covers them or their normal form, with the marks and separators that only the
+wide patterns know replaced, passes the check of the base. For each kind the threshold is the lowest
+score at which all candidates of all documents have the wanted precision, and also those alone that
+no base span covers, as these are what it adds. Candidates with the same
+features are one to the trees, so they are counted by features first, and these counts are all that
+is drawn from and calibrated on. Spans count code points, ends are exclusive.
 
 DataFrame functions only. Null counts as empty; a text without candidates has only its base spans.
 Equal rows keep a row each. With no candidates of both labels nothing is added. An empty table has
@@ -50,7 +52,11 @@ CONTEXT = {
     "card": "card|visa|credit|account|pay",
     "phone": "phone|tel|call|mobile|fax",
 }
-FEATURES = ["kind", "length", "digits", "letters", "separators", "groups", "longest", "word", "opens", "closes"]
+#: What stands for @ and for a point in addresses.
+AT, DOT = r"\x20?[\[(](?:at|AT)[\])]\x20?", r"\x20?[\[(](?:dot|DOT)[\])]\x20?"
+#: What tells a phone number from other digits: a country code or an area in brackets in it, or a country code or a word before it.
+AREA, COUNTRY, CALLED = r"^\+|\([0-9]{2,4}\)", r"\+[0-9]{1,3}[\x20.-]?$", r"\b(?:phone|telephone|tel|call|mobile|fax)\b[^0-9]*$"
+FEATURES = ["kind", "length", "digits", "letters", "separators", "groups", "longest", "word", "opens", "closes", "reads"]
 #: Code points before a span that count as its context.
 BEFORE = 24
 #: Distinct candidates that the trees are fitted on at most, and the precision they keep.
@@ -113,6 +119,31 @@ def with_candidates(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_spans", spans).withColumn("_candidates", F.transform("_spans", lambda s: features(text, s)))
 
 
+def reads(text: Column, s: Column, context: Column) -> Column:
+    """Whether the normal form of a candidate passes the check of its kind, and the candidate is no part of a longer form.
+
+    Parts of an IP address or a card have the same separator all through, so that clock times and
+    neighbouring numbers are neither; digits alone are a phone number only by what marks them as one.
+    """
+    x = s["found"]
+    near = lambda at: F.when(at > 0, F.substr(text, at, F.lit(1))).otherwise("")
+    two, one, next1, next2 = near(s["start"] - 1), near(s["start"]), near(s["end"] + 1), near(s["end"] + 2)
+    digit, wordy = "^[0-9]", "^[A-Za-z0-9]"
+    apart = lambda sep: ~(one.rlike(wordy) | next1.rlike(wordy) | (sep(one) & two.rlike(digit)) | (sep(next1) & next2.rlike(digit)))
+    point = F.regexp_extract(x, "[.:_-]", 0)
+    address = F.regexp_replace(F.regexp_replace(x, AT, "@"), DOT, ".")
+    tests = {
+        "email": address.rlike(r"^[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++$"),
+        "ip": x.rlike(r"^[0-9]++([.:_-])[0-9]++\1[0-9]++\1[0-9]++$") & valid("ip", F.regexp_replace(x, "[:_-]", ".")) & apart(lambda c: c == point),
+        "card": x.rlike(r"^[0-9]++(?:([\x20.-])[0-9]++(?:\1[0-9]++)*+)?+$") & valid("card", x) & apart(lambda c: c.rlike(r"^[\x20.-]")),
+        "phone": valid("phone", x) & (context.rlike(COUNTRY) | ((x.rlike(AREA) | context.rlike(CALLED)) & apart(lambda c: c.rlike("^[.-]")))),
+    }
+    out = F.lit(False)
+    for i, k in enumerate(KINDS):
+        out = F.when(s["kind"] == i, tests[k]).otherwise(out)
+    return out
+
+
 def features(text: Column, s: Column) -> Column:
     x, kind = s["found"], s["kind"]
     context = F.lower(F.substr(text, F.greatest(s["start"] - BEFORE + 1, F.lit(1)), F.least(s["start"], F.lit(BEFORE))))
@@ -132,14 +163,15 @@ def features(text: Column, s: Column) -> Column:
         "word": word.cast("int"),
         "opens": F.when(s["start"] == 0, 1).otherwise(around(s["start"])),
         "closes": F.when(s["end"] >= F.length(text), 1).otherwise(around(s["end"] + 1)),
+        "reads": reads(text, s, context).cast("int"),
     }
     named = [values[f].cast("double").alias(f) for f in FEATURES]
     return F.struct(s["start"].alias("start"), s["end"].alias("end"), *named)
 
 
-def meets(c: Column, base: Column) -> Column:
-    """Whether a base span of the candidate's kind shares a code point with it."""
-    return F.exists(base, lambda b: (b["kind"] == c["kind"]) & (b["start"] < c["end"]) & (c["start"] < b["end"]))
+def positive(c: Column, base: Column) -> Column:
+    """Whether a base span of the candidate's kind covers it, or its normal form reads as one."""
+    return (c["reads"] == 1) | F.exists(base, lambda b: (b["kind"] == c["kind"]) & (b["start"] <= c["start"]) & (c["end"] <= b["end"]))
 
 
 @dataclass
@@ -180,11 +212,18 @@ def tree_column(text: str, c: Column) -> Column:
     return node(0)[0]
 
 
+def uncovered(c: Column, base: Column) -> Column:
+    """Whether no base span of any kind covers the candidate."""
+    return ~F.exists(base, lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"]))
+
+
 def counted(docs: DataFrame) -> DataFrame:
-    """The distinct features of all candidates, how many have them (n), and how many of these are positive (good)."""
+    """The distinct features of all candidates, how many have them (n), how many of these are positive (good); both without covered ones (new, new_good)."""
     base = with_base(docs.select("text")).withColumn("_base", F.concat(*[F.col(f"_{k}") for k in KINDS])).select("text", "_base")
-    each = with_candidates(base).select(F.explode(F.transform("_candidates", lambda c: F.struct(c.alias("c"), meets(c, F.col("_base")).cast("long").alias("label")))).alias("x"))
-    return each.select("x.c.*", "x.label").groupBy(*FEATURES).agg(F.sum("label").alias("good"), F.count("*").alias("n"))
+    about = lambda c: F.struct(c.alias("c"), positive(c, F.col("_base")).cast("long").alias("label"), uncovered(c, F.col("_base")).cast("long").alias("new"))
+    each = with_candidates(base).select(F.explode(F.transform("_candidates", about)).alias("x")).select("x.c.*", "x.label", "x.new")
+    new_good = F.sum(F.col("label") * F.col("new"))
+    return each.groupBy(*FEATURES).agg(F.sum("label").alias("good"), F.count("*").alias("n"), new_good.alias("new_good"), F.sum("new").alias("new"))
 
 
 def drawn(seen: DataFrame, rows: int, seed: int) -> DataFrame:
@@ -211,13 +250,14 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, precision: float = PRECISION
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(learn)
     model = GBTClassifier(maxIter=20, maxDepth=4, seed=seed, weightCol="weight").fit(assembled)
     out = Trees([t.toDebugString for t in model.trees], list(model.treeWeights))
-    binned = seen.select("kind", "good", "n", out.bin(F.struct(*FEATURES)).alias("bin"))
-    counts = binned.groupBy("kind", "bin").agg(F.sum("good").alias("good"), F.sum("n").alias("n")).collect()  # at most 404 rows
+    sums = ["good", "n", "new_good", "new"]
+    binned = seen.select("kind", *sums, out.bin(F.struct(*FEATURES)).alias("bin"))
+    counts = binned.groupBy("kind", "bin").agg(*[F.sum(x).alias(x) for x in sums]).collect()  # at most 404 rows
     for kind in range(len(KINDS)):
-        good = n = 0
+        good, n, new_good, new = 0, 0, 0, 0
         for r in sorted((r for r in counts if r["kind"] == kind), key=lambda r: -r["bin"]):
-            good, n = good + r["good"], n + r["n"]
-            if good >= precision * n:
+            good, n, new_good, new = good + r["good"], n + r["n"], new_good + r["new_good"], new + r["new"]
+            if good >= precision * n and new_good >= precision * new:
                 out.least[kind] = r["bin"]
     return out
 
@@ -237,7 +277,7 @@ def personal_data(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
     own = docs.drop("base", "spans")
     based = with_base(neutral(own)).withColumn("_base", F.concat(*[F.col(f"_{k}") for k in KINDS]))
     plain = lambda spans: F.transform(spans, lambda s: F.struct(s["kind"].cast("int").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    more = F.filter("_candidates", lambda c: trees.selects(c) & ~F.exists("_base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
+    more = F.filter("_candidates", lambda c: trees.selects(c) & uncovered(c, F.col("_base")))
     out = with_candidates(based).withColumn("base", plain(F.col("_base"))).withColumn("spans", F.array_sort(F.array_union("base", plain(more))))
     return out.drop("_base", "_spans", "_candidates", *[f"_{k}" for k in KINDS]).toDF(*own.columns, "base", "spans")
 

@@ -243,6 +243,35 @@ def test_thresholds_hold_for_all_candidates(spark):
         assert above[0] >= pii.PRECISION * above[1]
 
 
+def test_forms_that_only_the_wide_patterns_know_are_added(spark, given):
+    planted = {
+        9001: ("ask bob [at] site [dot] com soon", "bob [at] site [dot] com", 0),
+        9002: ("ask ann(at)site.example.org", "ann(at)site.example.org", 0),
+        9003: ("host 10-0-0-1 is up", "10-0-0-1", 1),
+        9004: ("at 192_168_0_17:8080", "192_168_0_17", 1),
+        9005: ("paid by 4111.1111.1111.1111 then", "4111.1111.1111.1111", 2),
+        9006: ("ring (212) 555-0100 now", "(212) 555-0100", 3),
+        9007: ("tel 212.555.0100", "212.555.0100", 3),
+    }
+    others = [
+        (9101, "look (at) this or [at] that"), (9102, "10-0-0-999 and 12:30:45.123 and 1-2-3-4-5 and 10-0-0-1234"),
+        (9103, "4111.1111.1111.1112 and 100 200 300 400"), (9104, "token 454724135 is c7b2767825212555010048d3ed7"),
+    ]
+    rows = [(d, x[0]) for d, x in planted.items()] + others
+    frame = given[1].select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in pii.personal_data(frame).where("doc_id > 9000").select("doc_id", "base", "spans").collect()}
+    for d, (text, form, kind) in planted.items():
+        at = text.index(form)
+        assert not got[d]["base"] and [tuple(x) for x in got[d]["spans"]] == [(kind, at, at + len(form))], text
+    assert all(got[d]["spans"] == got[d]["base"] for d, _ in others)
+
+
+def test_base_spans_do_not_pay_for_wrong_ones(spark):
+    rows = [(i, f"paid by 4111 1111 1111 1111 on day {i}") for i in range(90)] + [(100 + i, "key a1b183110802154c") for i in range(3)]
+    out = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.where("base <> spans").isEmpty() and out.where(F.size("base") > 0).count() == 90
+
+
 def test_whole_texts_stay_with_their_spans(docs):
     work = SubstringDedup(docs)
     for r in work.result.collect():
