@@ -55,15 +55,17 @@ def distinct_features(texts: pa.Array, features: Features) -> list[bytes]:
 def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, seed: int) -> tuple[DataFrame, dict[int, float]]:
     """Labelled texts (label, text) outside the held-out fold, and what a row of each label counts.
 
-    Of each label the rows / 2 ids that come first by hash, so the sample's size has a bound. An id
-    with several labels has the greatest; ids without a label, or null ids, are left out.
+    Of each label the rows / 2 ids that come first by hash, and of each id the text that comes first
+    by hash, so the sample has at most `rows` rows, each with at most 2^BITS features of 4 bytes. An
+    id with several labels has the greatest; ids without a label, or null ids, are left out.
     """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     totals = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     first = lambda y: known.where(F.col("label") == y).orderBy(F.xxhash64(F.lit(seed), "doc_id")).limit(rows // 2)
     ids = F.broadcast(first(0).unionAll(first(1)))  # at most `rows` ids
-    texts = docs.select("doc_id", "text").join(ids, "doc_id").select("label", "text")
+    texts = docs.select("doc_id", "text").join(ids, "doc_id")
+    texts = texts.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("label", "text")
     return texts, {y: n / min(n, rows // 2) for y, n in totals.items()}
 
 

@@ -1,6 +1,7 @@
 """Every operator against plain loops, over awkward rows, given rows and an empty table."""
 
 from collections import Counter
+from zlib import crc32
 
 import brute
 import public_tokenizers
@@ -173,6 +174,19 @@ def test_scores(spark, docs, operator, label, least, good):
     assert operator(frame, nulls).count() == frame.count()
 
 
+def test_repeated_ids_are_sampled_once(spark):
+    """An id with a third of all rows, of many texts, is one row of the sample like any other."""
+    from shelfline.llm import linear
+
+    rows = [(i, f"text {i}") for i in range(200)] + [(next(i for i in range(200) if crc32(str(i).encode()) % 5), f"again {i % 7}") for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    texts, share = linear.sample(frame, labels, "toxic", 1000, 42)
+    known = [i for i in range(200) if crc32(str(i).encode()) % 5]
+    assert texts.count() == len(known) and share == {0: 1.0, 1: 1.0}
+    assert rows_of(texts) == rows_of(linear.sample(frame.repartition(3), labels, "toxic", 1000, 42)[0])
+
+
 def test_labels_of_held_out_rows_are_never_learned(spark):
     sf = "/root/testdata/sf0.01"
     frame, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
