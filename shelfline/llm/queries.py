@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import decontamination, exact, packing, pii, quality, sharding, simhash, substring, tokens, toxicity
+from shelfline.llm import decontamination, exact, language, packing, periods, pii, quality, sharding, simhash, substring, tokens, toxicity, trie
 from shelfline.llm.store import stored, table
 
 
@@ -59,7 +61,67 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_pii, op4_toxicity, op5_token_counts, op6_packing, op7_simhash, op8_exact_dedup, op9_sharding, op10_quality)}
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, a tenth of them (by id) with words that repeat from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size("words")
+    first = (g % n).alias("first")
+    period = (1 + F.floor((n - g % n) / (3 + g % 8))).alias("period")
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    there = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"))
+    there = there.select("doc_id", "text", F.when(n > 0, F.col("words")).alias("words"), F.when(n > 0, first).alias("first"), F.when(n > 0, period).alias("period"))
+    at = lambda i: F.when(i < F.col("first"), i).otherwise(F.col("first") + (i - F.col("first")) % F.col("period"))
+    said = F.transform("words", lambda w, i: F.get("words", at(i)))
+    return there.select("doc_id", F.when(F.col("words").isNotNull(), F.array_join(said, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(with_repeats(table(spark, sf_dir, "documents")))
+    # Quotients of whole numbers with a product below 2^52 differ as doubles where they differ.
+    ranked = F.transform("runs", lambda r: F.struct((r["length"] / r["period"]).alias("q"), (-r["start"]).alias("s"), (-r["period"]).alias("p"), r["length"].alias("l")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    best = found.select("doc_id", "text", "runs", F.array_max(ranked).alias("best"), listed.alias("listed"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.l div -best.p").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every conversation c with the first turns of conversation c - c % 5 before its later own ones; and all ids."""
+    own = F.crc32(F.col("conv_id").cast("string")) % 9
+    base = F.col("conv_id") - F.col("conv_id") % 5
+    members = stored(turns.select("conv_id").distinct())
+    heads = turns.where(F.col("pos") < 8).select(F.col("conv_id").alias("base"), "pos", "item")
+    others = members.where(F.col("conv_id") != base).select("conv_id", base.alias("base"), own.alias("own"))
+    taken = stored(others.join(heads, "base").where(F.col("pos") < F.col("own")).select("conv_id", "pos", "item"))
+    before = stored(taken.groupBy("conv_id").agg(F.count(F.lit(1)).alias("before")))
+    later = turns.where((F.col("conv_id") != base) & (F.col("pos") >= own)).join(before, "conv_id", "left")
+    later = later.select("conv_id", (F.coalesce("before", F.lit(0)) + F.col("pos") - own).alias("pos"), "item")
+    return reduce(DataFrame.unionByName, [turns.where(F.col("conv_id") == base), taken, later]), members
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(trie.turns_of(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(*rebuilt(turns))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+OPERATORS = (
+    op1_substring_dedup, op2_decontamination, op3_pii, op4_toxicity, op5_token_counts, op6_packing, op7_simhash,
+    op8_exact_dedup, op9_sharding, op10_quality, op11_periodic_runs, op12_prefix_trie, op13_language,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 
 #: What every equal text is grouped by, and the order in which one of them stays.
 ORACLE = {

@@ -47,6 +47,6 @@ def pieces(rows: int, each: int) -> int:
     return max(1, -(-rows // each))
 
 
-def held_out(doc_id: str = "doc_id", folds: int = 5):
+def held_out(doc_id: str = "doc_id", folds: int = 5, fold: int = 0):
     """Whether labels of the row are never learned from; null ids are held out."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == 0, F.lit(True))
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(True))

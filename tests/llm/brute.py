@@ -1,9 +1,11 @@
 """The operators' results by plain loops over (doc_id, text) rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import xxhash
 
@@ -146,3 +148,86 @@ def packed_whole(rows, docs, ids_of, room=1024):
             at += r["length"]
         assert at <= room
     return sum(r["length"] for r in rows) / (room * len(by_sequence))
+
+
+def runs(w, least=6, times=4):
+    """(start, length, period) of all maximal runs, period by period."""
+    n, out = len(w), []
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            run = w[i : j + q]
+            if len(run) >= max(least, times * q) and not any(run[r:] == run[:-r] for r in range(1, q)):
+                out.append((i, len(run), q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapse(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def periodic(docs):
+    """The rows of op11_periodic_runs, planted repeats included."""
+    out = []
+    for d, t in docs:
+        w, h = words(t), 1 if d is None else zlib.crc32(str(d).encode())
+        g, n = h // 10, len(w)
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+        found = runs(w)
+        best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None,) * 3)
+        milli = 1000 * best[1] // best[2] if found else None
+        out.append((d, len(found), *best, milli, sha("".join(f"{s},{n},{q}\n" for s, n, q in found)), sha(collapse(w, found))))
+    return out
+
+
+def trie(rows):
+    """The rows of op12_prefix_trie from (conv_id, turn, role, text)."""
+    turns = defaultdict(list)
+    for c, n, role, text in rows:
+        if c is not None:
+            turns[c].append((n is not None, n or 0, role or "", text or ""))
+    own, whole = {c: [x[2:] for x in sorted(v)] for c, v in turns.items()}, {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 9
+        whole[c] = own.get(c - int(math.fmod(c, 5)), [])[:h] + own[c][h:]
+    members, children = defaultdict(list), defaultdict(list)
+    for c, s in whole.items():
+        for d in range(len(s) + 1):
+            members[tuple(s[:d])].append(c)
+    for k in members:
+        children[k[:-1]] += [k] if k else []
+    leaves, saved = {}, {}
+    for k in sorted(members, key=len, reverse=True):
+        leaves[k] = sum(leaves[x] for x in children[k]) or 1
+        saved[k] = sum(saved[x] for x in children[k]) + ((len(members[k]) - 1) * len(k[-1][1].encode()) if k else 0)
+    out = []
+    for k, m in members.items():
+        ends = ",".join(map(str, sorted(c for c in m if len(whole[c]) == len(k))))
+        out.append((min(m), len(k), min(members[k[:-1]]) if k else None, len(m), len(children[k]), leaves[k], saved[k], sha(ends)))
+    return out
+
+
+def phrases(data: bytes, sample: bytes, stretch: int):
+    """How many longest matches with the sample, or else single bytes, cover the data, cut in stretches."""
+    n = 0
+    for a in range(0, len(data), stretch):
+        piece, i = data[a : a + stretch], 0
+        while i < len(piece):
+            j = i + 1
+            while j < len(piece) and piece[i : j + 1] in sample:
+                j += 1
+            i, n = j, n + 1
+    return n
+
+
+def folded(text) -> bytes:
+    """Bytes in lower case, with one space for what stands between letters."""
+    return re.sub(rb"[\x00-\x60\x7b-\x7f]+", b" ", re.sub(b"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
