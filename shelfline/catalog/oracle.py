@@ -225,6 +225,15 @@ _AS_SCANNED = {
     "inventory": _AS_READ["inventory"].replace("CAST(WASTE_QTY", f"CAST({_FEED_WASTE}"),
 }
 
+# The extracts of AS_OF have no later facts.
+_FROM_EXTRACTS = _query(
+    _UP_TO_NOW,
+    *(c.replace(f"FROM {t}", f"FROM (SELECT * FROM {t}{_CUT_OFF[t]}) {t}") if t else c
+      for t, c in ((None, _SALES), (None, _INVENTORY), (None, _CALENDAR),
+                   ("sales", _WEEKLY_SALES), ("inventory", _DATED), (None, _NO_STOCK),
+                   (None, _LAST_SNAPSHOT), (None, _WEEKLY))),
+)
+
 ORACLE: dict[str, str] = {
     **{
         f"scan_{t}": _query(f"SELECT {_AS_SCANNED.get(t, '*')} FROM {t}", cte)
@@ -245,6 +254,44 @@ ORACLE: dict[str, str] = {
         ),
         *_TABLE_CTES.values(),
     ),
+    "extract_parts": _query(
+        """SELECT count(*) AS rows_read,
+                  CAST(sum(9 + 10 + length(STORE_KEY::VARCHAR) + length(PROD_KEY::VARCHAR)
+                    + coalesce(length(INVENTORY_ON_HAND_QTY::VARCHAR), 0)
+                    + length(INVENTORY_ON_ORDER_QTY::VARCHAR)
+                    + coalesce(length(OUT_OF_STOCK_FLG::VARCHAR), 0)
+                    + length(WASTE_QTY::VARCHAR) + length(PROMOTION_FLG::VARCHAR)
+                    + CASE WHEN NEXT_DELIVERY_DT IS NULL THEN 0 ELSE 10 END) AS BIGINT) AS bytes,
+                  0::BIGINT AS too_large, 0::BIGINT AS miscounted,
+                  0::BIGINT AS numbers_lacking, true AS enough
+           FROM inventory""",
+        _INVENTORY,
+    ),
+    "extract_objects": _query(
+        "\nUNION ALL ".join(
+            f"""SELECT '{t}' AS table_name, '{t}_{AS_OF}.csv' AS file_name,
+                       count(*) AS rows_unloaded, true AS has_header FROM {t}{_CUT_OFF.get(t, '')}"""
+            for t in _TABLE_CTES
+        ),
+        *_TABLE_CTES.values(),
+    ),
+    "load_stamps": _query(
+        "\nUNION ALL ".join(
+            f"""SELECT '{t}' AS table_name, '2023-06-01 02:00:00' AS given, true AS is_now,
+                       count(*) AS rows FROM {t}"""
+            for t in ("calendar", "store", "product")
+        ),
+        _CALENDAR, _STORE, _PRODUCT,
+    ),
+    "output_paths": _query(
+        """SELECT run_date, role, table_name, 'out/analysis/' || table_name AS path
+           FROM (SELECT DISTINCT run_date FROM expected JOIN ready USING (run_date))
+           CROSS JOIN (VALUES ('weekly', 'weekly_agg_table'), ('calendar', 'calendar_table'),
+                              ('store', 'store_table'), ('product', 'prod_table')) t(role, table_name)""",
+        _EXPECTED,
+        _ARRIVALS,
+        _READY,
+    ),
     "date_rejects": _query(
         """SELECT 'inventory' AS table_name, 'CAL_DT' AS column_name,
                   count(*) - count(CAL_DT) AS rejects FROM inventory
@@ -387,12 +434,9 @@ ORACLE: dict[str, str] = {
         *_STOCKED,
     ),
     "ingest_available_now": _WEEKLY_STOCK,
-    "ingest_daily_extracts": _query(
-        _UP_TO_NOW,
-        *(c.replace(f"FROM {t}", f"FROM (SELECT * FROM {t}{_CUT_OFF[t]}) {t}") if t else c
-          for t, c in ((None, _SALES), (None, _INVENTORY), (None, _CALENDAR),
-                       ("sales", _WEEKLY_SALES), ("inventory", _DATED), (None, _NO_STOCK),
-                       (None, _LAST_SNAPSHOT), (None, _WEEKLY))),
-    ),
+    **{
+        f"ingest_{name}": _FROM_EXTRACTS
+        for name in ("daily_extracts", "reextracted_day", "unpadded_names")
+    },
     "ingest_calendar_extended": _WEEKLY_STOCK,
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +39,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LOAD_TMST = datetime(2023, 6, 1, 2, 0)
 SECOND_LANDING = date(2023, 5, 1)
+UNPADDED_DAY = date(2023, 5, 9)
 INPUT_ROOT = "in/"
+OUTPUT_ROOT = "out/analysis/"
+PART_BYTES = 100_000
 DIMENSION_TYPES = {
     "store": {"NATION_KEY": T.IntegerType(), "STORE_BALANCE": T.DoubleType()},
     "product": {"SIZE_NUM": T.IntegerType(), "LIST_PRICE": T.DoubleType()},
@@ -117,6 +120,36 @@ def extract_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_feeds(spark, frames, work_path(spark, "extract"), AS_OF)
 
 
+def extract_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory extract in parts of bounded size; what the files hold and how they are numbered."""
+    path = work_path(spark, "inventory.csv")
+    parts = extract.write_parts(tables.inventory(spark, sf_dir), path, PART_BYTES)
+    rows = feeds.read_feed(spark, "inventory", path).select("*", "_metadata.file_name", "_metadata.file_size")
+    number = F.regexp_extract("file_name", r"^part-(\d+)-", 1).cast("int")
+    found = rows.groupBy(number.alias("part")).agg(F.count(F.lit(1)).alias("read"), F.max("file_size").alias("size"))
+    return parts.join(found, "part", "full_outer").agg(
+        F.sum("read").alias("rows_read"),
+        F.sum("bytes").alias("bytes"),
+        F.count_if(F.coalesce(F.col("size") > PART_BYTES, F.lit(True))).alias("too_large"),
+        F.count_if(~F.col("rows").eqNullSafe(F.col("read"))).alias("miscounted"),
+        (F.max("part") + 1 - F.count("part")).alias("numbers_lacking"),
+        (F.count("part") > F.floor(F.sum("bytes") / PART_BYTES)).alias("enough"),
+    )
+
+
+def extract_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five extracts, each one plain file, over extracts in part files of the same name."""
+    frames, root = {t: read(spark, sf_dir) for t, read in tables.TABLES.items()}, work_path(spark, "extract")
+    extract.extract_feeds(spark, {**frames, "store": frames["store"].limit(0)}, root, AS_OF)
+    unloaded = extract.extract_feeds(spark, frames, root, AS_OF, single_file=True)
+    lying = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    lying = lying.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    named = lying.withColumn("table_name", feed_table_name(F.col("file_name")))
+    return named.join(unloaded, "table_name", "full_outer").select(
+        "table_name", "file_name", "rows_unloaded", (F.col("length") > 0).alias("has_header")
+    )
+
+
 # Sales
 
 
@@ -204,6 +237,26 @@ def _dimension(table: str) -> Query:
     return query
 
 
+def load_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stamps of the dimensions: a given one, and the time of the query."""
+
+    def stamped(table: str) -> DataFrame:
+        path = work_path(spark, f"{table}_table")
+        frame = tables.TABLES[table](spark, sf_dir)
+        sinks.write_table(sinks.stamp(frame, LOAD_TMST), path)
+        now = sinks.stamp(spark.read.parquet(path).withColumnRenamed("load_tmst", "given"))
+        return now.groupBy("given", (F.col("load_tmst") == F.current_timestamp()).alias("is_now")).agg(
+            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("rows")
+        )
+
+    every = reduce(DataFrame.unionAll, [stamped(t) for t in ("calendar", "store", "product")])
+    return every.withColumn("given", F.date_format("given", "yyyy-MM-dd HH:mm:ss"))
+
+
+def output_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.output_paths(ready_runs(spark, sf_dir), OUTPUT_ROOT)
+
+
 def published_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job from CSV feeds to published tables, then SQL over them."""
     root = work_path(spark, "job/")
@@ -295,6 +348,39 @@ def ingest_daily_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.weekly(AS_OF)
 
 
+def ingest_reextracted_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's extracts with wrong stock and sales, ingested, written again, ingested again."""
+    landing, root = work_path(spark, "landing"), work_path(spark, "store")
+    frames = {t: read(spark, sf_dir) for t, read in tables.TABLES.items()}
+    wrong = {
+        **frames,
+        "sales": frames["sales"].withColumn("SALES_QTY", F.col("SALES_QTY") + 1),
+        "inventory": frames["inventory"].where(F.col("STORE_KEY") % 2 == 0),
+    }
+    store = WeeklyStore(spark, root, frames["calendar"], cumulative=True)
+    for landed in (wrong, frames):
+        extract.extract_feeds(spark, landed, landing, AS_OF)
+        store.ingest(landing)
+    return store.weekly(AS_OF)
+
+
+def ingest_unpadded_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts named with single digits; by their text the older ones would come last."""
+    landing, root = work_path(spark, "landing"), work_path(spark, "store")
+    frames = {t: tables.TABLES[t](spark, sf_dir) for t in ("sales", "inventory")}
+    for day in (AS_OF, UNPADDED_DAY):
+        named = f"{day.year}-{day:%m}-{day.day}"
+        together(
+            [
+                partial(extract.write_csv, extract.extract(rows, t, day), f"{landing}/{t}_{named}.csv")
+                for t, rows in frames.items()
+            ]
+        )
+    store = WeeklyStore(spark, root, tables.calendar(spark, sf_dir), cumulative=True)
+    store.ingest(landing, max_files_per_batch=2)
+    return store.weekly(AS_OF)
+
+
 def ingest_calendar_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All facts landed while the calendar still ends early; then it grows."""
     landing, root = work_path(spark, "landing"), work_path(spark, "store")
@@ -313,10 +399,13 @@ QUERIES: dict[str, Query] = {
     "date_rejects": date_rejects,
     "feed_rejects": feed_rejects,
     "manifest_paths": manifest_paths,
+    "output_paths": output_paths,
     "ready_runs": ready_runs,
     "feed_table_name": feed_tables,
     **{f"extract_{table}": _extract(table) for table in extract.EXTRACT_ORDER},
     "extract_row_counts": extract_row_counts,
+    "extract_parts": extract_parts,
+    "extract_objects": extract_objects,
     "daily_sales": daily_sales,
     "sales_calendar_left": sales_calendar_left,
     "inventory_calendar_left": inventory_calendar_left,
@@ -332,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "weekly_stock": _weekly_stock("last_snapshot"),
     "weekly_stock_as_written": _weekly_stock("every_snapshot"),
     **{f"dim_{table}": _dimension(table) for table in ("calendar", "store", "product")},
+    "load_stamps": load_stamps,
     "published_sql": published_sql,
     "expected_feeds": expected_feeds,
     "missing_feeds": missing_feeds,
@@ -340,5 +430,7 @@ QUERIES: dict[str, Query] = {
     "sales_without_stock": _dropped(completeness.sales_without_stock),
     "ingest_available_now": ingest_available_now,
     "ingest_daily_extracts": ingest_daily_extracts,
+    "ingest_reextracted_day": ingest_reextracted_day,
+    "ingest_unpadded_names": ingest_unpadded_names,
     "ingest_calendar_extended": ingest_calendar_extended,
 }

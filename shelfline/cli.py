@@ -99,7 +99,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--database", required=True)
     sub.add_argument("--output-root", required=True)
     sub.add_argument("--single-file", action="store_true")
-    sub.add_argument("--max-bytes", type=int, help="refuse a larger single file")
+    sub.add_argument("--max-bytes", type=int, help="most bytes of a file; a larger single file is refused")
     sub.set_defaults(run=extract)
 
     sub = commands.add_parser("check", parents=[common])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import date
 from functools import partial
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.dates import day_lit
 from shelfline.functions.size import csv_bytes
+from shelfline.sources import files
+from shelfline.sources.parts import CSV_OPTIONS, write_parts
 from shelfline.sources.together import together
 
 # Fixed value: most bytes the five single-file extracts of the feeds' readers may have
@@ -63,12 +66,36 @@ def write_csv(
         .write.mode("overwrite")
         .option("header", True)
         .option("compression", "none")
+        .options(**CSV_OPTIONS)
         .option("maxRecordsPerFile", max_rows_per_file)
         .csv(path)
     )
     return written.get["rows"]
 
 
+def write_object(frame: DataFrame, path: str, max_bytes: int | None = None) -> int:
+    """Write one plain CSV file with a header at ``path``, over what is there; returns its rows.
+
+    The file is written aside and then moved, so ``path`` holds the old or the new
+    one; a call after a failure leaves one file. With ``max_bytes`` a larger file
+    is not moved: ``ValueError``.
+    """
+    spark, (folder, name) = frame.sparkSession, path.rsplit("/", 1)
+    aside = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    try:
+        rows = write_csv(frame, aside, single_file=True)
+        (part,) = files.children(spark, aside)
+        size = files.length(spark, f"{aside}/{part}")
+        if max_bytes is not None and size > max_bytes:
+            raise ValueError(f"{size} bytes do not fit a single file of {max_bytes}")
+        if files.exists(spark, path) and not files.is_file(spark, path):
+            files.remove(spark, path)  # an extract in part files
+        files.move(spark, f"{aside}/{part}", path, overwrite=True)
+        return rows
+    finally:
+        files.remove(spark, aside)
+
+
 def extract_path(root: str, table: str, as_of: date) -> str:
     return f"{root.rstrip('/')}/{table}_{as_of:%Y-%m-%d}.csv"
 
@@ -81,11 +108,19 @@ def extract_feeds(
     single_file: bool = False,
     max_bytes: int | None = None,
 ) -> DataFrame:
-    """Write all five extracts of a day; returns ``(table_name, rows_unloaded)``."""
+    """Write all five extracts of a day; returns ``(table_name, rows_unloaded)``.
+
+    With ``single_file`` each is one plain file, refused if it has more than
+    ``max_bytes``; else each is a folder of part files, none of which has more.
+    """
 
     def unload(table: str) -> int:
-        rows = extract(tables[table], table, as_of)
-        return write_csv(rows, extract_path(root, table, as_of), single_file, max_bytes=max_bytes)
+        rows, path = extract(tables[table], table, as_of), extract_path(root, table, as_of)
+        if single_file:
+            return write_object(rows, path, max_bytes)
+        if max_bytes is not None:
+            return sum(part["rows"] for part in write_parts(rows, path, max_bytes).collect())
+        return write_csv(rows, path)
 
     counts = together([partial(unload, t) for t in EXTRACT_ORDER])
     return spark.createDataFrame(

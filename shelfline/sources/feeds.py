@@ -13,16 +13,23 @@ from shelfline.schemas import DATE_COLUMNS, FEED_TYPES
 
 
 def read_feed(
-    spark: SparkSession, feed: str, path: str | list[str], infer: bool = False
+    spark: SparkSession,
+    feed: str,
+    path: str | list[str],
+    infer: bool = False,
+    like: str | None = None,
+    header: list[str] | None = None,
 ) -> DataFrame:
     """Scan one CSV feed as text, columns named by the file's header.
 
-    ``infer=True`` lets Spark read the data once more to find all types.
+    ``infer=True`` lets Spark read the data once more to find all types. ``like``
+    is one of many files, to read the header from; ``header`` has its names where
+    they are known.
     """
     csv = spark.read.option("header", True)
     if infer:
         return csv.option("inferSchema", True).csv(path)
-    header = csv.csv(path).columns
+    header = header or csv.csv(like or path).columns
     # A part file with another header is an error, not a silent mix-up of columns.
     text = T.StructType([T.StructField(name, T.StringType()) for name in header])
     return csv.option("enforceSchema", False).schema(text).csv(path)

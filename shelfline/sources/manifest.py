@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 
 from shelfline.schemas import FEEDS
 
+# The published tables.
+OUTPUT_TABLES = {
+    "weekly": "weekly_agg_table",
+    "calendar": "calendar_table",
+    "store": "store_table",
+    "product": "prod_table",
+}
+
 
 @dataclass(frozen=True)
 class JobPaths:
@@ -30,13 +38,8 @@ class JobPaths:
         lacking = [t for t in FEEDS if t not in paths]
         if lacking:
             raise ValueError(f"manifest has no path for: {', '.join(lacking)}")
-        return cls(
-            inputs={t: input_root + paths[t] for t in FEEDS},
-            weekly=output_root + "weekly_agg_table",
-            calendar=output_root + "calendar_table",
-            store=output_root + "store_table",
-            product=output_root + "prod_table",
-        )
+        outputs = {role: output_root + name for role, name in OUTPUT_TABLES.items()}
+        return cls(inputs={t: input_root + paths[t] for t in FEEDS}, **outputs)
 
 
 def manifest_paths(manifests: DataFrame, root: str) -> DataFrame:
@@ -45,3 +48,11 @@ def manifest_paths(manifests: DataFrame, root: str) -> DataFrame:
     return manifests.select("run_date", F.explode(entries).alias("table_name", "entry")).select(
         "run_date", "table_name", F.concat(F.lit(root), "entry").alias("path")
     )
+
+
+def output_paths(manifests: DataFrame, root: str) -> DataFrame:
+    """One row per run date and published table, with the path below ``root``."""
+    names = F.create_map(*[F.lit(x) for pair in OUTPUT_TABLES.items() for x in pair])
+    return manifests.select("run_date", F.explode(names).alias("role", "table_name")).select(
+        "run_date", "role", "table_name", F.concat(F.lit(root), "table_name").alias("path")
+    )

@@ -1,56 +1,55 @@
 """Incremental ingest: newly landed feed files update only the weeks they touch.
 
-One new day changes its whole week (last observed day, stock-out count), so
-the unit of work is the week. One stream follows the names of landed files;
-every micro-batch reads its files by their own headers, adds their rows to the
-facts, which are kept by feed and day, and rebuilds the weekly table's
-partitions of the weeks it touched. Facts carry no week: the calendar is joined
-when a week is built, so a calendar that grows or changes dates old facts too.
-
-All writes overwrite exactly what their batch makes, so a batch that is run
-again after a failure leaves the same tables.
+One new day changes its whole week (last observed day, stock-out count), so the
+unit of work is the week. Every call lists the landing folder, compares it with
+the ledger of what was taken in, and takes in new extracts and new versions of
+old ones, in batches: their rows are added to the facts, the index says which
+rows count, and the weeks whose days changed are built anew. Facts carry no week:
+the calendar is joined when a week is built, so a calendar that grows or changes
+dates old facts too.
+
+Everything a batch makes is written aside and published by one small file (see
+:mod:`shelfline.streaming.generations`); a batch that fails leaves the state
+before it, and is run again by the next call.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Sequence
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from shelfline.functions.dates import day_lit
 from shelfline.operators.calendar import DAY_COLUMNS, Days, check_calendar
 from shelfline.operators.inventory import StockPolicy, check_policy, dated_inventory
 from shelfline.operators.sales import dated_sales
 from shelfline.plans.weekly import weekly_table
-from shelfline.schemas import DATE_COLUMNS, FEED_TYPES, WEEKLY_COLUMNS, WEEKLY_SCHEMA
-from shelfline.sources.feeds import scan_feed
+from shelfline.schemas import FEED_TYPES, WEEKLY_COLUMNS, WEEKLY_SCHEMA
+from shelfline.sources import files
+from shelfline.sources.local import small_frame
 from shelfline.sources.sinks import WEEK_PARTITION
+from shelfline.streaming import facts, generations, ledger
+from shelfline.streaming.facts import DIGEST, ENTRY, FACT_FEEDS, FACT_SCHEMA, INDEX_COLUMNS, INDEX_SCHEMA, span_of
+from shelfline.streaming.generations import State
 
-FACT_FEEDS = ("sales", "inventory")
-FACT_PARTITIONS = ["feed", "day", "batch"]
-FACT_SCHEMA = T.StructType(
-    [
-        T.StructField(c, T.DateType() if c in DATE_COLUMNS[feed] else t)
-        for feed in FACT_FEEDS
-        for c, t in FEED_TYPES[feed].items()
-        if feed == "sales" or c not in FEED_TYPES["sales"]
-    ]
-    + [T.StructField(c, T.StringType()) for c in ("stamp", "feed")]
-    + [T.StructField("day", T.DateType()), T.StructField("batch", T.LongType())]
-)
-FILE_NAME = r"/(sales|inventory)_([^/]*)\.csv(?:/[^/]*)?$"
+# Generations of a span that are read side by side before they are merged.
+MERGE_AFTER = 8
+# Largest index to broadcast: a row has a feed, a file name, a date and a number.
+MAX_BROADCAST_ENTRIES = 200_000
 
 
 class WeeklyStore:
-    """Facts by day and the weekly table built from them, below one root folder.
+    """Facts and the weekly table built from them, below one root folder.
 
-    With ``cumulative`` each file holds its feed's whole history, as the daily
-    extracts do: the file with the newest stamp stands for its feed alone.
-    Otherwise every file adds rows.
+    With ``cumulative`` each extract holds its feed's whole history, as the daily
+    extracts do: the one with the newest stamp, and of equal stamps the one changed
+    last, stands for its feed alone. Only days on which it differs from the one
+    before are stored and only their weeks rebuilt. Otherwise every extract adds
+    rows, and a new version of an extract replaces the rows of the old one.
     """
 
     def __init__(
@@ -60,146 +59,239 @@ class WeeklyStore:
         calendar: DataFrame,
         policy: StockPolicy = "last_snapshot",
         cumulative: bool = False,
+        merge_after: int = MERGE_AFTER,
     ):
         check_policy(policy)
         self.spark = spark
         self.root = root.rstrip("/")
         self.policy = policy
         self.cumulative = cumulative
+        self.merge_after = merge_after
         self.calendar = check_calendar(calendar)
 
     def ingest(self, landing: str, max_files_per_batch: int | None = None) -> None:
-        """Take in all files landed since the last call, then stop.
+        """Take in all extracts landed or changed since the last call.
 
         The landing folder holds ``sales_<date>.csv`` and ``inventory_<date>.csv``,
-        each a file or a folder of part files. Columns are found by the header;
-        those this package does not know are left out. If the calendar is not the
+        each a file or a folder of part files; the date may have single digits.
+        With ``cumulative`` an extract without a date has no place in the order:
+        it is not read, and :meth:`rejected` lists it. If the calendar is not the
         one of the last call, all weeks are built anew.
         """
         self._follow_calendar()
-        names = self.spark.readStream.format("binaryFile").schema(
-            "path string, modificationTime timestamp, length bigint, content binary"
-        )
-        if max_files_per_batch is not None:
-            names = names.option("maxFilesPerTrigger", max_files_per_batch)
-        landed = names.load(f"{landing.rstrip('/')}/{{sales,inventory}}_*.csv").select("path")
-        (
-            landed.writeStream.foreachBatch(self._take_in)
-            .option("checkpointLocation", f"{self.root}/progress")
-            .trigger(availableNow=True)
-            .start()
-            .awaitTermination()
-        )
+        landed = ledger.landed_extracts(self.spark, landing.rstrip("/"))
+        # Names only, of what is new.
+        waiting = ledger.not_taken(landed, self.ledger()).orderBy("stamp", "changed", "name").collect()
+        size = max_files_per_batch or len(waiting)
+        for first in range(0, len(waiting), size or 1):
+            self._take_in(waiting[first : first + size], first // size)
 
     def weekly(self, as_of: date) -> DataFrame:
-        """The weekly table up to and including the week of ``as_of``."""
+        """The weekly table up to and including the week of ``as_of``, of the newest state."""
         week = check_calendar(self.calendar.frame, as_of).current_week
-        table = self.spark.read.schema(WEEKLY_SCHEMA).parquet(self._weekly_path)
-        return table.where(F.col(WEEK_PARTITION) <= week).select(WEEKLY_COLUMNS)
-
-    def _take_in(self, batch: DataFrame, batch_id: int) -> None:
-        # File names only; a backfill bounds them by max_files_per_batch.
-        paths = [row["path"] for row in batch.collect()]
+        weeks = generations.newest(self.spark, self.root).weeks
+        paths = [f"{self._built(g)}/{WEEK_PARTITION}={w}" for w, g in weeks.items() if w <= week]
         if not paths:
-            return
-        rows = self._read(paths).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        balanced = rows.hint("rebalance", "feed", "day")
-        self._replace_partitions(balanced, FACT_PARTITIONS, self._facts_path)
+            return self.spark.createDataFrame([], WEEKLY_SCHEMA)
+        table = self.spark.read.schema(WEEKLY_SCHEMA).option("basePath", f"{self.root}/weekly")
+        return table.parquet(*paths).select(WEEKLY_COLUMNS)
+
+    def ledger(self) -> DataFrame:
+        """The newest version of every extract that was looked at, and what became of it.
+
+        ``status`` is ``taken``, ``older`` (than the extract that stands for the feed)
+        or ``undated``.
+        """
+        return self._part("ledger", generations.newest(self.spark, self.root).ledger, ledger.TAKEN_SCHEMA)
+
+    def rejected(self) -> DataFrame:
+        """Extracts whose names hold no date, where the date decides."""
+        return self.ledger().where("status = 'undated'").select("name", "path", "changed", "bytes")
+
+    # Batches
+
+    def _take_in(self, landed: Sequence[Row], batch_id: int) -> None:
+        before = generations.newest(self.spark, self.root)
+        state = before.next(ledger=before.generation + 1)
+        self._clear(state.generation)
+        status = self._standing(landed)
+        taken = [e for e in landed if status[e["name"]] == "taken"]
+        if taken:
+            state = self._store(before, state, taken)
+        rows = [(*e[:-1], status[e["name"]], state.generation) for e in landed]
+        entries = ledger.with_taken(self.ledger(), small_frame(self.spark, rows, ledger.TAKEN_SCHEMA))
+        entries.coalesce(1).write.mode("overwrite").parquet(self._part_path("ledger", state.generation))
+        self._publish(state)
+        self._merge()
+
+    def _standing(self, landed: Sequence[Row]) -> dict[str, str]:
+        """What is to become of each of the extracts."""
+        if not self.cumulative:
+            return {e["name"]: "taken" for e in landed}
+        order = lambda e: (e["stamp"], e["changed"], e["name"])
+        known = self.ledger().where("status = 'taken'").groupBy("feed")
+        last = known.agg(F.max(F.struct("stamp", "changed", "name")).alias("last")).collect()
+        newest = {row["feed"]: tuple(row["last"]) for row in last}
+        dated = [e for e in landed if e["stamp"] is not None]
+        for feed in FACT_FEEDS:
+            there = [newest[feed]] if feed in newest else []
+            newest[feed] = max([order(e) for e in dated if e["feed"] == feed] + there, default=None)
+        return {
+            e["name"]: "undated" if e["stamp"] is None else "taken" if order(e) == newest[e["feed"]] else "older"
+            for e in landed
+        }
+
+    def _store(self, before: State, state: State, taken: Sequence[Row]) -> State:
+        """Add the extracts' rows, index them and build the weeks whose days changed."""
+        rows = facts.read_extracts(self.spark, taken, named=not self.cumulative)
+        index = self._index(before)
         if self.cumulative:
-            self._rebuild_all()
-            return
-        taken_in = self._facts().where(F.col("batch") == batch_id).select("day").distinct()
+            replaced = index.where(F.col("feed").isin([e["feed"] for e in taken]))
+            path = self._part_path("digests", state.generation)
+            facts.digests(rows).write.mode("overwrite").parquet(path)
+            fresh = self.spark.read.parquet(path)
+            changed = facts.changed_days(fresh, replaced)
+            # At most a row for each feed and day.
+            stored = rows.join(F.broadcast(changed.where("there").select("feed", "day")), ["feed", "day"], "left_semi")
+            facts.write_generation(stored, self.root, state.generation)
+            added = fresh.join(changed.where("there"), ENTRY, "left_semi")
+            kept = index.join(changed, ENTRY, "left_anti")
+        else:
+            facts.write_generation(rows, self.root, state.generation)
+            added = facts.entries_of(facts.read_generation(self.spark, self.root, state.generation))
+            replaced = index.where(F.col("extract").isin([e["name"] for e in taken]))
+            changed = added.select(ENTRY).unionAll(replaced.select(ENTRY))
+            kept = index.join(replaced, ENTRY, "left_anti")
+        added = added.select(*ENTRY, F.lit(state.generation).cast("bigint").alias("generation"), *DIGEST)
+        state = replace(state, dropped=self.cumulative or any(e["again"] for e in taken))
+        state = self._write_index(state, kept.select(added.columns).unionAll(added))
         days = self.calendar.days.frame
-        weeks = taken_in.join(days, taken_in["day"] == days["CAL_DT"]).select(WEEK_PARTITION)
+        touched = days.join(changed, changed["day"] == days["CAL_DT"], "left_semi").select(WEEK_PARTITION)
+        own = days.join(touched.distinct(), WEEK_PARTITION, "left_semi")
         # At most one value per calendar week.
-        self._rebuild([row[0] for row in weeks.distinct().collect()])
-
-    def _read(self, paths: list[str]) -> DataFrame:
-        """The rows of the files, each feed's files by their own headers."""
-        named = self.spark.createDataFrame([(p,) for p in paths], "path string").select(
-            "path",
-            F.regexp_extract("path", FILE_NAME, 1).alias("feed"),
-            F.regexp_extract("path", FILE_NAME, 2).alias("stamp"),
-        )
-        files = defaultdict(list)
-        for row in named.collect():
-            files[row["feed"], row["stamp"]].append(row["path"])
-        frames = [self._columns(feed, stamp, own) for (feed, stamp), own in sorted(files.items())]
-        return reduce(DataFrame.unionAll, frames)
-
-    def _columns(self, feed: str, stamp: str, paths: list[str]) -> DataFrame:
-        frame = scan_feed(self.spark, feed, paths)
-        given = {
-            "stamp": F.lit(stamp),
-            "feed": F.lit(feed),
-            "day": F.col(DATE_COLUMNS[feed][0]),
-        }
-        known = {c: F.col(c) for c in FEED_TYPES[feed] if c in frame.columns}
-        fields = [f for f in FACT_SCHEMA.fields if f.name != "batch"]
-        return frame.select(
-            [
-                {**known, **given}.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in fields
-            ]
-        )
+        found = own.agg(F.collect_set(WEEK_PARTITION), F.min("CAL_DT"), F.max("CAL_DT")).first()
+        return self._build(state, *found)
 
-    def _facts(self) -> DataFrame:
-        return self.spark.read.schema(FACT_SCHEMA).parquet(self._facts_path)
-
-    def _rebuild(self, weeks: list[int]) -> None:
-        if weeks:
-            days = self.calendar.days
-            own = days.frame.where(F.col(WEEK_PARTITION).isin(weeks))
-            span = own.agg(F.min("CAL_DT"), F.max("CAL_DT")).first()
-            rebuilt = self._table(Days(own, *span))
-            self._replace_partitions(rebuilt, [WEEK_PARTITION], self._weekly_path)
-
-    def _rebuild_all(self) -> None:
-        # Weeks that have no rows any more go too.
-        table = self._table(self.calendar.days).write.mode("overwrite")
-        table.partitionBy(WEEK_PARTITION).parquet(self._weekly_path)
-
-    def _table(self, days: Days) -> DataFrame:
-        facts = days.within(self._facts(), "day")
-        parts = {}
-        for feed in FACT_FEEDS:
-            own = facts.where(F.col("feed") == feed)
-            if self.cumulative:
-                newest = self._facts().where(F.col("feed") == feed).agg(F.max("stamp")).first()[0]
-                own = own.where(F.col("stamp") == F.lit(newest))
-            parts[feed] = own.select(list(FEED_TYPES[feed]))
+    def _merge(self) -> None:
+        """Write spans that lie in many generations into one, so that their files stay few."""
+        before = generations.newest(self.spark, self.root)
+        if before.generation % self.merge_after:
+            return
+        index = self._index(before).withColumn("span", span_of(F.col("day")))
+        crowded = index.groupBy("feed", "span").agg(F.count_distinct("generation").alias("n"))
+        found = crowded.where(F.col("n") >= self.merge_after).select("feed", "span").collect()
+        if not found:
+            return
+        state = before.next(dropped=True)
+        self._clear(state.generation)
+        # A row per span and feed.
+        places = F.broadcast(small_frame(self.spark, found, "feed string, span int"))
+        low, high = min(r["span"] for r in found), max(r["span"] for r in found)
+        merged = self._live(before, F.col("span").between(low, high)).join(places, ["feed", "span"], "left_semi")
+        facts.write_generation(merged.select(FACT_SCHEMA.fieldNames()), self.root, state.generation)
+        moved = index.join(places.withColumn("to", F.lit(state.generation).cast("bigint")), ["feed", "span"], "left")
+        entries = moved.withColumn("generation", F.coalesce("to", "generation")).drop("span", "to")
+        self._publish(self._write_index(state, entries))
+
+    # Parts of a state
+
+    def _index(self, state: State) -> DataFrame:
+        return self._part("index", state.index, INDEX_SCHEMA)
+
+    def _write_index(self, state: State, entries: DataFrame) -> State:
+        written = Observation()
+        counted = entries.select(INDEX_COLUMNS).observe(written, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(self._part_path("index", state.generation))
+        return replace(state, index=state.generation, entries=written.get["rows"])
+
+    def _live(self, state: State, within) -> DataFrame:
+        """The facts that count, of the days or spans that ``within`` holds for."""
+        all_rows = self.spark.read.schema(FACT_SCHEMA).parquet(f"{self.root}/facts").where(within)
+        entries = self._index(state).withColumn("span", span_of(F.col("day"))).where(within)
+        entries = entries.select(*ENTRY, "generation", "span")
+        if state.entries <= MAX_BROADCAST_ENTRIES:
+            entries = F.broadcast(entries)
+        return all_rows.join(entries, [*ENTRY, "generation", "span"], "left_semi")
+
+    def _build(self, state: State, weeks: Sequence[int], first: date | None, last: date | None) -> State:
+        """Build the weeks of these days from the state's facts; those without rows go."""
+        kept = {w: g for w, g in state.weeks.items() if w not in weeks}
+        if state.entries == 0 or not weeks:
+            return replace(state, weeks=kept)
+        own = self.calendar.days.frame.where(F.col(WEEK_PARTITION).isin(list(weeks)))
+        days = Days(own, first, last)
+        low, high = day_lit(first), day_lit(last)
+        within = F.col("day").between(low, high) & F.col("span").between(span_of(low), span_of(high))
+        live = self._live(state, within)
+        parts = {f: live.where(F.col("feed") == f).select(list(FEED_TYPES[f])) for f in FACT_FEEDS}
         table = weekly_table(
             dated_sales(parts["sales"], days), dated_inventory(parts["inventory"], days), self.policy
         )
-        return table.hint("rebalance", WEEK_PARTITION)
+        writer = table.hint("rebalance", WEEK_PARTITION).write.mode("overwrite")
+        writer.partitionBy(WEEK_PARTITION).parquet(self._built(state.generation))
+        made = [n.split("=")[1] for n in files.children(self.spark, self._built(state.generation))]
+        new = {int(week): state.generation for week in made if week.lstrip("-").isdigit()}
+        return replace(state, weeks={**kept, **new})
 
     def _follow_calendar(self) -> None:
         """Builds all weeks anew if the calendar's days or weeks have changed."""
-        now, path = self.calendar.frame.select(DAY_COLUMNS), f"{self.root}/calendar"
-        try:
-            before = self.spark.read.parquet(path)
-        except AnalysisException:  # the first call
-            now.write.parquet(path)
-            return
-        if before.exceptAll(now).isEmpty() and now.exceptAll(before).isEmpty():
+        days = self.calendar.frame.select(DAY_COLUMNS)
+        row = F.xxhash64(*DAY_COLUMNS).bitwiseAND(F.lit((1 << 40) - 1))
+        found = days.agg(
+            F.count(F.lit(1)), F.sum(row), F.collect_set(WEEK_PARTITION), F.min("CAL_DT"), F.max("CAL_DT")
+        ).first()  # at most one value per calendar week
+        before, digest = generations.newest(self.spark, self.root), f"{found[0]}-{found[1]}"
+        if before.calendar == digest:
             return
-        try:
-            self._facts().limit(1).collect()
-        except AnalysisException:  # no facts yet
-            pass
-        else:
-            self._rebuild_all()
-        now.write.mode("overwrite").parquet(path)
+        state = before.next(calendar=digest)
+        self._clear(state.generation)
+        # Weeks that are not in the calendar any more go too.
+        self._publish(self._build(replace(state, weeks={}), *found[2:]))
+
+    def _publish(self, state: State) -> None:
+        """Make the state the newest, and remove what no kept state names."""
+        gone = generations.publish(self.spark, self.root, state)
+        kept = generations.published(self.spark, self.root)[-2:]
+        for old in gone:
+            if old.index is not None and kept[0].dropped:
+                self._remove_facts(old, kept)
+            for kind in ("index", "ledger"):
+                if getattr(old, kind) not in {getattr(k, kind) for k in kept} | {None}:
+                    files.remove(self.spark, self._part_path(kind, getattr(old, kind)))
+            weeks = {(w, g) for k in kept for w, g in k.weeks.items()}
+            for week, generation in set(old.weeks.items()) - weeks:
+                files.remove(self.spark, f"{self._built(generation)}/{WEEK_PARTITION}={week}")
+            generations.forget(self.spark, self.root, old)
+
+    def _remove_facts(self, old: State, kept: Sequence[State]) -> None:
+        """Remove the spans of facts that the old state names and no kept one."""
+        places = ["generation", "feed", "span"]
+        named = [
+            self._index(state).select("generation", "feed", span_of(F.col("day")).alias("span")).distinct()
+            for state in (old, *kept)
+        ]
+        live = reduce(DataFrame.unionAll, named[1:])
+        dead = named[0].join(live, places, "left_anti").collect()  # a row per folder
+        root = f"{self.root}/facts"
+        for generation, feed, span in dead:
+            files.remove(self.spark, f"{root}/generation={generation}/feed={feed}/span={span}")
+        for generation in {row["generation"] for row in dead}:
+            folder = f"{root}/generation={generation}"
+            if not any(files.children(self.spark, f"{folder}/{f}") for f in files.children(self.spark, folder)):
+                files.remove(self.spark, folder)
+
+    def _clear(self, generation: int) -> None:
+        """Remove what a failed run left under the number."""
+        files.remove(self.spark, facts.generation_path(self.root, generation))
+        files.remove(self.spark, self._built(generation))
 
-    @staticmethod
-    def _replace_partitions(rows: DataFrame, partitions: list[str], path: str) -> None:
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*partitions).parquet(path)
+    def _part(self, kind: str, generation: int | None, schema: str) -> DataFrame:
+        if generation is None:
+            return small_frame(self.spark, [], schema)
+        return self.spark.read.schema(schema).parquet(self._part_path(kind, generation))
 
-    @property
-    def _facts_path(self) -> str:
-        return f"{self.root}/facts"
+    def _part_path(self, kind: str, generation: int) -> str:
+        return f"{self.root}/{kind}/{generation}"
 
-    @property
-    def _weekly_path(self) -> str:
-        return f"{self.root}/weekly"
+    def _built(self, generation: int) -> str:
+        return f"{self.root}/weekly/generation={generation}"

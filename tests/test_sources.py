@@ -205,3 +205,68 @@ def test_work_path_lies_in_the_folder_the_session_names(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_path(spark, "x").startswith(shared)
     assert work_path(spark, "x") != work_path(spark, "x")
+
+
+# Parts by bytes, and the single object
+
+
+def part_files(path):
+    return sorted(Path(path).glob("part-*.csv"))
+
+
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_parts_are_under_the_limit_and_together_the_table(spark, tmp_path, tasks):
+    words = ["", "x", "a,b", 'say "hi"', "é" * 40, "long " * 30]
+    rows = [(n, words[n % 6], None if n % 5 else n / 4) for n in range(3000)]
+    frame = spark.createDataFrame(rows, "n int, t string, d double").repartition(tasks, "n")
+    found = extract.write_parts(frame, f"{tmp_path}/x.csv", 10_000).collect()
+    parts = part_files(f"{tmp_path}/x.csv")
+    assert [p.name[:10] for p in parts] == [f"part-{n:05d}" for n in range(len(parts))]
+    assert all(p.stat().st_size <= 10_000 for p in parts)
+    header = len("n,t,d\n")
+    assert [(r["part"], r["bytes"] + header) for r in sorted(found)] == [(n, p.stat().st_size) for n, p in enumerate(parts)]
+    assert sum(r["rows"] for r in found) == 3000
+    assert len(parts) <= 1.4 * sum(r["bytes"] for r in found) / 10_000 + 1
+    back = spark.read.option("header", True).schema("n int, t string, d double").csv(f"{tmp_path}/x.csv")
+    text = lambda r: (r["n"], r["t"] or "", r["d"])
+    assert sorted(map(text, back.collect())) == sorted((n, t, d) for n, t, d in rows)
+
+
+def test_parts_of_nothing_and_rows_that_do_not_fit(spark, tmp_path):
+    frame = sales(spark, [(1, 1, 1, 1, 1)])
+    extract.write_parts(frame.limit(0), f"{tmp_path}/none.csv", 1000)
+    assert spark.read.option("header", True).csv(f"{tmp_path}/none.csv").count() == 0
+    with pytest.raises(ValueError, match="do not fit"):
+        extract.write_parts(frame, f"{tmp_path}/small.csv", 60)
+    assert not Path(tmp_path, "small.csv").exists()
+
+
+def test_a_skewed_frame_is_still_cut(spark, tmp_path):
+    frame = spark.range(20_000).select("id", F.lit("same").alias("t")).repartition(4, "t")
+    parts = extract.write_parts(frame, f"{tmp_path}/x.csv", 20_000).collect()
+    assert len(parts) > 8
+    assert spark.read.option("header", True).csv(f"{tmp_path}/x.csv").count() == 20_000
+
+
+def test_single_object_over_anything_and_after_a_failure(spark, tmp_path, monkeypatch):
+    frame = sales(spark, [(n % 7, n, 1, 1, 1) for n in range(50)]).repartition(5)
+    path = f"{tmp_path}/sales_2023-01-03.csv"
+    extract.write_csv(frame, path)  # a folder of parts
+    assert extract.write_object(frame, path) == 50
+    assert Path(path).is_file() and len(Path(path).read_text().splitlines()) == 51
+    with monkeypatch.context() as m:
+
+        def lost(*args, **options):
+            raise RuntimeError("lost before the move")
+
+        m.setattr(extract.files, "move", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            extract.write_object(frame.limit(3), path)
+    assert len(Path(path).read_text().splitlines()) == 51
+    with pytest.raises(ValueError, match="do not fit"):
+        extract.write_object(frame, path, max_bytes=100)
+    assert extract.write_object(frame.limit(3), path) == 3
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["sales_2023-01-03.csv"]
+    (row,) = arrival_log(spark, str(tmp_path)).collect()
+    assert row["path"] == "sales_2023-01-03.csv" and row["bytes"] == Path(path).stat().st_size
+    assert feeds.scan_feed(spark, "sales", path).count() == 3
