@@ -309,6 +309,23 @@ ORACLE: dict[str, str] = {
            FROM inventory""",
         _INVENTORY,
     ),
+    "feed_reject_rows": _query(
+        f"""SELECT 'inventory' AS table_name, unnest(columns) AS column_name,
+                   'inventory_{AS_OF}.csv' AS file, row_text
+            FROM (
+              SELECT [c FOR c IN [CASE WHEN WASTE_QTY = 4 THEN 'WASTE_QTY' END,
+                                  CASE WHEN NEXT_DELIVERY_DT IS NULL THEN 'NEXT_DELIVERY_DT' END]
+                      IF c IS NOT NULL] AS columns,
+                     concat(CAL_DT, ',', STORE_KEY, ',', PROD_KEY, ',', INVENTORY_ON_HAND_QTY || '.0',
+                            ',', INVENTORY_ON_ORDER_QTY, ',', OUT_OF_STOCK_FLG, ',',
+                            CASE WASTE_QTY WHEN 4 THEN 'some' WHEN 3 THEN '2.5'
+                                           ELSE CAST(WASTE_QTY AS VARCHAR) END,
+                            ',', PROMOTION_FLG, ',',
+                            coalesce(CAST(NEXT_DELIVERY_DT AS VARCHAR), 'pending')) AS row_text
+              FROM inventory
+            )""",
+        _INVENTORY,
+    ),
     "feed_table_name": _query(
         "SELECT path, split_part(split_part(path, '/', -1), '_', 1) AS table_name FROM arrivals",
         _ARRIVALS,
@@ -329,6 +346,19 @@ ORACLE: dict[str, str] = {
         _ARRIVALS,
         _READY,
     ),
+    "arrival_outcomes": _query(
+        """SELECT run_date, 'missing' AS outcome, table_name, path AS detail
+           FROM expected WHERE path NOT IN (SELECT path FROM arrivals)
+           UNION ALL
+           SELECT run_date, 'ready', NULL,
+                  '{' || string_agg('"' || table_name || '":"' || path || '"', ','
+                                    ORDER BY table_name) || '}'
+           FROM expected JOIN ready USING (run_date)
+           GROUP BY run_date""",
+        _EXPECTED,
+        _ARRIVALS,
+        _READY,
+    ),
     "manifest_paths": _query(
         """SELECT run_date, table_name, 'in/' || path AS path
            FROM expected JOIN ready USING (run_date)""",

@@ -6,9 +6,10 @@ frame whose columns are named as in :mod:`shelfline.catalog.oracle`.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from shelfline.catalog import tables
 from shelfline.catalog.tables import AS_OF, LANDING
-from shelfline.functions.dates import day_lit
+from shelfline.functions.dates import day_lit, feed_day
 from shelfline.functions.paths import feed_table_name
 from shelfline.operators import completeness, inventory, sales
 from shelfline.operators.calendar import (
@@ -33,6 +34,7 @@ from shelfline.sources import extract, feeds, manifest, sinks
 from shelfline.sources.manifest import JobPaths
 from shelfline.sources.together import together
 from shelfline.sources.workspace import work_path
+from shelfline.streaming.arrivals import EVENT_SCHEMA, Watch
 from shelfline.streaming.ingest import WeeklyStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,6 +297,27 @@ def published_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that the whole job sets aside from its own scan of the feeds, with their rows."""
+    root = work_path(spark, "job/")
+    together(
+        [
+            partial(
+                extract.write_csv,
+                tables.as_feed(spark, sf_dir, feed),
+                extract.extract_path(root, feed, AS_OF),
+            )
+            for feed in FEEDS
+        ]
+    )
+    argument = json.dumps({t: f"{t}_{AS_OF:%Y-%m-%d}.csv" for t in FEEDS})
+    paths = JobPaths.from_json(argument, root, root + "analysis/")
+    run_job(spark, paths, AS_OF, load_tmst=LOAD_TMST, rejects=f"{root}rejects")
+    rows = spark.read.parquet(f"{root}rejects")
+    feed_file = F.regexp_extract("file", r"/([a-z]+_[0-9-]+\.csv)/[^/]*$", 1)
+    return rows.withColumn("file", feed_file)
+
+
 # Completeness
 
 
@@ -394,6 +417,18 @@ def ingest_calendar_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.weekly(AS_OF)
 
 
+def arrival_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order a landed file, streamed; runs as they get ready, misses as they are due."""
+    root = work_path(spark, "watch")
+    tables.arrival_events(spark, sf_dir).repartition(8).write.parquet(f"{root}/arrivals")
+    events = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 4)
+    watch = Watch(spark, root, LANDING)
+    days = tables.run_dates(spark, sf_dir).select(feed_day(F.col("run_date")).alias("feed_date"))
+    watch.expect(days, datetime(2023, 1, 1, tzinfo=timezone.utc))
+    watch.follow(events.parquet(f"{root}/arrivals"))
+    return watch.outcomes()
+
+
 QUERIES: dict[str, Query] = {
     **{f"scan_{feed}": _scan(feed) for feed in FEEDS},
     "date_rejects": date_rejects,
@@ -423,8 +458,10 @@ QUERIES: dict[str, Query] = {
     **{f"dim_{table}": _dimension(table) for table in ("calendar", "store", "product")},
     "load_stamps": load_stamps,
     "published_sql": published_sql,
+    "feed_reject_rows": feed_reject_rows,
     "expected_feeds": expected_feeds,
     "missing_feeds": missing_feeds,
+    "arrival_outcomes": arrival_outcomes,
     "missing_snapshots": _on_inventory(completeness.missing_snapshots, as_of=AS_OF),
     "stock_without_sales": _dropped(completeness.stock_without_sales),
     "sales_without_stock": _dropped(completeness.sales_without_stock),

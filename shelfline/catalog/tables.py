@@ -182,6 +182,16 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arrival_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as events; a file arrives on the day of its stamp, at an hour by its order's number."""
+    priority = F.substring("o_orderpriority", 1, 1).cast("int")
+    table, day = F.element_at(F.array(*[F.lit(t) for t in FEEDS]), priority), F.col("o_orderdate").cast("date")
+    hour = F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    return _given(spark, sf_dir, "orders").select(
+        day.alias("feed_date"), table.alias("table_name"), feed_path(table, day, LANDING).alias("path"), (day.cast("timestamp") + hour).alias("arrived")
+    )
+
+
 def run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every date from the first to the last order."""
     day = F.col("o_orderdate").cast("date")

@@ -3,6 +3,7 @@
     shelfline_job.py weekly  '<manifest json>' --input-root R --output-root R
     shelfline_job.py extract --database D --output-root R
     shelfline_job.py check   --landing R
+    shelfline_job.py watch   --landing R --store R
     shelfline_job.py ingest  --landing R --store R --calendar FILE
 
 ``--as-of YYYY-MM-DD`` stands for today in all of them.
@@ -12,27 +13,29 @@ from __future__ import annotations
 
 import argparse
 import sys
-from datetime import date
+from datetime import date, datetime, timezone
 from typing import get_args
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.functions.dates import day_lit
+from shelfline.functions.dates import day_lit, feed_day
 from shelfline.operators.completeness import expected_feeds, missing_feeds, ready_runs
 from shelfline.operators.inventory import StockPolicy
 from shelfline.plans.job import publish_outputs, run_job, tune_session
 from shelfline.schemas import FEEDS
 from shelfline.sources.extract import extract_feeds
-from shelfline.sources.feeds import feed_rejects, read_feed, scan_feed
+from shelfline.sources.feeds import scan_feed
 from shelfline.sources.landing import arrival_log
 from shelfline.sources.manifest import JobPaths
+from shelfline.streaming.arrivals import Watch, landed_events
 from shelfline.streaming.ingest import WeeklyStore
 
 
 def weekly(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = JobPaths.from_json(args.manifest, args.input_root, args.output_root)
     tune_session(spark, list(paths.inputs.values()))
+    rejects = f"{args.output_root}rejected_values"
     run_job(
         spark,
         paths,
@@ -40,11 +43,12 @@ def weekly(spark: SparkSession, args: argparse.Namespace) -> None:
         args.stock_policy,
         infer=args.infer_schema,
         calendar_type=args.calendar_type,
+        rejects=None if args.infer_schema else rejects,
     )
-    for feed in () if args.infer_schema else FEEDS:
-        rejects = feed_rejects(read_feed(spark, feed, paths.inputs[feed]), feed).where("rejects > 0")
-        for row in rejects.collect():  # a row per column
-            print(f"{row['table_name']}.{row['column_name']}: {row['rejects']} values do not fit")
+    if not args.infer_schema:
+        counts = spark.read.parquet(rejects).groupBy("table_name", "column_name").count()
+        for row in counts.orderBy("table_name", "column_name").collect():  # a row per column
+            print(f"{row['table_name']}.{row['column_name']}: {row['count']} values do not fit")
     if args.publish:
         publish_outputs(spark, paths, args.publish)
 
@@ -65,6 +69,15 @@ def check(spark: SparkSession, args: argparse.Namespace) -> None:
         sys.exit(1)
 
 
+def watch(spark: SparkSession, args: argparse.Namespace) -> None:
+    now = datetime.now(timezone.utc)
+    today = spark.range(1).select(feed_day(day_lit(args.as_of)).alias("feed_date"))
+    arrivals = Watch(spark, args.store)
+    arrivals.expect(today, now)
+    arrivals.follow(landed_events(spark, args.landing))
+    arrivals.outcomes().where(F.col("run_date") == day_lit(args.as_of)).show(truncate=False)
+
+
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     tune_session(spark, [args.landing])
     calendar = scan_feed(spark, "calendar", args.calendar)
@@ -106,6 +119,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--landing", required=True)
     sub.set_defaults(run=check)
 
+    sub = commands.add_parser("watch", parents=[common])
+    sub.add_argument("--landing", required=True)
+    sub.add_argument("--store", required=True)
+    sub.set_defaults(run=watch)
+
     sub = commands.add_parser("ingest", parents=[common, policy])
     sub.add_argument("--landing", required=True)
     sub.add_argument("--store", required=True)

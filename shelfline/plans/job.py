@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import date, datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +13,12 @@ from shelfline.operators.calendar import check_calendar
 from shelfline.operators.inventory import StockPolicy
 from shelfline.plans.weekly import weekly_stock
 from shelfline.schemas import FEEDS
-from shelfline.sources.feeds import scan_feed
+from shelfline.sources import files
+from shelfline.sources.feeds import read_feed, reject_rows, scan_feed, typed_with_rejects
 from shelfline.sources.manifest import JobPaths
 from shelfline.sources.sinks import WEEK_PARTITION, publish, stamp, write_table
 from shelfline.sources.together import together
+from shelfline.sources.workspace import work_path
 
 # Input bytes per shuffle partition, and the most shuffle partitions and scan tasks.
 # Every scan task writes a block for every shuffle partition: at 100 TB these bounds
@@ -31,6 +33,19 @@ MAX_SCAN_TASKS = 50_000
 HASH_JOIN_SETTING = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 HASH_JOIN_BYTES = "128m"
 
+SALES_NEEDED = [
+    "TRANS_DT",
+    "STORE_KEY",
+    "PROD_KEY",
+    "SALES_QTY",
+    "SALES_AMT",
+    "SALES_COST",
+    "SHIP_COST",
+]
+
+# Files of the rejects, at most.
+REJECT_FILES = 64
+
 INVENTORY_NEEDED = [
     "CAL_DT",
     "STORE_KEY",
@@ -49,11 +64,19 @@ def run_job(
     load_tmst: datetime | None = None,
     infer: bool = False,
     calendar_type: str | None = None,
+    rejects: str | None = None,
 ) -> None:
     """Scan the feeds and write the weekly table and the stamped dimensions.
 
-    The calendar and ``as_of`` are checked before anything is written.
+    The calendar and ``as_of`` are checked before any output is written. With
+    ``rejects`` every feed is parsed once, into a table of typed rows, and the values
+    that do not fit are written to that path, with their file and row.
     """
+    if rejects is not None:
+        if infer:
+            raise ValueError("types that are inferred reject nothing")
+        _run_staged(spark, paths, as_of, policy, load_tmst, calendar_type, rejects)
+        return
     feeds = {t: scan_feed(spark, t, paths.inputs[t], infer) for t in FEEDS}
     checked = check_calendar(feeds["calendar"], as_of, calendar_type)
     needed = checked.days_to_now.within(feeds["inventory"].select(INVENTORY_NEEDED), "CAL_DT")
@@ -70,6 +93,42 @@ def run_job(
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _run_staged(
+    spark: SparkSession,
+    paths: JobPaths,
+    as_of: date,
+    policy: StockPolicy,
+    load_tmst: datetime | None,
+    calendar_type: str | None,
+    rejects: str,
+) -> None:
+    work = work_path(spark, "feeds")
+    try:
+        staged = stage_feeds(spark, paths, work)
+        feeds = {t: frame.drop("_reject") for t, frame in staged.items()}
+        checked = check_calendar(feeds["calendar"], as_of, calendar_type)
+        weekly = weekly_stock(
+            feeds["sales"], feeds["inventory"], feeds["calendar"], as_of, policy, checked
+        )
+        bad = reduce(DataFrame.unionAll, [reject_rows(t, frame) for t, frame in staged.items()])
+        bad.coalesce(REJECT_FILES).write.mode("overwrite").parquet(rejects)
+        _write_outputs(paths, weekly, feeds, load_tmst)
+    finally:
+        files.remove(spark, work)
+
+
+def stage_feeds(spark: SparkSession, paths: JobPaths, work: str) -> dict[str, DataFrame]:
+    """The five feeds parsed once each, with their rejects, as tables below ``work``."""
+    needed = {"sales": SALES_NEEDED, "inventory": INVENTORY_NEEDED}
+
+    def stage(feed: str) -> DataFrame:
+        rows = typed_with_rejects(read_feed(spark, feed, paths.inputs[feed]), feed, needed.get(feed))
+        rows.write.parquet(f"{work}/{feed}")
+        return spark.read.schema(rows.schema).parquet(f"{work}/{feed}")
+
+    return dict(zip(FEEDS, together([partial(stage, t) for t in FEEDS]), strict=True))
+
+
 def _write_outputs(
     paths: JobPaths, weekly: DataFrame, feeds: dict[str, DataFrame], load_tmst: datetime | None
 ) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,18 +38,30 @@ def read_feed(
 def converted(column: str, kind: T.DataType) -> Column:
     """Text as a value of the type; NULL where it is none, or would lose digits.
 
-    A whole number may be written with decimals (``3.00``).
+    A whole number may be written with decimals (``3.00``). Most values are cast
+    straight to the type; how many digits others have is read from the text.
     """
     value = F.col(column)
     if isinstance(kind, (T.IntegerType, T.LongType)):
-        number = value.try_cast("decimal(38,6)")
-        return F.when(number == F.floor(number), number.try_cast(kind))
+        # A cast to a whole number takes no decimals at all.
+        return F.coalesce(value.try_cast(kind), _exactly(value, 0).try_cast(kind))
     if isinstance(kind, T.DecimalType):
-        wide = value.try_cast(f"decimal(38,{kind.scale + 6})")
-        return F.when(wide == wide.try_cast(kind), wide.try_cast(kind))
+        point = F.instr(value, F.lit("."))
+        short = (point == 0) | (F.length(value) - point <= kind.scale)
+        plain = short & ~F.contains(value, F.lit("e")) & ~F.contains(value, F.lit("E"))
+        return F.when(plain, value.try_cast(kind)).otherwise(_exactly(value, kind.scale).try_cast(kind))
     return value.try_cast(kind)
 
 
+def _exactly(value: Column, scale: int) -> Column:
+    """Text of a number as a decimal with ``scale`` places, NULL if it has more."""
+    zeros = rf"^\s*[+-]?(\d+(\.\d{{0,{scale}}}0*)?|\.\d{{0,{scale}}}0*)\s*$"
+    number = value.try_cast(f"decimal(38,{scale})")
+    # With an exponent; the double tells digits that are too small for the decimal.
+    exponent = value.rlike("[eE]") & (number.cast("double") == value.try_cast("double"))
+    return F.when(value.rlike(zeros) | exponent, number)
+
+
 def _conversions(
     frame: DataFrame, feed: str, types: Mapping[str, T.DataType] | None
 ) -> dict[str, Column]:
@@ -90,6 +102,35 @@ def scan_feed(
     return fix_dates(raw, feed) if infer else typed(raw, feed, types)
 
 
+REJECT_SCHEMA = "file string, row_text string, columns array<string>"
+
+
+def typed_with_rejects(raw: DataFrame, feed: str, needed: Sequence[str] | None = None) -> DataFrame:
+    """The feed converted, with ``_reject``: NULL, or what does not fit and where it stands.
+
+    A reject has the file, the row as CSV and the names of the columns whose value is
+    there but does not fit. ``needed`` names the columns to keep; all count.
+    """
+    values, names = _conversions(raw, feed, None), raw.columns
+    whole = F.struct(*[F.col(c) for c in names]).alias("_text")
+    converted = raw.select(
+        *[values.get(c, F.col(c)).alias(c) for c in names], whole, F.col("_metadata.file_path").alias("_file")
+    )
+    lost = [F.when(F.col(f"_text.`{c}`").isNotNull() & F.col(f"`{c}`").isNull(), F.lit(c)) for c in values]
+    columns = F.filter(F.array(*lost, F.lit(None).cast("string")), lambda c: c.isNotNull())
+    reject = F.struct(F.col("_file").alias("file"), F.to_csv("_text").alias("row_text"), columns.alias("columns"))
+    kept = [F.col(f"`{c}`") for c in (needed or names)]
+    return converted.select(*kept, F.when(F.size(columns) > 0, reject).alias("_reject"))
+
+
+def reject_rows(feed: str, staged: DataFrame) -> DataFrame:
+    """One row for each value that does not fit, with its file and row."""
+    bad = staged.where(F.col("_reject").isNotNull()).select("_reject.*")
+    return bad.select(
+        F.lit(feed).alias("table_name"), F.explode("columns").alias("column_name"), "file", "row_text"
+    )
+
+
 def feed_rejects(raw: DataFrame, feed: str) -> DataFrame:
     """How many values of each typed column are there but do not fit its type."""
     return _rejects(raw, feed, _conversions(raw, feed, None))

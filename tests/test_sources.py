@@ -270,3 +270,40 @@ def test_single_object_over_anything_and_after_a_failure(spark, tmp_path, monkey
     (row,) = arrival_log(spark, str(tmp_path)).collect()
     assert row["path"] == "sales_2023-01-03.csv" and row["bytes"] == Path(path).stat().st_size
     assert feeds.scan_feed(spark, "sales", path).count() == 3
+
+
+@pytest.mark.parametrize(
+    "text,whole,money",
+    [
+        ("3", 3, "3"), ("3.00", 3, "3"), (" 3. ", 3, "3"), ("+3", 3, "3"), ("-0.50", None, "-0.5"), (".5", None, "0.5"),
+        ("3.0000001", None, None), ("1.0000000000001", None, None), ("2.500000000000000", None, "2.5"),
+        ("123456789.1234560", None, "123456789.123456"), ("1e3", 1000, "1000"), ("1.5E-3", None, "0.0015"), ("1e-9", None, None),
+        ("", None, None), ("x", None, None), ("1,5", None, None), ("99999999999", None, "99999999999"), ("1e40", None, None),
+        ("999999999999999999.999999", None, "999999999999999999.999999"), ("9999999999999999999", None, None), (".", None, None),
+    ],
+)
+def test_no_digit_is_lost(spark, text, whole, money):
+    from decimal import Decimal
+
+    from shelfline.schemas import MONEY
+    from pyspark.sql import types as T
+
+    frame = spark.createDataFrame([(text,)], "v string")
+    row = frame.select(feeds.converted("v", T.IntegerType()).alias("i"), feeds.converted("v", MONEY).alias("m")).first()
+    assert row["i"] == whole
+    assert row["m"] == (None if money is None else Decimal(money))
+
+
+def test_rejects_have_their_file_and_row(spark, tmp_path):
+    file = tmp_path / "sales_2023-01-03.csv"
+    file.write_text(
+        'TRANS_DT,NOTE,STORE_KEY,PROD_KEY,SALES_QTY\n2023-01-05,"a,b",1,x,2\n2023-01-05,c,1,2,3\nsoon,,1,2,3.1234567\n,,,,\n'
+    )
+    rows = feeds.typed_with_rejects(feeds.read_feed(spark, "sales", str(file)), "sales", ["STORE_KEY", "SALES_QTY"])
+    assert rows.columns == ["STORE_KEY", "SALES_QTY", "_reject"] and rows.count() == 4
+    got = {(r["column_name"], r["row_text"], r["file"].rsplit("/", 1)[-1]) for r in feeds.reject_rows("sales", rows).collect()}
+    assert got == {
+        ("PROD_KEY", '2023-01-05,"a,b",1,x,2', file.name),
+        ("TRANS_DT", "soon,,1,2,3.1234567", file.name),
+        ("SALES_QTY", "soon,,1,2,3.1234567", file.name),
+    }
