@@ -6,7 +6,9 @@ their winner (its doc_id and its length) and group size. A lookup computes the s
 all 32 bytes, so digests that were never stored are told apart and grouped on their own.
 
 A null text counts as empty. A null doc_id loses every tie. Rows that are equal in doc_id and text
-are copies like any others: one of them stays. An empty table has an empty result.
+are copies like any others: one of them stays. Very long texts only enter digests. A text or row
+that is a third of all is combined before it is shuffled. Only doc_id and text are read, and
+`keep_one` returns the other columns whatever they are called. An empty table has an empty result.
 """
 
 from __future__ import annotations
@@ -14,10 +16,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.llm.store import keeps_columns, pieces, stored
+from shelfline.llm.store import keeps_columns, one_of_each, pieces, stored
 from shelfline.llm.texts import mixed
 
 #: Digests in one bucket, about.
@@ -148,20 +149,22 @@ def resolve(groups: DataFrame, store: DataFrame, buckets: int) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, history: DataFrame | None = None, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows, groups): doc_id, digest, chars, copies of all documents, and one row for each digest.
+    """(rows, groups): doc_id, digest, chars and place of every document, and one row for each digest.
 
     history: earlier documents, whose digests fill the store; without it, the store is filled from
-    the half of the documents whose hashed ids are even, and the other half is looked up.
+    the half of the documents whose hashed ids are even, and the other half is looked up. A place is
+    a number of the row's own.
     """
+    rows = stored(with_digest(docs).withColumn("place", F.monotonically_increasing_id()))
     if history is None:
-        rows = with_digest(docs).withColumn("early", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+        every = rows.withColumn("early", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
     else:
-        rows = with_digest(history).withColumn("early", F.lit(True)).unionAll(with_digest(docs).withColumn("early", F.lit(False)))
-    rows = stored(rows.groupBy("doc_id", "digest", "chars", "early").agg(F.count("*").alias("copies")))
-    buckets = pieces(rows.count(), bucket_rows)
-    store = stored(build_store(grouped(rows.where("early")), buckets))
-    groups = resolve(grouped(rows.where("not early")), store, buckets)
-    return (rows if history is None else rows.where("not early")), groups
+        before = with_digest(history).withColumn("early", F.lit(True))
+        every = before.unionAll(rows.drop("place").withColumn("early", F.lit(False)))
+    distinct = stored(every.groupBy("doc_id", "digest", "chars", "early").agg(F.count("*").alias("copies")))
+    buckets = pieces(distinct.count(), bucket_rows)
+    store = stored(build_store(grouped(distinct.where("early")), buckets))
+    return rows, stored(resolve(grouped(distinct.where("not early")), store, buckets))
 
 
 def exact_dedup(docs: DataFrame, history: DataFrame | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -171,20 +174,23 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None, bucket_rows:
     and text counts as itself.
     """
     rows, groups = exact_groups(docs, history, bucket_rows)
-    best = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
-    joined = rows.join(groups.select("digest", "keep_id", "keep_chars", F.col("n").alias("group_size")), "digest")
-    one = joined.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
-    return one.select(
-        "doc_id", "keep_id", "group_size", (best & (F.col("copy") == 1)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
+    # The first place of the rows that are the winner; a hot row is one row before the shuffle.
+    named = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("unnamed"), "chars"]
+    first = rows.select("digest", *named, "place").groupBy("digest", "id", "unnamed", "chars").agg(F.min("place").alias("first"))
+    winner_of = [F.coalesce("keep_id", F.lit(0)).alias("id"), F.col("keep_id").isNull().alias("unnamed"), F.col("keep_chars").alias("chars")]
+    keys = ["digest", "id", "unnamed", "chars"]
+    keepers = groups.select("digest", *winner_of, "keep_id", F.col("n").alias("group_size")).join(first, keys, "left")
+    keepers = stored(keepers.select("digest", "keep_id", "group_size", "first"))  # a plain table, so that a hot digest can be split
+    return rows.join(keepers, "digest").select(
+        "doc_id", "keep_id", "group_size", F.coalesce(F.col("place") == F.col("first"), F.lit(False)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 
 @keeps_columns
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    chars = F.length(F.coalesce("text", F.lit("")))
-    key = F.concat_ws(":", text_digest(), F.col("doc_id").cast("string"))
-    stays = exact_dedup(docs).where("kept").select(F.concat_ws(":", "text_sha256", F.col("doc_id").cast("string")).alias("_key"))
-    found = docs.withColumn("_key", key).join(stays, "_key")
-    copy = F.row_number().over(W.partitionBy("_key").orderBy(chars.desc()))
-    return found.withColumn("_copy", copy).where("_copy = 1").select(*docs.columns)
+    """The documents that stay, with all their columns; of rows that share text and id, the longest."""
+    _, groups = exact_groups(docs)
+    key = lambda digest, doc_id: F.concat_ws(":", digest, doc_id.cast("string"))
+    stays = groups.select(key(F.lower(F.hex("digest")), F.col("keep_id")).alias("_key"))
+    longest = F.length(F.coalesce("text", F.lit("")))
+    return one_of_each(docs.withColumn("_key", key(text_digest(), F.col("doc_id"))), longest).join(stays, "_key", "left_semi").select(docs.columns)

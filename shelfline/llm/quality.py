@@ -1,12 +1,15 @@
 """Quality by logistic regression on hashed word n-grams, trained with FTRL-proximal updates.
 
 Words are runs of letters and digits, or of other marks; the features of a text are the presence
-of its words and pairs of neighbouring words; a word twice in a row is one feature, whatever the word. Training follows the regularised leader: each
+of its words and pairs of neighbouring words. All pairs of a word and itself share one feature: a
+pair's hash tells words apart only where they differ. Training follows the regularised leader: each
 coordinate has a step size of its own, and weights stay zero until the evidence passes the L1
 penalty, so the model is sparse and a score is a sparse dot product.
 
 Null counts as empty; an empty text is scored by the bias alone. Rows that share a doc_id are
-scored each by its text. An empty table has an empty result. See `linear` for missing labels.
+scored each by its text. Very long texts are scored whole, one at a time; ties cannot occur, as
+equal texts have equal scores. Only doc_id and text are read, so that no name clashes. An empty
+table has an empty result. See `linear` for missing labels.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,16 @@ def keeps_columns(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame
     return run
 
 
+def one_of_each(keyed: DataFrame, rank: Column) -> DataFrame:
+    """Of the rows with one `_key`, the one with the greatest rank (of equal ones the greatest hash of the text).
+
+    Rows are combined before the shuffle, so a row that is there very often moves once from each task.
+    """
+    whole = F.struct(*[F.col(c) for c in keyed.columns if c != "_key"])
+    best = F.max_by(whole, F.struct(rank, F.xxhash64("text"))).alias("_best")
+    return keyed.groupBy("_key").agg(best).select("_key", "_best.*")
+
+
 def pieces(rows: int, each: int) -> int:
     """How many parts of about `each` rows there are; 1 at least."""
     return max(1, -(-rows // each))

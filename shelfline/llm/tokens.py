@@ -4,8 +4,12 @@ A text is known by the digest of its normalised content and the version of the t
 digest of its file). Counts lie in a Parquet table; a run looks every distinct text up there,
 encodes the misses once each, appends them, and joins the counts to all documents.
 
-Null counts as empty; an empty text has no tokens. Equal rows keep a row each. An empty table has
-an empty result.
+A worker remembers the tokens of units (a word and the white space before it) up to a bound in
+bytes; long units are encoded each time they come.
+
+Null counts as empty; an empty text has no tokens. Equal rows keep a row each; there are no ties.
+Very long texts are counted whole, one at a time. Other columns than doc_id and text are left out,
+so that no name clashes. An empty table has an empty result.
 """
 
 from __future__ import annotations
@@ -24,10 +28,12 @@ from pyspark.sql import functions as F
 from shelfline.llm.store import shared_folder, stored
 from shelfline.llm.texts import plain, slices
 
-#: Units whose tokens a worker remembers before it starts over.
-MEMORY = 1_200_000
-#: The same where Spark sorts whole texts beside.
-COUNT_MEMORY = 500_000
+#: Bytes of units and tokens that a worker remembers, about.
+MEMORY = 160 << 20
+#: Longest unit that is remembered, in characters; longer ones (of texts without white space) hardly recur.
+LONGEST = 64
+#: Bytes that a remembered unit takes beside its characters and tokens: two objects and a place in a table.
+ENTRY_BYTES = 200
 CACHE = "version string, digest binary, n_tokens long"
 #: Marks that are learned apart from the word they follow.
 MARKS = frozenset(".,")
@@ -42,24 +48,50 @@ class Units:
     every text where white space begins, so a text's ids are its units' ids in a row.
     """
 
-    def __init__(self, content: str, memory: int):
+    def __init__(self, content: str, memory: int = MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
-        self.memory = memory
-        self.ids: dict[str, bytes] = {}
-        self.again: set[str] = set()
-
-    def learn(self, units: list[str]) -> None:
-        """Encodes the units; a full stop or comma after a letter is always a token of its own."""
+        self.memory, self.used = memory, 0
+        # Units of late, and those before; what is met again of these is of late again.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks = self.encoded(list(MARKS))
+
+    def encoded(self, units: list[str]) -> dict[str, bytes]:
+        got = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
+        return dict(zip(units, (array("I", x.ids).tobytes() for x in got)))
+
+    def learned(self, units: list[str]) -> dict[str, bytes]:
+        """The ids of new units; a full stop or comma after a letter is always a token of its own."""
         stems = [u[:-1] if u[-1:] in MARKS and u[-2:-1] in LETTERS else u for u in units]
-        new = list({*stems, *MARKS}.difference(self.ids))
-        got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.ids.update(zip(new, (array("I", x.ids).tobytes() for x in got)))
+        out = self.encoded([u for u in set(stems) if u not in self.young and u not in self.old])
         for unit, stem in zip(units, stems):
-            if unit not in self.ids:
-                self.ids[unit] = self.ids[stem] + self.ids[unit[-1]]
+            if unit is not stem:
+                known = out if stem in out else self.young if stem in self.young else self.old
+                out[unit] = known[stem] + self.marks[unit[-1]]
+        return out
+
+    def look_up(self, units: list[str]) -> list[bytes]:
+        """The ids of distinct units, which are remembered if they are not long."""
+        out = list(map(self.young.get, units))
+        absent = [i for i, x in enumerate(out) if x is None]
+        again = {units[i]: self.old[units[i]] for i in absent if units[i] in self.old}
+        found = again | self.learned([units[i] for i in absent if units[i] not in again])
+        for i in absent:
+            out[i] = found[units[i]]
+        self.remember({u: x for u, x in found.items() if len(u) <= LONGEST})
+        return out
+
+    def remember(self, found: dict[str, bytes]) -> None:
+        """Adds the units; each of the two tables has at most half of the memory."""
+        size = weight(found)
+        if self.used + size > self.memory // 2:
+            self.old, self.young, self.used = self.young, {}, 0
+        if size <= self.memory // 2:
+            self.young.update(found)
+            self.used += size
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null is empty."""
@@ -70,23 +102,17 @@ class Units:
         cut = pa.py_buffer(np.r_[starts, offsets[-1]])
         coded = pa.Array.from_buffers(pa.large_string(), len(starts), [None, cut, data]).dictionary_encode()
         names = coded.dictionary.to_pylist()
-        self.remember(set(names))
-        ids = pa.array([self.ids[x] for x in names], pa.large_binary()).take(coded.indices)
+        ids = pa.array(self.look_up(names), pa.large_binary()).take(coded.indices)
         ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
         every = ids.buffers()[2].to_pybytes() if ends[-1] else b""
         at = ends[np.searchsorted(starts, offsets)].tolist()
         for a, b in zip(at, at[1:]):
             yield every[a:b]
 
-    def remember(self, every: set[str]) -> None:
-        """Learns what is new; when there is too much, only units that were met again stay."""
-        new = every.difference(self.ids)
-        self.again |= every - new
-        if len(self.ids) + 2 * len(new) > self.memory:
-            keep = (self.again if len(self.again) < self.memory // 2 else set()) | (every - new)
-            self.ids, self.again = {u: self.ids[u] for u in keep if u in self.ids}, set()
-            new = every.difference(self.ids)
-        self.learn(list(new))
+
+def weight(ids: dict[str, bytes]) -> int:
+    """About how many bytes the units take in a worker's memory."""
+    return len(ids) * ENTRY_BYTES + 2 * sum(map(len, ids)) + sum(map(len, ids.values()))
 
 
 def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -106,12 +132,12 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 _UNITS: dict[str, Units] = {}
 
 
-def units_of(content: str, memory: int = MEMORY) -> Units:
+def units_of(content: str) -> Units:
     """The worker's memory of this tokenizer, kept between tasks."""
     key = hashlib.sha256(content.encode()).hexdigest()
     if key not in _UNITS:
         _UNITS.clear()
-        _UNITS[key] = Units(content, memory)
+        _UNITS[key] = Units(content)
     return _UNITS[key]
 
 
@@ -123,7 +149,7 @@ def normalised(collapse: bool) -> Column:
 
 def encode_misses(misses: DataFrame, content: str, version: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = units_of(content, COUNT_MEMORY)
+        units = units_of(content)
         for batch in (x for whole in batches for x in slices(whole)):
             counts = [len(x) // 4 for x in units.encode(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(

@@ -4,8 +4,13 @@ Features are the presence of n consecutive bytes of the text, with A-Z lower-cas
 as one space each. Each feature is scaled by the logarithm of how much more often toxic texts have
 it than others, and logistic regression finds the weights of the scaled features.
 
+Every feature of the sample is used; the penalty keeps the weights of weak ones small.
+
 Null counts as empty; an empty text is scored by the bias alone. Rows that share a doc_id are
-scored each by its text. An empty table has an empty result. See `linear` for missing labels.
+scored each by its text. Very long texts are scored whole, one at a time; ties cannot occur, as
+equal texts have equal scores. Scores need doc_id and text only, and `clean` returns the other
+columns whatever they are called. An empty table has an empty result. See `linear` for missing
+labels.
 """
 
 from __future__ import annotations
@@ -25,8 +30,8 @@ GRAM = 5
 SMOOTHING = 0.5
 #: Texts that score so high are predicted to be toxic.
 LEAST_SCORE = 0.5
-#: Texts of the sample that a feature must be in, and the least |log-count ratio| that is used.
-LEAST_TEXTS, LEAST_RATIO = 3, 2.0
+#: Features of the sample that are held beside their weights at once.
+BLOCK = 1 << 20
 #: White space becomes a plain space.
 FOLD = bytes(32 if b in b" \t\n\x0b\x0c\r" else b for b in LOWER)
 
@@ -52,33 +57,43 @@ def byte_grams(texts: pa.Array, n: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     return at[whole].astype(np.int64), owner[whole]
 
 
-def ratios(y: np.ndarray, weight: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """By feature: the naive Bayes log-count ratio, and how many texts have it."""
-    count = lambda mask: np.bincount(np.concatenate([r for r, m in zip(rows, mask) if m]), minlength=1 << BITS).astype(float)
-    p, q = count(y == 1), count(y == 0)
-    ratio = np.log((p + SMOOTHING) / ((y == 1).sum() + 2 * SMOOTHING)) - np.log((q + SMOOTHING) / ((y == 0).sum() + 2 * SMOOTHING))
-    return ratio, p + q
-
-
-def fit(y: np.ndarray, weight: np.ndarray, rows: list[np.ndarray], steps: int = 150, penalty: float = 1e-4) -> Linear:
-    """Logistic regression on the scaled features, by gradient steps of their own size."""
-    ratio, texts = ratios(y, weight, rows)
-    use = (texts >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
-    names = np.flatnonzero(use)
-    place = np.full(1 << BITS, -1)
-    place[names] = np.arange(len(names))
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    at = place[np.concatenate(rows)]
-    owner, at = owner[at >= 0], at[at >= 0]
-    value = ratio[names][at]
-    w, bias, seen, seen_bias = np.zeros(len(names)), 0.0, np.full(len(names), 1e-8), 1e-8
+def ratios(y: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """By feature: the naive Bayes log-count ratio; 0 for those in no row."""
+    count = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
+    for label, row in zip(y, rows):
+        count[int(label)][row] += 1
+    with_it = lambda label: (count[label] + SMOOTHING) / ((y == label).sum() + 2 * SMOOTHING)
+    return np.where(count[0] + count[1] > 0, np.log(with_it(1)) - np.log(with_it(0)), 0.0)
+
+
+def blocks(rows: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Neighbouring rows with about BLOCK features together, as (first, end)."""
+    ends = np.cumsum([len(r) for r in rows])
+    cuts = np.unique(np.searchsorted(ends, np.arange(0, int(ends[-1]) + BLOCK, BLOCK)))
+    cuts = np.unique(np.r_[0, cuts, len(rows)])
+    return [(int(a), int(b)) for a, b in zip(cuts, cuts[1:])]
+
+
+def fit(y: np.ndarray, weight: np.ndarray, rows: list[np.ndarray], steps: int = 60, penalty: float = 1e-4, rate: float = 0.1) -> Linear:
+    """Logistic regression on all features seen, scaled, by gradient steps of their own size."""
+    ratio = ratios(y, rows)
+    w, bias, seen, seen_bias = np.zeros(1 << BITS), 0.0, np.full(1 << BITS, 1e-8), 1e-8
+    sizes = np.array([len(r) for r in rows])
+    every, ends = np.concatenate(rows).astype(np.int32), np.r_[0, np.cumsum(sizes)]
+    owners = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    parts = blocks(rows)
     for _ in range(steps):
-        margin = bias + np.bincount(owner, w[at] * value, len(y))
-        error = weight * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y) / len(y)
-        slope = np.bincount(at, error[owner] * value, len(names)) + penalty * w / max(1, len(names))
-        seen, seen_bias = seen + slope**2, seen_bias + error.sum() ** 2
-        w, bias = w - 0.1 * slope / np.sqrt(seen), bias - 0.1 * error.sum() / np.sqrt(seen_bias)
-    return Linear(bias, names, w * ratio[names])
+        scaled, slope, slope_bias = w * ratio, penalty * w, 0.0
+        for a, b in parts:
+            at, owner = every[ends[a] : ends[b]], owners[ends[a] : ends[b]] - a
+            margin = bias + np.bincount(owner, scaled[at], b - a)
+            error = weight[a:b] * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y[a:b]) / len(y)
+            slope += np.bincount(at, error[owner], 1 << BITS) * ratio
+            slope_bias += error.sum()
+        seen, seen_bias = seen + slope**2, seen_bias + slope_bias**2
+        w, bias = w - rate * slope / np.sqrt(seen), bias - rate * slope_bias / np.sqrt(seen_bias)
+    names = np.flatnonzero(w * ratio)
+    return Linear(bias, names, (w * ratio)[names])
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Linear:

@@ -295,7 +295,7 @@ def test_whole_texts_stay_with_their_spans(docs):
 
 
 def test_queries_have_the_contract_columns():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_pipeline(spark, docs):
