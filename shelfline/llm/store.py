@@ -2,18 +2,41 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
 from functools import wraps
 from uuid import uuid4
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Folders of this driver's applications, removed when it ends.
+_OWN: set[str] = set()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset, below the warehouse."""
+    """A new folder below spark.checkpoint.dir; where that is unset, below the warehouse.
+
+    All folders of an application lie in one, which is removed when its driver ends: until then a
+    result may be read from them at any time.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/llm-{uuid4().hex}"
+    own = f"{base.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
+    if own not in _OWN:
+        _OWN.add(own)
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        atexit.register(remove, path, spark._jsc.hadoopConfiguration())
+    return f"{own}/{uuid4().hex}"
+
+
+def remove(path, conf) -> None:
+    """Delete a folder; nothing is left to do where the JVM has gone already."""
+    try:
+        path.getFileSystem(conf).delete(path, True)
+    except (Py4JError, OSError):
+        pass
 
 
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
