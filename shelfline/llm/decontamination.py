@@ -7,10 +7,16 @@ only documents with that shingle are candidates. The shingle's position in the w
 the window would lie in the document (positional bound), which must have room for it (length
 bound); what is left is verified word by word over a stretch of the window's size.
 
-The items come to the tasks in blocks of bounded size, and all documents meet every block.
+Items become distinct windows, and windows their shingles and rarest shingle, in Spark. Windows come
+to the tasks in blocks that are bounded in rows and bytes, and all documents meet every block; the
+driver holds one block's hashes, then its windows, as Arrow tables. So repeated items count once and
+a long item is spread over the blocks. (Only a single window, or the ids of the items that share
+one, may be larger than a block: they are one value of the result.)
 
 Null texts have no words; such documents have no hits and such items no windows. Items with the
-same window are all reported. Equal rows keep a row each. Either table may be empty.
+same window are all reported, so there are no ties. Equal rows keep a row each. Very long documents
+are searched whole, one at a time. `clean` returns other columns whatever they are called;
+`contained_items` replaces those that are called like a new one. Either table may be empty.
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,38 +36,56 @@ from shelfline.llm.texts import LOWER_ALNUM, rolling, slices, split_words, windo
 
 #: Words of a window, and of a shingle.
 WINDOW, SHINGLE = 10, 5
-#: Bytes of item text that are sent to the tasks at once.
-BLOCK_BYTES = 8 << 20
+#: Windows, and bytes of them and their items' ids, that are sent to the tasks at once.
+BLOCK_ROWS, BLOCK_BYTES = 500_000, 48 << 20
+#: Windows of an item that are made at once.
+CHUNK = 50_000
 FOUND = "n_words long, spans array<struct<start: long, length: long>>, items array<string>"
 
 
-class Block:
-    """The windows of some items, and their shingles."""
+def item_windows(items: DataFrame, window: int) -> DataFrame:
+    """(window, item_id): the windows of all items, as words joined by a space."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int, shingle: int):
-        self.window, self.shingle = window, shingle
-        self.items: dict[tuple[str, ...], list[str]] = defaultdict(list)
-        ends, words = split_words(pa.array([text for _, text in items], pa.string()), LOWER_ALNUM)
-        words = words.to_pylist()
-        for (item, _), a, b in zip(items, ends, ends[1:]):
-            own = words[a:b]
-            for w in dict.fromkeys(tuple(own[i : i + window]) for i in range(max(1, len(own) - window + 1)) if own):
-                self.items[w].append(item)
-        self.shingles = {w: shingles_of(w, shingle) for w in self.items}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in (x for whole in batches for x in slices(whole, target=1 << 20)):
+            ends, words = split_words(rows.column("text"), LOWER_ALNUM)
+            sizes = np.diff(ends)
+            starts = np.flatnonzero(windows(ends, window)) if len(words) >= window else np.zeros(0, np.int64)
+            short = (sizes > 0) & (sizes < window)
+            parts = [(starts[a : a + CHUNK], window) for a in range(0, len(starts), CHUNK)]
+            parts += [(ends[:-1][short & (sizes == n)], n) for n in range(1, window)]
+            for at, n in parts:
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * n, pa.int32()), words.take(pa.array((at[:, None] + np.arange(n)).reshape(-1))))
+                owner = pa.array(np.searchsorted(ends, at, side="right") - 1)
+                text = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([text, rows.column("item_id").take(owner)], names=["window", "item_id"])
+
+    return items.mapInArrow(run, "window string, item_id string").distinct()
+
+
+def window_shingles(known: DataFrame, shingle: int) -> DataFrame:
+    """(window, size, hash, position) of the shingles of each window; fewer words are one shingle."""
 
-    def by_size(self, keys: list[tuple[int, int]]) -> dict[int, np.ndarray]:
-        """Sorted hashes by shingle length."""
-        out = defaultdict(set)
-        for size, h in keys:
-            out[size].add(h)
-        return {size: np.array(sorted(hs), np.uint64) for size, hs in out.items()}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in (x for whole in batches for x in slices(whole, "window", 1 << 20)):
+            ends, words = split_words(rows.column("window"))
+            (h,) = word_hashes(words)
+            sizes = np.minimum(np.diff(ends), shingle)
+            for size in np.unique(sizes).tolist():
+                own = rolling(h, size)
+                at = np.flatnonzero(windows(ends, size)) if len(own) else np.zeros(0, np.int64)
+                owner = np.searchsorted(ends, at, side="right") - 1
+                at, owner = at[sizes[owner] == size], owner[sizes[owner] == size]
+                columns = [rows.column("window").take(pa.array(owner)), pa.array(np.full(len(at), size, np.int32)), pa.array(own[at].view(np.int64)), pa.array((at - ends[owner]).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["window", "size", "hash", "position"])
+
+    return known.select("window").mapInArrow(run, "window string, size int, hash long, position int")
 
 
-def shingles_of(words: tuple[str, ...], shingle: int) -> list[tuple[int, int]]:
-    """(length, hash) of the shingles by position; fewer words are one shingle."""
-    size = min(shingle, len(words))
-    (h,) = word_hashes(pa.array(words, pa.large_string()))
-    return [(size, int(x)) for x in rolling(h, size)]
+def by_size(table: pa.Table) -> dict[int, np.ndarray]:
+    """Sorted distinct hashes by shingle length."""
+    size, hashes = table.column("size").to_numpy(), table.column("hash").to_numpy().view(np.uint64)
+    return {int(s): np.unique(hashes[size == s]) for s in np.unique(size)}
 
 
 def hits(batch: pa.RecordBatch, wanted: dict[int, np.ndarray]) -> Iterator[tuple]:
@@ -86,9 +111,8 @@ def member(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return maybe
 
 
-def rarity(docs: DataFrame, block: Block) -> dict[tuple[int, int], int]:
-    """How often each shingle of the block occurs in all documents."""
-    wanted = block.by_size([x for s in block.shingles.values() for x in s])
+def rarity(docs: DataFrame, wanted: dict[int, np.ndarray]) -> DataFrame:
+    """(size, hash, n): how often each of the shingles occurs in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,66 +121,94 @@ def rarity(docs: DataFrame, block: Block) -> dict[tuple[int, int], int]:
                     keys, n = np.unique(values, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), size, np.int32)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["size", "hash", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "size int, hash long, n long").groupBy("size", "hash").agg(F.sum("n").alias("n"))
-    return {(r["size"], r["hash"] % 2**64): r["n"] for r in counted.collect()}
+    return docs.select("text").mapInArrow(run, "size int, hash long, n long").groupBy("size", "hash").agg(F.sum("n").alias("n"))
+
+
+def prefixes(known: DataFrame, docs: DataFrame, shingle: int) -> pa.Table:
+    """(window, items, size, hash, position) of a block: each window's rarest shingle, the first of equally rare ones.
+
+    Windows with a shingle that is in no document are in none and left out.
+    """
+    shingles = stored(window_shingles(known, shingle))
+    seen = stored(rarity(docs, by_size(shingles.select("size", "hash").distinct().toArrow())))
+    rarest = shingles.join(seen, ["size", "hash"], "left").groupBy("window").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "position", "size", "hash")).alias("least")
+    )
+    return rarest.where("least.n > 0").join(known, "window").select("window", "items", "least.size", "least.hash", "least.position").toArrow()
+
+
+class Prefix:
+    """The windows of a block by the hash of their rarest shingle."""
+
+    def __init__(self, table: pa.Table):
+        table = table.combine_chunks().sort_by([("size", "ascending"), ("hash", "ascending")])
+        self.wanted = by_size(table)
+        self.size, self.hash = table.column("size").to_numpy(), table.column("hash").to_numpy()
+        self.position, self.window, self.items = table.column("position").to_numpy(), table.column("window"), table.column("items")
+        self.first = {s: int(np.searchsorted(self.size, s)) for s in self.wanted}
+        self.last = {s: int(np.searchsorted(self.size, s, side="right")) for s in self.wanted}
+
+    def rows(self, size: int, value: int) -> range:
+        """The rows of the windows whose rarest shingle this is."""
+        a, b = self.first[size], self.last[size]
+        value = value - 2**64 if value >= 2**63 else value  # as Spark holds it
+        return range(*(a + int(np.searchsorted(self.hash[a:b], value, side=side)) for side in ("left", "right")))
 
 
-def locate(block: Block, seen: dict[tuple[int, int], int]) -> Callable:
+def locate(table: pa.Table) -> Callable:
     """The task that adds a block's occurrences to the documents."""
-    prefix: dict[tuple[int, int], list[tuple[tuple[str, ...], int]]] = defaultdict(list)
-    for window, keys in block.shingles.items():
-        rarest = min(range(len(keys)), key=lambda i: (seen.get(keys[i], 0), i))
-        if seen.get(keys[rarest], 0):
-            prefix[keys[rarest]].append((window, rarest))
-    wanted, items = block.by_size(list(prefix)), dict(block.items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prefix = Prefix(table)
         for batch in batches:
-            for rows, ends, words, found in hits(batch, wanted):
-                yield with_found(rows, ends, words, occurrences(ends, words, found, prefix), items)
+            for rows, ends, words, found in hits(batch, prefix.wanted):
+                yield with_found(rows, ends, occurrences(ends, words, found, prefix), prefix)
 
     return run
 
 
-def occurrences(ends, words, found, prefix) -> dict[int, dict[int, list[tuple[str, ...]]]]:
-    """By document and start: the windows that are there word for word."""
+def occurrences(ends, words, found, prefix: Prefix) -> dict[int, dict[int, list[tuple[int, int]]]]:
+    """By document and start: (row, words) of the windows that are there word for word."""
     out: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
     for size, at, values in found:
         owner = np.searchsorted(ends, at, side="right") - 1
         for p, d, h in zip(at.tolist(), owner.tolist(), values.tolist()):
-            for window, position in prefix[(size, h)]:
-                start = p - position
+            for row in prefix.rows(size, h):
+                window = prefix.window[row].as_py().split(" ")
+                start = p - int(prefix.position[row])
                 if start < ends[d] or start + len(window) > ends[d + 1]:
                     continue
-                if tuple(words.slice(start, len(window)).to_pylist()) == window:
-                    out[d][start - int(ends[d])].append(window)
+                if words.slice(start, len(window)).to_pylist() == window:
+                    out[d][start - int(ends[d])].append((row, len(window)))
     return out
 
 
-def with_found(rows, ends, words, places, items) -> pa.RecordBatch:
+def with_found(rows, ends, places, prefix: Prefix) -> pa.RecordBatch:
     """The rows with what was found added to what they had."""
     n, spans, names = np.diff(ends).tolist(), rows.column("spans").to_pylist(), rows.column("items").to_pylist()
     for d, here in places.items():
-        spans[d] = spans[d] + [{"start": s, "length": len(w)} for s, ws in here.items() for w in ws]
-        names[d] = sorted({*names[d], *(i for ws in here.values() for w in ws for i in items[w])})
+        spans[d] = spans[d] + [{"start": s, "length": size} for s, ws in here.items() for _, size in ws]
+        names[d] = sorted({*names[d], *(i for row in {row for ws in here.values() for row, _ in ws} for i in prefix.items[row].as_py())})
     span = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
     new = {"n_words": pa.array(n, pa.int64()), "spans": pa.array(spans, span), "items": pa.array(names, pa.list_(pa.string()))}
     kept = [c for c in rows.schema.names if c not in new]
     return pa.RecordBatch.from_arrays([rows.column(c) for c in kept] + list(new.values()), names=kept + list(new))
 
 
-def blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
-    """The items (id as string, text) in blocks of about block_bytes, one on the driver at a time."""
-    sized = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    dealt = sized.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    for i in range(n):
-        yield [(r["item_id"], r["text"]) for r in dealt.where(F.col("block") == i).collect()]
+def blocks(items: DataFrame, window: int, block_rows: int, block_bytes: int) -> list[DataFrame]:
+    """(window, items) of all distinct windows, in blocks of about so many rows and bytes; one block at least."""
+    sized = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text")
+    pairs = stored(item_windows(sized.distinct(), window))
+    size = F.sum(F.octet_length("window") + F.octet_length("item_id"))
+    rows, total = pairs.agg(F.count(F.lit(1)), size).first()
+    n = max(1, -(-rows // block_rows), -(-(total or 0) // block_bytes))
+    known = pairs.groupBy("window").agg(F.collect_set("item_id").alias("items"))
+    known = stored(known.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(n))))
+    return [known.where(F.col("block") == i).drop("block") for i in range(n)]
 
 
 def contained_items(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """The documents with n_words, the spans of words where item windows occur, and the items' ids.
 
@@ -167,12 +219,9 @@ def contained_items(
     rest = neutral(own)
     schema = StructType(rest.schema.fields + StructType.fromDDL(FOUND).fields)
     out = rest.withColumns(new)
-    done = False
-    for rows in blocks(items.withColumn("item_id", F.coalesce(F.col("item_id").cast("string"), F.lit("null"))), block_bytes):
-        block = Block(rows, window, shingle)
-        out = stored(out) if done else out  # one block in the tasks at a time
-        out = out.select(*rest.columns, *new).mapInArrow(locate(block, rarity(docs, block)), schema)
-        done = True
+    for i, known in enumerate(blocks(items, window, block_rows, block_bytes)):
+        out = stored(out) if i else out  # one block in the tasks at a time
+        out = out.select(*rest.columns, *new).mapInArrow(locate(prefixes(known, docs, shingle)), schema)
     return out.toDF(*own.columns, *new)
 
 

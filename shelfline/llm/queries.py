@@ -137,4 +137,51 @@ ORACLE = {
         )
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
     """,
+    # CRC-32 bit by bit over the id's digits; then every prefix as a list of turns.
+    "op12_prefix_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (
+                    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')
+                ) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT conv_id, conv_id - conv_id % 5 AS base,
+                xor(list_reduce(
+                    list_prepend(4294967295, [ord(c) FOR c IN string_split(CAST(conv_id AS VARCHAR), '')])::BIGINT[],
+                    lambda crc, c: list_reduce(
+                        list_prepend(xor(crc, c), range(8))::BIGINT[],
+                        lambda x, i: xor(x >> 1, 3988292384 * (x & 1))
+                    )
+                ), 4294967295) % 9 AS own
+            FROM (SELECT DISTINCT conv_id FROM turns)
+        ), rebuilt AS (
+            SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.own
+            UNION ALL
+            SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.own
+        ), sequences AS (
+            SELECT c.conv_id, coalesce(s.turns, []) AS turns FROM convs c LEFT JOIN (
+                SELECT conv_id, list({'role': role, 'text': text} ORDER BY part, pos) AS turns FROM rebuilt GROUP BY conv_id
+            ) s USING (conv_id)
+        ), prefixes AS (
+            SELECT conv_id, len(turns) AS whole, d, turns[1:d] AS key
+            FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM sequences)
+        ), nodes AS (
+            SELECT key, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                CASE WHEN d = 0 THEN 0 ELSE strlen(key[d].text) END AS bytes,
+                coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE whole = d), '') AS ends
+            FROM prefixes GROUP BY key, d
+        ), children AS (
+            SELECT key[1:depth - 1] AS key, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+        ), known AS (
+            SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (key, depth)
+        ), totals AS (
+            SELECT key[1:a] AS key, a AS depth, sum(CAST(n_children = 0 AS INTEGER)) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM known) GROUP BY 1, 2
+        )
+        SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children,
+            CAST(t.n_leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, sha256(k.ends) AS ends_sha256
+        FROM known k JOIN totals t USING (key, depth)
+        LEFT JOIN nodes p ON p.depth = k.depth - 1 AND p.key = k.key[1:k.depth - 1]
+    """,
 }

@@ -1,12 +1,15 @@
 """A uniform shuffle into shards of exact size, by a hypergeometric communication matrix.
 
-How many rows of each source partition go to each part of each shard is drawn first, with the
-distribution that a uniform permutation of all rows would give it. Rows are then permuted within
-their source, cut by the drawn counts, exchanged, and permuted again within their part.
-DataFrame functions only; the driver handles counts of partitions, never rows.
-
-Null ids and texts are rows like others (a null text has no bytes). Equal rows are
-interchangeable. An empty table has an empty result; a shard may be empty.
+How many rows of each source partition go to each shard is drawn first, with the distribution that a
+uniform permutation of all rows would give it. Rows are then permuted within their source, cut by
+the drawn counts, exchanged by range of shard and a random number, and numbered in that order, which
+permutes each shard again over as many tasks as it needs. DataFrame functions only; the driver
+draws a count for each source and shard, at most SOURCES times the shards, however many rows there are.
+
+Null ids and texts are rows like others (a null text has no bytes). Very long texts do not enter:
+rows are shuffled as they are given. Equal rows are interchangeable, which is the only tie. Columns
+called like the new ones are replaced, others may have any name. An empty table has an empty result;
+a shard may be empty.
 """
 
 from __future__ import annotations
@@ -16,11 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.llm.store import pieces, stored
+from shelfline.llm.store import numbered, pieces, stored
 
 #: Rows that one task permutes after the exchange, about.
 PART_ROWS = 2_000_000
-#: Source partitions are merged to so many at most: with the parts, this bounds the matrix.
+#: Source partitions are merged to so many at most, which bounds the matrix.
 SOURCES = 1000
 
 
@@ -72,25 +75,10 @@ def uniform_shards(rows: DataFrame, shards: int, seed: int = 42, part_rows: int
     placed = stored(rows.withColumn("_source", F.pmod(F.spark_partition_id(), F.lit(SOURCES))))
     counts = sorted((r["_source"], r["count"]) for r in placed.groupBy("_source").count().collect())
     sizes = split_evenly(sum(n for _, n in counts), shards)
-    parts = pieces(max(sizes), part_rows)
-    cells = [split_evenly(n, parts) for n in sizes]
-    matrix = communication_matrix([n for _, n in counts], [x for cell in cells for x in cell], seed)
-    ends = [(source, np.cumsum(row).reshape(shards, parts).tolist()) for (source, _), row in zip(counts, matrix)]
-    starts = F.array(*[F.array(*[F.lit(x).cast("long") for x in np.cumsum([0, *cell[:-1]]).tolist()]) for cell in cells])
-    drawn = spark.createDataFrame(ends, "_source int, _ends array<array<long>>")
-
-    def below(ends: Column) -> Column:
-        return F.size(F.filter(ends, lambda end: end <= F.col("_rank")))
-
+    matrix = communication_matrix([n for _, n in counts], sizes, seed)
+    drawn = spark.createDataFrame([(source, np.cumsum(row).tolist()) for (source, _), row in zip(counts, matrix)], "_source int, _ends array<long>")
     local = W.partitionBy("_source").orderBy(*random_order(columns, seed))
-    shard = below(F.transform("_ends", lambda e: F.element_at(e, -1)))
-    cut = (
-        placed.withColumn("_rank", (F.row_number().over(local) - 1).cast("long"))
-        .join(drawn, "_source")
-        .withColumn("shard", shard)
-        .withColumn("_part", below(F.get("_ends", F.col("shard"))))
-        .drop("_ends", "_rank", "_source")
-    )
-    again = W.partitionBy("shard", "_part").orderBy(*random_order(columns, seed + 1))
-    slot = F.get(F.get(starts, F.col("shard")), F.col("_part")) + F.row_number().over(again) - 1
-    return cut.withColumn("slot", slot).select(*columns, "shard", "slot").toDF(*own.columns, "shard", "slot")
+    cut = placed.withColumn("_rank", (F.row_number().over(local) - 1).cast("long")).join(drawn, "_source")
+    cut = cut.withColumn("shard", F.size(F.filter("_ends", lambda end: end <= F.col("_rank")))).select(*columns, "shard")
+    again = numbered(cut, "shard", random_order(columns, seed + 1)[:1], pieces(sum(sizes), part_rows))
+    return again.select(*columns, "shard", F.col("pos").alias("slot")).toDF(*own.columns, "shard", "slot")

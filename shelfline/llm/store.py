@@ -8,7 +8,7 @@ from functools import wraps
 from uuid import uuid4
 
 from py4j.protocol import Py4JError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -75,6 +75,24 @@ def one_of_each(keyed: DataFrame, rank: Column) -> DataFrame:
     return keyed.groupBy("_key").agg(best).select("_key", "_best.*")
 
 
+def numbered(rows: DataFrame, key: str, order: list[Column], parts: int | None = None) -> DataFrame:
+    """The rows with `pos`, their number from 0 within the key, in the given order.
+
+    Rows are dealt by range of key and order (equal rows at random), so a hot key is spread over
+    tasks; its number is then the place in the task's stretch after the rows of earlier stretches.
+    """
+    ranged = [F.col(key), *order, F.col("_salt")]
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = rows.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
+    dealt = salted.repartitionByRange(parts, *ranged).sortWithinPartitions(*ranged).drop("_salt")
+    dealt = stored(dealt.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    stretches = dealt.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per task at most
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")
+    stretches = stretches.select(key, "_part", shift.alias("_shift"))
+    return dealt.join(stretches, [key, "_part"]).withColumn("pos", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")
+
+
 def pieces(rows: int, each: int) -> int:
     """How many parts of about `each` rows there are; 1 at least."""
     return max(1, -(-rows // each))

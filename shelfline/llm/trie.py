@@ -34,34 +34,16 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.store import stored
+from shelfline.llm.store import numbered, stored
 
 #: The closing mark; other names are digests with a length.
 CLOSE = "close"
 NODE = ["conv_id", "depth"]
 
 
-def numbered(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """The rows with `pos`, their number from 0 within the key, in the given order.
-
-    Rows are dealt by range of key and order (equal rows at random), so a hot key is spread over
-    tasks; its number is then the place in the task's stretch after the rows of earlier stretches.
-    """
-    ranged = [F.col(key), *order, F.col("_salt")]
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = rows.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
-    dealt = salted.repartitionByRange(parts, *ranged).sortWithinPartitions(*ranged).drop("_salt")
-    dealt = stored(dealt.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
-    stretches = dealt.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per task at most
-    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")
-    stretches = stretches.select(key, "_part", shift.alias("_shift"))
-    return dealt.join(stretches, [key, "_part"]).withColumn("pos", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")
-
-
 def turns_of(conversations: DataFrame) -> DataFrame:
     """conv_id, pos, item: the turns in order, each named by a digest of role and text and its bytes."""
     role, text = (F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("role", "text"))
