@@ -21,11 +21,12 @@ DAY_COLUMNS = ["CAL_DT", "DAY_OF_WK_NUM", "YR_WK_NUM"]
 
 @dataclass(frozen=True)
 class Days:
-    """Calendar days to join facts to, and their first and last one."""
+    """Calendar days to join facts to, their first and last one, and whether to broadcast them."""
 
     frame: DataFrame
     first: date | None
     last: date | None
+    small: bool = True
 
     def select(self, *columns: str) -> Days:
         return replace(self, frame=self.frame.select(*columns))
@@ -60,14 +61,14 @@ class CheckedCalendar:
     def days(self) -> Days:
         """The three columns the weekly job needs, ready to join."""
         hinted = self._hinted(self.frame.select(DAY_COLUMNS), True)
-        return Days(hinted, self.first_day, self.last_day)
+        return Days(hinted, self.first_day, self.last_day, self.day_count <= MAX_BROADCAST_DAYS)
 
     @property
     def days_to_now(self) -> Days:
         """The days of the weeks up to the one of ``as_of``."""
         days = self.days
         now = days.frame.where(F.col("YR_WK_NUM") <= self.current_week)
-        return Days(now, self.first_day, self.last_current_day)
+        return replace(days, frame=now, last=self.last_current_day)
 
     def _hinted(self, frame: DataFrame, narrow: bool) -> DataFrame:
         # Beyond the bounds Spark chooses the join, and AQE splits a hot date.
@@ -89,37 +90,42 @@ def check_calendar(
         known = known.where(F.col("CAL_TYPE_DESC") == calendar_type)
     line = F.octet_length(F.to_csv(F.struct(*[F.col(c) for c in known.columns])))
     is_today = F.lit(False) if as_of is None else F.col("CAL_DT") == day_lit(as_of)
-    found = (
-        known.groupBy("CAL_DT")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("YR_WK_NUM").alias("week"),
-            F.sum(line + 1).alias("bytes"),
-        )
+    per_day = known.groupBy("CAL_DT").agg(
+        F.count(F.lit(1)).alias("n"), F.max("YR_WK_NUM").alias("week"), F.sum(line + 1).alias("bytes")
+    )
+    # A row per calendar week.
+    weeks = (
+        per_day.groupBy("week")
         .agg(
             F.sum("bytes").alias("bytes"),
             F.count(F.lit(1)).alias("days"),
             F.min("CAL_DT").alias("first"),
             F.max("CAL_DT").alias("last"),
             F.max("n").alias("most"),
-            F.max(F.when(is_today, F.col("week"))).alias("current_week"),
+            F.max(is_today).alias("has_today"),
             F.min(F.when(F.col("n") > 1, F.col("CAL_DT"))).alias("first_double"),
         )
-        .first()
+        .collect()
     )
-    if found["most"] is not None and found["most"] > 1:
+    most = max((w["most"] for w in weeks), default=1)
+    if most > 1:
+        double = min(w["first_double"] for w in weeks if w["first_double"] is not None)
         raise ValueError(
-            f"calendar has {found['most']} rows for one date, e.g. {found['first_double']}; "
+            f"calendar has {most} rows for one date, e.g. {double}; "
             "every join on the date would multiply the facts"
         )
-    if as_of is not None and found["current_week"] is None:
+    week = next((w["week"] for w in weeks if w["has_today"]), None)
+    if as_of is not None and week is None:
         raise ValueError(f"as_of date {as_of} has no week in the calendar")
-    week, last_current_day = found["current_week"], None
-    if week is not None:
-        last_current_day = known.where(F.col("YR_WK_NUM") <= week).agg(F.max("CAL_DT")).first()[0]
-    small = (found["bytes"] or 0) <= MAX_BROADCAST_BYTES
+    until_now = [w["last"] for w in weeks if week is not None and w["week"] is not None and w["week"] <= week]
     return CheckedCalendar(
-        known, found["days"], found["first"], found["last"], week, last_current_day, small
+        known,
+        sum(w["days"] for w in weeks),
+        min((w["first"] for w in weeks), default=None),
+        max((w["last"] for w in weeks), default=None),
+        week,
+        max(until_now, default=None),
+        sum(w["bytes"] for w in weeks) <= MAX_BROADCAST_BYTES,
     )
 
 

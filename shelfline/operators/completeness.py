@@ -75,7 +75,8 @@ def missing_snapshots(inventory: DataFrame, days: Days, as_of: date) -> DataFram
     dates = until.agg(F.array_sort(F.collect_set("CAL_DT")).alias("dates"))
     numbered = dates.select(F.posexplode("dates").alias("at", "CAL_DT"))
     taken = days.within(inventory, "CAL_DT").select("CAL_DT", "STORE_KEY", "PROD_KEY").distinct()
-    seen = taken.join(F.broadcast(numbered), "CAL_DT")  # at most one row per calendar day
+    numbered = F.broadcast(numbered) if days.small else numbered  # at most one row per calendar day
+    seen = taken.join(numbered, "CAL_DT")
     # At most one entry per calendar day.
     taken_at = seen.groupBy("STORE_KEY", "PROD_KEY").agg(F.array_sort(F.collect_list("at")).alias("at"))
     all_days = dates.scalar()

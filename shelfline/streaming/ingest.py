@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import day_lit
-from shelfline.operators.calendar import DAY_COLUMNS, Days, check_calendar
+from shelfline.operators.calendar import DAY_COLUMNS, check_calendar
 from shelfline.operators.inventory import StockPolicy, check_policy, dated_inventory
 from shelfline.operators.sales import dated_sales
 from shelfline.plans.weekly import weekly_table
@@ -219,7 +219,7 @@ class WeeklyStore:
         if state.entries == 0 or not weeks:
             return replace(state, weeks=kept)
         own = self.calendar.days.frame.where(F.col(WEEK_PARTITION).isin(list(weeks)))
-        days = Days(own, first, last)
+        days = replace(self.calendar.days, frame=own, first=first, last=last)
         low, high = day_lit(first), day_lit(last)
         within = F.col("day").between(low, high) & F.col("span").between(span_of(low), span_of(high))
         live = self._live(state, within)

@@ -148,3 +148,31 @@ def test_tasks_and_shuffles_grow_with_the_input_up_to_a_bound(spark, tmp_path, m
     monkeypatch.setattr(job, "MAX_SHUFFLE_PARTITIONS", 50)
     spark.conf.set(TUNED[0], str(before))
     assert tuned() == (50, "100b")
+
+
+def test_weekly_reads_each_feed_once(spark, landed, monkeypatch, capsys):
+    """The inputs are gone once they are staged, and the job still writes everything."""
+    import shutil
+
+    root, tables = landed
+    feed = root / "landing" / f"sales_{AS_OF}.csv"
+    header = next(feed.glob("part-*")).read_text().splitlines()[0]
+    part = feed / "part-more.csv"
+    part.write_text(f"{header}\n{AS_OF},1,1,many,1,1,0,0\n")
+    real = job.stage_feeds
+
+    def staged(*args):
+        frames = real(*args)
+        shutil.rmtree(root / "landing")
+        return frames
+
+    monkeypatch.setattr(job, "stage_feeds", staged)
+    cli.main(["weekly", manifest(), "--input-root", f"{root}/", "--output-root", f"{root}/out/", "--as-of", str(AS_OF)])
+    assert "sales.SALES_QTY: 1 values do not fit" in capsys.readouterr().out
+    (bad,) = spark.read.parquet(f"{root}/out/rejected_values").collect()
+    assert (bad["table_name"], bad["column_name"]) == ("sales", "SALES_QTY") and "many" in bad["row_text"]
+    assert bad["file"].endswith(part.name)
+    expected = weekly_stock(tables["sales"], tables["inventory"], tables["calendar"], AS_OF)
+    got = spark.read.parquet(f"{root}/out/weekly_agg_table")
+    assert got.count() == expected.count()
+    assert spark.read.parquet(f"{root}/out/calendar_table").count() == tables["calendar"].count()
