@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.store import held_out
-from shelfline.llm.texts import fold_table, slices, translate
+from shelfline.llm.texts import fold_table, kept, slices, translate
 
 #: Sampled texts of a language at most, and characters of a stretch taken from each.
 SAMPLE_TEXTS, SAMPLE_CHARS = 64, 1500
@@ -136,16 +136,9 @@ class Parser:
         return self.phrases(ends, data) * self.bits / np.maximum(1, np.diff(ends))[:, None]
 
 
-_PARSERS: dict[str, Parser] = {}
-
-
 def parser_of(samples: list[bytes]) -> Parser:
     """The worker's parser of these samples, kept between tasks."""
-    key = hashlib.sha256(b"\0".join(samples)).hexdigest()
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = Parser(samples)
-    return _PARSERS[key]
+    return kept(hashlib.sha256(b"\0".join(samples)).hexdigest(), lambda: Parser(samples))
 
 
 def labelled_samples(docs: DataFrame) -> dict[str, bytes]:

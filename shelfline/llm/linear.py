@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.store import held_out, stored
-from shelfline.llm.texts import slices
+from shelfline.llm.texts import let_go, release, slices
 
 #: Features are hashed to this many bits.
 BITS = 20
@@ -115,6 +115,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str, features: Features, f
         return Linear({0: -20.0, 1: 20.0}[min(share)] if share else 0.0, np.zeros(0, np.uint32), np.zeros(0, np.float32))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in (x for whole in batches for x in slices(whole, target=AT_ONCE)):
             found = pa.array(distinct_features(batch.column("text"), features), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("place"), found], names=["label", "place", "features"])
@@ -124,12 +125,14 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str, features: Features, f
     share = {y: share[y] * more for y, (_, more) in kept.items()}
 
     def run(sampled: pa.Table) -> pa.Table:
+        let_go()
         sampled = sampled.sort_by([("label", "ascending"), ("features", "ascending")])  # alike whatever task came first
         y = sampled.column("label").to_numpy().astype(np.float64)
         own = [np.frombuffer(x.as_buffer(), "<u4") for x in sampled.column("features")]
         order = np.random.default_rng(seed).permutation(len(y))
         weight = np.where(y == 1, share[1], share[0])
         got = fit(y[order], weight[order] / weight.mean(), [own[i] for i in order])
+        release()
         return pa.table({"bias": [float(got.bias)], "features": [got.features.astype("<u4").tobytes()], "weights": [got.weights.astype("<f4").tobytes()]})
 
     bounded = [encoded.where((F.col("label") == y) & (F.col("place") <= last)) for y, (last, _) in sorted(kept.items())]
@@ -142,6 +145,7 @@ def scored(docs: DataFrame, model: Linear, features: Features) -> DataFrame:
     """doc_id, held_out and score of every document; a null text scores as an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         table = model.table()
         for batch in (x for whole in batches for x in slices(whole, target=AT_ONCE)):
             yield pa.RecordBatch.from_arrays(
@@ -157,6 +161,7 @@ def filtered(docs: DataFrame, model: Linear, features: Features, keep: Callable[
     """The documents whose scores `keep` holds for, with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         table = model.table()
         for batch in (x for whole in batches for x in slices(whole, target=AT_ONCE)):
             yield batch.filter(pa.array(keep(model.scores(batch.column("text"), features, table))))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+_LIBC = ctypes.CDLL(None)
 #: Bytes of text handled at once; a longer text is handled alone.
 SLICE_BYTES = 4 << 20
 #: Odd multiplier of the rolling hashes.
@@ -30,6 +32,33 @@ LOWER = fold_table(lambda b: True, lower=True)
 LOWER_ALNUM = fold_table(lambda b: b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122, lower=True)
 
 
+#: Bytes of text after which a worker gives freed memory back, and how many it has read since.
+RELEASE_BYTES = 24 << 20
+_READ = [0]
+#: What a worker keeps between tasks, of one operator at a time.
+_KEPT: dict[str, object] = {}
+
+
+def kept(key: str, make: Callable[[], object]) -> object:
+    """What the worker keeps under the key; what it kept for others goes."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Keep nothing of other operators."""
+    _KEPT.clear()
+
+
+def release() -> None:
+    """Give memory that is free back to the system: Arrow's pool and the C heap hold on to it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", target: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about `target` bytes of text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -37,6 +66,10 @@ def slices(batch: pa.RecordBatch, column: str = "text", target: int = SLICE_BYTE
     starts = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]]) if len(sizes) else []
     for a, b in zip(starts, [*starts[1:], len(sizes)]):
         yield batch.slice(a, b - a)
+    _READ[0] += int(sizes.sum())
+    if _READ[0] > RELEASE_BYTES:
+        _READ[0] = 0
+        release()
 
 
 def plain(text: pa.Array) -> pa.Array:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.store import shared_folder, stored
-from shelfline.llm.texts import plain, slices
+from shelfline.llm.texts import kept, plain, slices
 
 #: Bytes of units and tokens that a worker remembers, about.
 MEMORY = 160 << 20
@@ -36,7 +36,7 @@ LONGEST = 64
 ENTRY_BYTES = 200
 CACHE = "version string, digest binary, n_tokens long"
 #: Marks that are learned apart from the word they follow.
-MARKS = frozenset(".,")
+MARKS = (".", ",")
 #: Latin letters; after these a mark is never part of the same token.
 LETTERS = frozenset(chr(c) for c in range(0x41, 0x100) if chr(c).isalpha() and c not in (0xAA, 0xBA))
 
@@ -65,7 +65,7 @@ class Units:
 
     def learned(self, units: list[str]) -> dict[str, bytes]:
         """The ids of new units; a full stop or comma after a letter is always a token of its own."""
-        stems = [u[:-1] if u[-1:] in MARKS and u[-2:-1] in LETTERS else u for u in units]
+        stems = [u[:-1] if u.endswith(MARKS) and u[-2:-1] in LETTERS else u for u in units]
         out = self.encoded([u for u in set(stems) if u not in self.young and u not in self.old])
         for unit, stem in zip(units, stems):
             if unit is not stem:
@@ -76,12 +76,15 @@ class Units:
     def look_up(self, units: list[str]) -> list[bytes]:
         """The ids of distinct units, which are remembered if they are not long."""
         out = list(map(self.young.get, units))
-        absent = [i for i, x in enumerate(out) if x is None]
-        again = {units[i]: self.old[units[i]] for i in absent if units[i] in self.old}
-        found = again | self.learned([units[i] for i in absent if units[i] not in again])
-        for i in absent:
-            out[i] = found[units[i]]
-        self.remember({u: x for u, x in found.items() if len(u) <= LONGEST})
+        absent = [u for u, x in zip(units, out) if x is None]
+        before = list(map(self.old.get, absent))
+        found = self.learned([u for u, x in zip(absent, before) if x is None])
+        found.update((u, x) for u, x in zip(absent, before) if x is not None)
+        rest = map(found.__getitem__, absent)
+        out = [next(rest) if x is None else x for x in out]
+        if max(map(len, found), default=0) > LONGEST:
+            found = {u: x for u, x in found.items() if len(u) <= LONGEST}
+        self.remember(found)
         return out
 
     def remember(self, found: dict[str, bytes]) -> None:
@@ -129,16 +132,9 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(first).astype(np.int64)
 
 
-_UNITS: dict[str, Units] = {}
-
-
 def units_of(content: str) -> Units:
     """The worker's memory of this tokenizer, kept between tasks."""
-    key = hashlib.sha256(content.encode()).hexdigest()
-    if key not in _UNITS:
-        _UNITS.clear()
-        _UNITS[key] = Units(content)
-    return _UNITS[key]
+    return kept(hashlib.sha256(content.encode()).hexdigest(), lambda: Units(content))
 
 
 def normalised(collapse: bool) -> Column:

@@ -59,3 +59,11 @@ def test_planted_repeats_of_awkward_rows(docs, awkward):
             assert d is None or made[d] == t or d == 13
         else:
             assert len(brute.words(made[d])) == len(brute.words(t))
+
+
+def test_planted_repeats_of_texts_without_words(spark, tmp_path):
+    ids = [i for i in range(400) if brute.zlib.crc32(str(i).encode()) % 10 == 0]
+    texts = ["", None, "  \n ", "one", "a b", " x y z " * 50, "w " * 7]
+    rows = [*zip(ids, texts), (None, "a a a a a a a")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert rows_of(queries.op11_periodic_runs(spark, str(tmp_path))) == sorted(brute.periodic(rows), key=repr)
