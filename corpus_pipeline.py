@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.llm import decontamination, exact, packing, simhash, toxicity
 from shelfline.llm.store import stored, table
+from shelfline.llm.tokens import LESS_MEMORY
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents that are left, packed into sequences of 1024 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), memory=LESS_MEMORY)
 
 
 STAGES = [

@@ -4,8 +4,9 @@ A document's ids are cut into whole sequences and a rest. Rests are dealt at ran
 of bounded size; within a group the largest rest goes first, each into the first sequence with
 room for it, which a tournament tree over the sequences' free room finds in logarithmic time.
 
-A null text counts as empty and still has the closing id. Equal rows are packed a row each. An
-empty table has an empty result. Very long documents only have more whole sequences.
+A null text counts as empty and still has the closing id. Equal rows are packed a row each; rests of
+one length go in the order of their rows. Very long documents only have more whole sequences. Only
+doc_id and text are read, so that no name clashes. An empty table has an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.store import pieces, stored
 from shelfline.llm.texts import slices
-from shelfline.llm.tokens import units_of
+from shelfline.llm.tokens import MEMORY, units_of
 
 #: Rests packed together, about.
 GROUP_ROWS = 8192
@@ -60,11 +61,11 @@ def first_fit_decreasing(sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.n
     return bins, offsets
 
 
-def cut_documents(docs: DataFrame, content: str, room: int) -> DataFrame:
+def cut_documents(docs: DataFrame, content: str, room: int, memory: int = MEMORY) -> DataFrame:
     """Every document's pieces, with the checksum of their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = units_of(content)
+        units = units_of(content, memory)
         for batch in (x for whole in batches for x in slices(whole)):
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), units.encode(batch.column("text"))):
@@ -77,9 +78,12 @@ def cut_documents(docs: DataFrame, content: str, room: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECE)
 
 
-def pack(docs: DataFrame, path: str, room: int = 1024, group_rows: int = GROUP_ROWS, seed: int = 42) -> DataFrame:
-    """The pieces with sequence_id and offset: all of each document's ids, then id 0."""
-    cut = stored(cut_documents(docs, Path(path).read_text(encoding="utf-8"), room))
+def pack(docs: DataFrame, path: str, room: int = 1024, group_rows: int = GROUP_ROWS, seed: int = 42, memory: int = MEMORY) -> DataFrame:
+    """The pieces with sequence_id and offset: all of each document's ids, then id 0.
+
+    memory: bytes that a worker remembers of the tokenizer's units; it changes no result.
+    """
+    cut = stored(cut_documents(docs, Path(path).read_text(encoding="utf-8"), room, memory))
     cut = cut.withColumn("_row", F.monotonically_increasing_id())
     groups = pieces(cut.where(F.col("length") < room).count(), group_rows)
     rests = cut.where(F.col("length") < room).withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), "_row"), F.lit(groups)))

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from shelfline.llm.store import shared_folder, stored
 from shelfline.llm.texts import kept, plain, slices
 
-#: Bytes of units and tokens that a worker remembers, about.
-MEMORY = 160 << 20
+#: Bytes of units and tokens that a worker remembers, about; less where other stages or a sort need memory beside.
+MEMORY, LESS_MEMORY = 240 << 20, 96 << 20
 #: Longest unit that is remembered, in characters; longer ones (of texts without white space) hardly recur.
 LONGEST = 64
 #: Bytes that a remembered unit takes beside its characters and tokens: two objects and a place in a table.
@@ -132,9 +132,9 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(first).astype(np.int64)
 
 
-def units_of(content: str) -> Units:
+def units_of(content: str, memory: int = MEMORY) -> Units:
     """The worker's memory of this tokenizer, kept between tasks."""
-    return kept(hashlib.sha256(content.encode()).hexdigest(), lambda: Units(content))
+    return kept(f"{memory}-{hashlib.sha256(content.encode()).hexdigest()}", lambda: Units(content, memory))
 
 
 def normalised(collapse: bool) -> Column:
@@ -145,7 +145,7 @@ def normalised(collapse: bool) -> Column:
 
 def encode_misses(misses: DataFrame, content: str, version: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = units_of(content)
+        units = units_of(content, LESS_MEMORY)
         for batch in (x for whole in batches for x in slices(whole)):
             counts = [len(x) // 4 for x in units.encode(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
