@@ -51,6 +51,7 @@ def write_csv(
     single_file: bool = False,
     max_rows_per_file: int = 0,
     max_bytes: int | None = None,
+    header: bool = True,
 ) -> int:
     """Write uncompressed CSV with a header over ``path``; returns the rows written.
 
@@ -64,7 +65,7 @@ def write_csv(
     (
         frame.observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
-        .option("header", True)
+        .option("header", header)
         .option("compression", "none")
         .options(**CSV_OPTIONS)
         .option("maxRecordsPerFile", max_rows_per_file)
@@ -76,21 +77,26 @@ def write_csv(
 def write_object(frame: DataFrame, path: str, max_bytes: int | None = None) -> int:
     """Write one plain CSV file with a header at ``path``, over what is there; returns its rows.
 
-    The file is written aside and then moved, so ``path`` holds the old or the new
-    one; a call after a failure leaves one file. With ``max_bytes`` a larger file
-    is not moved: ``ValueError``.
+    Every task writes its own rows aside and the file is made of these parts, where the
+    store can do that (:func:`shelfline.sources.files.can_join`); else one task writes it.
+    The file is then moved, so ``path`` holds the old or the new one; a call after a failure
+    leaves one file. With ``max_bytes`` a larger file is not moved: ``ValueError``.
     """
     spark, (folder, name) = frame.sparkSession, path.rsplit("/", 1)
     aside = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    parted = files.can_join(spark, aside)
     try:
-        rows = write_csv(frame, aside, single_file=True)
-        (part,) = files.children(spark, aside)
-        size = files.length(spark, f"{aside}/{part}")
+        rows = write_csv(frame, f"{aside}/rows", single_file=not parted, header=not parted)
+        if parted:
+            write_csv(frame.limit(0), f"{aside}/header")
+        parts = [p for kind in ("header", "rows") for p in files.sizes(spark, f"{aside}/{kind}") if p[1] > 0]
+        size = sum(length for _, length in parts)
         if max_bytes is not None and size > max_bytes:
             raise ValueError(f"{size} bytes do not fit a single file of {max_bytes}")
+        whole = files.join(spark, parts, f"{aside}/rows/whole") if parted else parts[0][0]
         if files.exists(spark, path) and not files.is_file(spark, path):
             files.remove(spark, path)  # an extract in part files
-        files.move(spark, f"{aside}/{part}", path, overwrite=True)
+        files.move(spark, whole, path, overwrite=True)
         return rows
     finally:
         files.remove(spark, aside)

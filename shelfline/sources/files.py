@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def _hadoop(spark: SparkSession):
@@ -41,6 +43,67 @@ def length(spark: SparkSession, path: str) -> int:
     return system.getFileStatus(at).getLen()
 
 
+def sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and bytes of the files in a folder, by name, without hidden ones; none if there is no folder."""
+    at, system = _located(spark, path)
+    found = system.listStatus(at) if system.exists(at) else []
+    named = sorted((entry.getPath().getName(), entry.getLen()) for entry in found)
+    return [(f"{path}/{name}", size) for name, size in named if name[0] not in "._"]
+
+
+def _concatenates(at, system) -> bool:
+    return system.hasPathCapability(at, "fs.capability.paths.concat")
+
+
+def can_join(spark: SparkSession, path: str) -> bool:
+    """Whether the path's store makes one file of several without one writer for all of it."""
+    at, system = _located(spark, path)
+    return _concatenates(at, system) or system.getUri().getScheme() == "file"
+
+
+def join(spark: SparkSession, parts: Sequence[tuple[str, int]], target: str) -> str:
+    """Make the files (path and bytes) one new file, in their order; returns its path.
+
+    HDFS and its like do so by name; there the first becomes the target, which is to lie in
+    the folder of the others. In a shared folder every part is copied to its place by a task.
+    """
+    at, system = _located(spark, target)
+    if _concatenates(at, system):
+        (first, *rest), fs = [path for path, _ in parts], _hadoop(spark)
+        move(spark, first, target)
+        if rest:
+            others = spark.sparkContext._gateway.new_array(fs.Path, len(rest))
+            for i, path in enumerate(rest):
+                others[i] = fs.Path(path)
+            system.concat(at, others)
+        return target
+    plain, places, start = at.toUri().getPath(), [], 0
+    for number, (path, size) in enumerate(parts):
+        places.append((number, _located(spark, path)[0].toUri().getPath(), start, size))
+        start += size
+
+    def copy(batches):
+        import os
+
+        for batch in batches:
+            for place in batch.to_pylist():
+                out, at = os.open(plain, os.O_WRONLY | os.O_CREAT, 0o644), place["start"]
+                with open(place["path"], "rb") as source:
+                    while block := source.read(1 << 22):
+                        while block:
+                            done = os.pwrite(out, block, at)
+                            at, block = at + done, block[done:]
+                os.close(out)
+                if at != place["start"] + place["bytes"]:
+                    raise OSError(f"{place['path']} has other bytes than when it was written")
+            yield batch
+
+    table = spark.createDataFrame(places, "number int, path string, start bigint, bytes bigint")
+    each = table.repartitionById(len(places), F.col("number"))
+    each.mapInArrow(copy, table.schema).agg(F.count(F.lit(1))).collect()
+    return target
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder if it is there."""
     at, system = _located(spark, path)

@@ -272,6 +272,20 @@ def test_single_object_over_anything_and_after_a_failure(spark, tmp_path, monkey
     assert feeds.scan_feed(spark, "sales", path).count() == 3
 
 
+def test_single_object_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    text = F.concat(F.lit(' é "a",\n'), F.col("id").cast("string"))
+    frame, path = spark.range(0, 4000, 1, 4).select("id", text.alias("t")), f"{tmp_path}/x.csv"
+    joined, join = [], extract.files.join
+    monkeypatch.setattr(extract.files, "join", lambda spark, parts, to: joined.append(parts) or join(spark, parts, to))
+    for rows in (frame, frame.where("id < 3000"), frame.where("id < 0")):
+        assert extract.write_object(rows, path) == rows.count()
+        options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": "\\"}
+        back = spark.read.options(header=True, multiLine=True, **options).csv(path)
+        assert sorted(map(tuple, back.select(F.col("id").cast("bigint"), "t").collect())) == sorted(map(tuple, rows.collect()))
+    assert [len(parts) for parts in joined] == [5, 4, 1]  # the header and the tasks that have rows
+    assert max(size for _, size in joined[0]) < sum(size for _, size in joined[0]) / 3
+
+
 @pytest.mark.parametrize(
     "text,whole,money",
     [
