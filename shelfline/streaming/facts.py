@@ -83,7 +83,9 @@ def _scan(
 ) -> DataFrame:
     like = extracts[0]["sample"]
     raw = read_feed(spark, feed, [e["path"] for e in extracts], like=like, header=_names(header))
-    source = F.regexp_extract("_metadata.file_path", EXTRACT_NAME, 1) if named else F.lit("")
+    source = F.regexp_extract("_metadata.file_path", EXTRACT_NAME, 1)
+    if not named or len(extracts) == 1:
+        source = F.lit(extracts[0]["name"] if named else "")
     frame = typed(raw.select("*", source.alias("_extract")), feed)
     day = F.col(DATE_COLUMNS[feed][0])
     given = {"extract": F.col("_extract"), "day": day, "feed": F.lit(feed), "span": span_of(day)}
@@ -140,10 +142,18 @@ def generation_path(root: str, generation: int) -> str:
 
 
 def write_generation(rows: DataFrame, root: str, generation: int) -> None:
-    """Write rows by feed and span; days lie together in a file, so scans skip row groups."""
-    balanced = rows.drop("generation").hint("rebalance", "feed", "span")
-    writer = balanced.sortWithinPartitions("feed", "span", "day").write.mode("overwrite")
-    writer.partitionBy("feed", "span").parquet(generation_path(root, generation))
+    """Write rows by feed and span, each feed with its own columns only.
+
+    So no row is shuffled and sorted with the columns of the other feed, and the sort is
+    by one number.
+    """
+
+    def write(feed: str) -> None:
+        own = rows.where(F.col("feed") == feed).select(*FEED_TYPES[feed], "extract", "day", "span")
+        writer = own.hint("rebalance", "span").write.mode("overwrite")
+        writer.partitionBy("span").parquet(f"{generation_path(root, generation)}/feed={feed}")
+
+    together([partial(write, feed) for feed in FACT_FEEDS])
 
 
 def read_generation(spark: SparkSession, root: str, generation: int) -> DataFrame:

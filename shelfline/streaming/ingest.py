@@ -147,9 +147,7 @@ class WeeklyStore:
         index = self._index(before)
         if self.cumulative:
             replaced = index.where(F.col("feed").isin([e["feed"] for e in taken]))
-            path = self._part_path("digests", state.generation)
-            facts.digests(rows).write.mode("overwrite").parquet(path)
-            fresh = self.spark.read.parquet(path)
+            fresh = self._kept_aside("digests", state, facts.digests(rows))
             changed = facts.changed_days(fresh, replaced)
             # At most a row for each feed and day.
             stored = rows.join(F.broadcast(changed.where("there").select("feed", "day")), ["feed", "day"], "left_semi")
@@ -158,7 +156,8 @@ class WeeklyStore:
             kept = index.join(changed, ENTRY, "left_anti")
         else:
             facts.write_generation(rows, self.root, state.generation)
-            added = facts.entries_of(facts.read_generation(self.spark, self.root, state.generation))
+            written = facts.read_generation(self.spark, self.root, state.generation)
+            added = self._kept_aside("digests", state, facts.entries_of(written))
             replaced = index.where(F.col("extract").isin([e["name"] for e in taken]))
             changed = added.select(ENTRY).unionAll(replaced.select(ENTRY))
             kept = index.join(replaced, ENTRY, "left_anti")
@@ -170,8 +169,15 @@ class WeeklyStore:
         own = days.join(touched.distinct(), WEEK_PARTITION, "left_semi")
         # At most one value per calendar week.
         found = own.agg(F.collect_set(WEEK_PARTITION), F.min("CAL_DT"), F.max("CAL_DT")).first()
+        files.remove(self.spark, self._part_path("digests", state.generation))
         return self._build(state, *found)
 
+    def _kept_aside(self, kind: str, state: State, rows: DataFrame) -> DataFrame:
+        """The rows, computed once, into a folder that the batch removes."""
+        path = self._part_path(kind, state.generation)
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def _merge(self) -> None:
         """Write spans that lie in many generations into one, so that their files stay few."""
         before = generations.newest(self.spark, self.root)
@@ -284,6 +290,7 @@ class WeeklyStore:
         """Remove what a failed run left under the number."""
         files.remove(self.spark, facts.generation_path(self.root, generation))
         files.remove(self.spark, self._built(generation))
+        files.remove(self.spark, self._part_path("digests", generation))
 
     def _part(self, kind: str, generation: int | None, schema: str) -> DataFrame:
         if generation is None:

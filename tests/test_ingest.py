@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import Counter
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,6 +238,19 @@ def test_a_backfill_is_one_scan_for_each_feed_and_header(spark, tmp_path):
     assert store.ledger().where("status = 'taken'").count() == 120
 
 
+def test_facts_of_a_feed_have_its_own_columns_and_nothing_is_left_aside(spark, tmp_path):
+    store = WeeklyStore(spark, f"{tmp_path}/store", calendar(spark))
+    land(spark, f"{tmp_path}/landing", "2023-01-10", [(0, 1, 1, 2, 2), (9, 1, 1, 2, 2)], [(9, 1, 1, 3, 1, 0)])
+    store.ingest(f"{tmp_path}/landing")
+    number = generations.newest(spark, f"{tmp_path}/store").generation
+    path = facts.generation_path(f"{tmp_path}/store", number)
+    own = {feed: set(spark.read.parquet(f"{path}/feed={feed}").columns) for feed in facts.FACT_FEEDS}
+    assert own == {feed: {*facts.FEED_TYPES[feed], "extract", "day", "span"} for feed in facts.FACT_FEEDS}
+    got = facts.read_generation(spark, f"{tmp_path}/store", number).groupBy("feed", "extract").count().collect()
+    assert sorted(map(tuple, got)) == [("inventory", "inventory_2023-01-10.csv", 1), ("sales", "sales_2023-01-10.csv", 2)]
+    assert not any(Path(f"{tmp_path}/store/digests").glob("*"))
+
+
 def test_a_failed_write_leaves_the_state_before(spark, tmp_path, monkeypatch):
     store = WeeklyStore(spark, f"{tmp_path}/store", calendar(spark))
     one_day(spark, f"{tmp_path}/landing", "2023-01-10", 1)
