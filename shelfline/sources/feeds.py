@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +59,7 @@ def _exactly(value: Column, scale: int) -> Column:
     zeros = rf"^\s*[+-]?(\d+(\.\d{{0,{scale}}}0*)?|\.\d{{0,{scale}}}0*)\s*$"
     number = value.try_cast(f"decimal(38,{scale})")
     # With an exponent; the double tells digits that are too small for the decimal.
-    exponent = value.rlike("[eE]") & (number.cast("double") == value.try_cast("double"))
+    exponent = value.rlike(r"[eE][+-]?\p{Nd}") & (number.cast("double") == value.try_cast("double"))
     return F.when(value.rlike(zeros) | exponent, number)
 
 
@@ -112,15 +113,20 @@ def typed_with_rejects(raw: DataFrame, feed: str, needed: Sequence[str] | None =
     there but does not fit. ``needed`` names the columns to keep; all count.
     """
     values, names = _conversions(raw, feed, None), raw.columns
-    whole = F.struct(*[F.col(c) for c in names]).alias("_text")
+    texts = {c: f"_text_{n}" for n, c in enumerate(names)}
     converted = raw.select(
-        *[values.get(c, F.col(c)).alias(c) for c in names], whole, F.col("_metadata.file_path").alias("_file")
+        *[values.get(c, F.col(f"`{c}`")).alias(c) for c in names],
+        *[F.col(f"`{c}`").alias(text) for c, text in texts.items()],
+        F.col("_metadata.file_path").alias("_file"),
     )
-    lost = [F.when(F.col(f"_text.`{c}`").isNotNull() & F.col(f"`{c}`").isNull(), F.lit(c)) for c in values]
-    columns = F.filter(F.array(*lost, F.lit(None).cast("string")), lambda c: c.isNotNull())
-    reject = F.struct(F.col("_file").alias("file"), F.to_csv("_text").alias("row_text"), columns.alias("columns"))
+    lost = {c: F.col(texts[c]).isNotNull() & F.col(f"`{c}`").isNull() for c in values}
+    # Text and names are made for rejects only.
+    none = F.lit(None).cast("string")
+    columns = F.array_except(F.array(*[F.when(bad, F.lit(c)) for c, bad in lost.items()], none), F.array(none))
+    text = F.to_csv(F.struct(*[F.col(text).alias(c) for c, text in texts.items()]))
+    reject = F.struct(F.col("_file").alias("file"), text.alias("row_text"), columns.alias("columns"))
     kept = [F.col(f"`{c}`") for c in (needed or names)]
-    return converted.select(*kept, F.when(F.size(columns) > 0, reject).alias("_reject"))
+    return converted.select(*kept, F.when(reduce(Column.__or__, lost.values(), F.lit(False)), reject).alias("_reject"))
 
 
 def reject_rows(feed: str, staged: DataFrame) -> DataFrame:

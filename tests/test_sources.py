@@ -321,3 +321,13 @@ def test_rejects_have_their_file_and_row(spark, tmp_path):
         ("TRANS_DT", "soon,,1,2,3.1234567", file.name),
         ("SALES_QTY", "soon,,1,2,3.1234567", file.name),
     }
+
+
+def test_rejects_are_found_in_compiled_code(spark, tmp_path):
+    file = tmp_path / "sales_2023-01-03.csv"
+    file.write_text("TRANS_DT,STORE_KEY,PROD_KEY,SALES_QTY\nsoon,x,y,some\n2023-01-05,1,2,1e0\n")
+    rows = feeds.typed_with_rejects(feeds.read_feed(spark, "sales", str(file)), "sales")
+    assert [r["_reject"] and r["_reject"]["columns"] for r in rows.collect()] == [["TRANS_DT", "STORE_KEY", "PROD_KEY", "SALES_QTY"], None]
+    plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    projects = [line for line in plan if "Project" in line]
+    assert projects and all("*(" in line for line in projects)
