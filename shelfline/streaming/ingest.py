@@ -145,20 +145,25 @@ class WeeklyStore:
         """Add the extracts' rows, index them and build the weeks whose days changed."""
         rows = facts.read_extracts(self.spark, taken, named=not self.cumulative)
         index = self._index(before)
+        key, of = ("feed", "feed") if self.cumulative else ("extract", "name")
+        replaced = index.where(F.col(key).isin([e[of] for e in taken]))
+        # Only where there are days to compare with, files are parsed twice: for digests, and for what differs.
+        compared = self.cumulative and not replaced.isEmpty()
+        if not compared:
+            facts.write_generation(rows, self.root, state.generation)
+            rows = facts.read_generation(self.spark, self.root, state.generation)
         if self.cumulative:
-            replaced = index.where(F.col("feed").isin([e["feed"] for e in taken]))
             fresh = self._kept_aside("digests", state, facts.digests(rows))
             changed = facts.changed_days(fresh, replaced)
-            # At most a row for each feed and day.
-            stored = rows.join(F.broadcast(changed.where("there").select("feed", "day")), ["feed", "day"], "left_semi")
-            facts.write_generation(stored, self.root, state.generation)
+            if compared:
+                # At most a row for each feed and day.
+                there = F.broadcast(changed.where("there").select("feed", "day"))
+                stored = rows.join(there, ["feed", "day"], "left_semi")
+                facts.write_generation(stored, self.root, state.generation)
             added = fresh.join(changed.where("there"), ENTRY, "left_semi")
             kept = index.join(changed, ENTRY, "left_anti")
         else:
-            facts.write_generation(rows, self.root, state.generation)
-            written = facts.read_generation(self.spark, self.root, state.generation)
-            added = self._kept_aside("digests", state, facts.entries_of(written))
-            replaced = index.where(F.col("extract").isin([e["name"] for e in taken]))
+            added = self._kept_aside("digests", state, facts.entries_of(rows))
             changed = added.select(ENTRY).unionAll(replaced.select(ENTRY))
             kept = index.join(replaced, ENTRY, "left_anti")
         added = added.select(*ENTRY, F.lit(state.generation).cast("bigint").alias("generation"), *DIGEST)

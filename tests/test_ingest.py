@@ -199,6 +199,21 @@ def test_days_that_an_extract_no_longer_has_go(spark, tmp_path):
     assert rows(store.weekly(day(AS_OF))) == rows(whole)
 
 
+def test_first_extracts_are_parsed_once(spark, tmp_path, monkeypatch):
+    plans, digests = [], facts.digests
+
+    def seen(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return digests(frame)
+
+    monkeypatch.setattr(facts, "digests", seen)
+    store = WeeklyStore(spark, f"{tmp_path}/store", calendar(spark), cumulative=True)
+    land(spark, f"{tmp_path}/landing", "2023-01-19", SOLD, STOCKED)
+    store.ingest(f"{tmp_path}/landing")
+    assert "FileScan parquet" in plans[0] and "FileScan csv" not in plans[0]
+    assert rows(store.weekly(day(AS_OF))) == batch(spark)
+
+
 def test_digests_see_every_change_but_order(spark):
     def found(rows):
         frame = sales(spark, rows).withColumns({"feed": F.lit("sales"), "extract": F.lit(""), "day": F.col("TRANS_DT")})
