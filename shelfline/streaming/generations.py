@@ -24,7 +24,8 @@ class State:
 
     ``index`` and ``ledger`` name the generations that wrote them, ``entries`` is the
     number of index rows, and ``dropped`` whether rows of the state before no longer
-    count. ``calendar`` is a digest of the calendar that the weeks were built with.
+    count. ``calendar`` is a digest of the calendar that the weeks were built with, and
+    ``days`` has one of each week's days.
     """
 
     generation: int = -1
@@ -34,6 +35,7 @@ class State:
     dropped: bool = False
     ledger: int | None = None
     calendar: str | None = None
+    days: dict[int, str] = field(default_factory=dict)
 
     def next(self, **changes) -> State:
         return replace(self, **{"generation": self.generation + 1, "dropped": False, **changes})
@@ -45,7 +47,7 @@ def _folder(root: str) -> str:
 
 def _read(spark: SparkSession, root: str, name: str) -> State:
     found = json.loads(files.read_text(spark, f"{_folder(root)}/{name}"))
-    return State(**{**found, "weeks": {int(w): g for w, g in found["weeks"].items()}})
+    return State(**{**found, **{k: {int(w): v for w, v in found.get(k, {}).items()} for k in ("weeks", "days")}})
 
 
 def published(spark: SparkSession, root: str) -> list[State]:

@@ -76,7 +76,7 @@ class WeeklyStore:
         each a file or a folder of part files; the date may have single digits.
         With ``cumulative`` an extract without a date has no place in the order:
         it is not read, and :meth:`rejected` lists it. If the calendar is not the
-        one of the last call, all weeks are built anew.
+        one of the last call, the weeks that differ are built anew.
         """
         self._follow_calendar()
         landed = ledger.landed_extracts(self.spark, landing.rstrip("/"))
@@ -245,19 +245,28 @@ class WeeklyStore:
         return replace(state, weeks={**kept, **new})
 
     def _follow_calendar(self) -> None:
-        """Builds all weeks anew if the calendar's days or weeks have changed."""
+        """Builds the weeks anew whose days in the calendar have changed."""
         days = self.calendar.frame.select(DAY_COLUMNS)
         row = F.xxhash64(*DAY_COLUMNS).bitwiseAND(F.lit((1 << 40) - 1))
-        found = days.agg(
-            F.count(F.lit(1)), F.sum(row), F.collect_set(WEEK_PARTITION), F.min("CAL_DT"), F.max("CAL_DT")
-        ).first()  # at most one value per calendar week
-        before, digest = generations.newest(self.spark, self.root), f"{found[0]}-{found[1]}"
+        # A row per calendar week.
+        found = (
+            days.groupBy(WEEK_PARTITION)
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(row).alias("sum"), F.min("CAL_DT").alias("first"), F.max("CAL_DT").alias("last"))
+            .collect()
+        )
+        before = generations.newest(self.spark, self.root)
+        digest = f"{sum(w['n'] for w in found)}-{sum(w['sum'] for w in found)}"
         if before.calendar == digest:
             return
-        state = before.next(calendar=digest)
+        digests = {w[WEEK_PARTITION]: f"{w['n']}-{w['sum']}" for w in found if w[WEEK_PARTITION] is not None}
+        same = {w for w, of_days in digests.items() if before.days.get(w) == of_days}
+        changed = [w for w in found if w[WEEK_PARTITION] in digests.keys() - same]
+        state = before.next(calendar=digest, days=digests)
         self._clear(state.generation)
         # Weeks that are not in the calendar any more go too.
-        self._publish(self._build(replace(state, weeks={}), *found[2:]))
+        state = replace(state, weeks={w: g for w, g in before.weeks.items() if w in same})
+        first, last = min((w["first"] for w in changed), default=None), max((w["last"] for w in changed), default=None)
+        self._publish(self._build(state, [w[WEEK_PARTITION] for w in changed], first, last))
 
     def _publish(self, state: State) -> None:
         """Make the state the newest, and remove what no kept state names."""

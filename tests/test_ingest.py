@@ -214,6 +214,19 @@ def test_first_extracts_are_parsed_once(spark, tmp_path, monkeypatch):
     assert rows(store.weekly(day(AS_OF))) == batch(spark)
 
 
+def test_a_longer_calendar_builds_only_weeks_that_differ(spark, tmp_path):
+    land(spark, f"{tmp_path}/landing", "2023-01-19", SOLD, STOCKED)
+    early = calendar(spark).where(F.col("CAL_DT") < F.lit(day(10)))
+    WeeklyStore(spark, f"{tmp_path}/store", early).ingest(f"{tmp_path}/landing")
+    before = generations.newest(spark, f"{tmp_path}/store").weeks
+    store = WeeklyStore(spark, f"{tmp_path}/store", calendar(spark))
+    store.ingest(f"{tmp_path}/landing")
+    after = generations.newest(spark, f"{tmp_path}/store").weeks
+    assert sorted(before) == [202301, 202302]
+    assert {w for w, g in before.items() if after[w] == g} == {202301}
+    assert rows(store.weekly(day(AS_OF))) == batch(spark)
+
+
 def test_digests_see_every_change_but_order(spark):
     def found(rows):
         frame = sales(spark, rows).withColumns({"feed": F.lit("sales"), "extract": F.lit(""), "day": F.col("TRANS_DT")})
